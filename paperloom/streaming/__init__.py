@@ -1,0 +1,5 @@
+"""Streams need nothing of their own.
+
+The column functions and the narrow record operators (``operators.cleaning.clean_records``, the
+payload parsers) keep no state, so they run unchanged on a ``readStream`` frame.
+"""
