@@ -10,9 +10,12 @@ from .core import WORD, WS, bind, col, is_blank, safe_text, trim_ws
 
 
 def clean_text(x: Column | str) -> Column:
-    """Lower-case, drop URLs, keep ``a-z 0-9 - : & /``, collapse everything else to one space."""
+    """Lower-case, drop URLs, keep ``a-z 0-9 - : & /``, collapse everything else to one space.
+
+    Collecting the runs of kept characters is several times faster than replacing the others.
+    """
     no_urls = F.regexp_replace(F.lower(safe_text(x)), f"http[^{WS}]+", " ")
-    return F.trim(F.regexp_replace(no_urls, r"[^a-z0-9\-:&/]+", " "))
+    return F.array_join(F.regexp_extract_all(no_urls, F.lit(r"[a-z0-9\-:&/]+"), F.lit(0)), " ")
 
 
 def clean_author(x: Column | str) -> Column:

@@ -1,9 +1,9 @@
 """Global order without a global sort on one task.
 
 Running totals, ranks and exact quantiles over a whole table would put every row into one
-window partition. Here the ordered keys are cut into buckets at sampled split points, each
-bucket is ordered by itself, and the totals of the earlier buckets (one row per bucket) are
-added. Keys are aggregated first, so a key that holds a third of all rows is one row.
+window partition. Here the ordered keys are cut into buckets whose order is known, each bucket
+is ordered by itself, and the totals of the earlier buckets (one row per bucket) are added.
+Keys are aggregated first, so a key that holds a third of all rows is one row.
 """
 
 from __future__ import annotations
@@ -12,8 +12,23 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from ..session import materialize
 
 BUCKETS = 256
+HEX_DIGITS = 3
+
+
+def _search(df: DataFrame, points: Column, key: str, name: str, buckets: int) -> DataFrame:
+    """Add the number of sorted ``points`` at or below ``key``: a binary search in log steps."""
+    df = df.withColumn("_points", points).withColumn(name, F.lit(0))
+    step = 1
+    while step * 2 < buckets:
+        step *= 2
+    while step >= 1:
+        below = F.get("_points", F.col(name) + (step - 1)) <= F.col(key)
+        df = df.withColumn(name, F.col(name) + F.when(below, step).otherwise(0))
+        step //= 2
+    return df.drop("_points")
 
 
 def split_points(keys: DataFrame, key: str, buckets: int = BUCKETS) -> Column:
@@ -25,28 +40,15 @@ def split_points(keys: DataFrame, key: str, buckets: int = BUCKETS) -> Column:
     return sample.agg(F.sort_array(F.collect_set(key))).scalar()
 
 
-def _bucket(points: Column, key: Column) -> Column:
-    return F.size(F.filter(points, lambda p: p <= key))
-
+def add_offsets(cut: DataFrame, order: Sequence[str], weight: str, groups: Sequence[str]) -> DataFrame:
+    """Add ``before`` to rows that carry their ``_bucket``.
 
-def running_before(
-    keys: DataFrame,
-    key: str,
-    weight: str,
-    groups: Sequence[str] = (),
-    buckets: int = BUCKETS,
-) -> DataFrame:
-    """Add ``before``: the total weight of the smaller keys of the same group.
-
-    ``keys`` holds one row per (groups, key). Windows run over one bucket of one group, and
-    over the bucket totals, of which there are at most ``buckets`` per group.
+    Windows run over one bucket of one group, and over the bucket totals of one group.
     """
     groups = list(groups)
-    cut = keys.withColumn("_points", split_points(keys, key, buckets))
-    cut = cut.withColumn("_bucket", _bucket(F.col("_points"), F.col(key))).drop("_points")
     inside = (
         Window.partitionBy(*groups, "_bucket")
-        .orderBy(key)
+        .orderBy(*order)
         .rowsBetween(Window.unboundedPreceding, -1)
     )
     earlier = (
@@ -71,29 +73,39 @@ def running_before(
     )
 
 
+def running_before(keys: DataFrame, key: str, weight: str, buckets: int = BUCKETS) -> DataFrame:
+    """Add ``before``: the total weight of the smaller keys. One row per key is expected.
+
+    ``keys`` is read three times, so it should be a written table.
+    """
+    cut = _search(keys, split_points(keys, key, buckets), key, "_bucket", buckets)
+    return add_offsets(cut, [key], weight, [])
+
+
 def dense_index(df: DataFrame, key: str) -> DataFrame:
     """``key, code``: zero-based alphabetical position of each distinct value."""
     distinct = df.select(key).where(F.col(key).isNotNull()).distinct().withColumn("_one", F.lit(1))
-    return running_before(distinct, key, "_one").select(key, F.col("before").alias("code"))
+    return running_before(materialize(distinct, "keys"), key, "_one").select(key, F.col("before").alias("code"))
 
 
-def ordered_within(df: DataFrame, group: str, key: str) -> DataFrame:
+def ordered_within(df: DataFrame, group: str, key: str, digits: int = HEX_DIGITS) -> DataFrame:
     """``group, key, position, n``: place of each distinct key in its group, in hash order.
 
-    ``n`` is the number of distinct keys of the group. The order is by the md5 of the key
-    text, then by the key.
+    The order is by the md5 of the key text, then by the key; ``n`` is the number of distinct
+    keys of the group. The first hex digits of the hash are buckets of equal size.
     """
-    keys = df.select(group, key).distinct()
-    keyed = keys.select(
+    digest = F.md5(F.col(key).cast("string").cast("binary"))
+    cut = df.select(group, key).distinct().select(
         group,
-        F.struct(F.md5(F.col(key).cast("string").cast("binary")).alias("h"), F.col(key).alias("k"))
-        .alias("_key"),
+        key,
+        digest.alias("_hash"),
+        F.conv(F.substring(digest, 1, digits), 16, 10).cast("int").alias("_bucket"),
         F.lit(1).alias("_one"),
     )
-    placed = running_before(keyed, "_key", "_one", [group])
-    sizes = keyed.groupBy(F.col(group).alias("_g")).agg(F.count("*").alias("n"))
+    placed = add_offsets(cut, ["_hash", key], "_one", [group])
+    sizes = cut.groupBy(F.col(group).alias("_g")).agg(F.count("*").alias("n"))
     return placed.join(sizes, F.col(group).eqNullSafe(F.col("_g"))).select(
-        group, F.col("_key.k").alias(key), F.col("before").alias("position"), "n"
+        group, key, F.col("before").alias("position"), "n"
     )
 
 
@@ -103,23 +115,25 @@ def quantiles(df: DataFrame, column: str, probabilities: Sequence[float]) -> Dat
         df.where(F.col(column).isNotNull()).groupBy(F.col(column).alias("_v"))
         .agg(F.count("*").alias("_n"))
     )
-    total = values.agg(F.sum("_n")).scalar()
-    placed = running_before(values, "_v", "_n").withColumn("_rows", total)
+    return value_quantiles(materialize(values, "values"), "_v", "_n", probabilities)
+
+
+def value_quantiles(values: DataFrame, value: str, n: str, probabilities: Sequence[float]) -> DataFrame:
+    """Quantiles from a written table with one row per distinct value and its count."""
+    placed = running_before(values, value, n).withColumn("_rows", values.agg(F.sum(n)).scalar())
     picks = []
     for i, p in enumerate(probabilities):
         rank = (F.col("_rows") - 1) * F.lit(float(p))
         for name, at in (("lo", F.floor(rank)), ("hi", F.ceil(rank))):
-            here = (F.col("before") <= at) & (at < F.col("before") + F.col("_n"))
-            picks.append(F.max(F.when(here, F.col("_v").cast("double"))).alias(f"{name}{i}"))
+            here = (F.col("before") <= at) & (at < F.col("before") + F.col(n))
+            picks.append(F.max(F.when(here, F.col(value).cast("double"))).alias(f"{name}{i}"))
     row = placed.agg(F.max("_rows").alias("_rows"), *picks)
-    rank = [(F.col("_rows") - 1) * F.lit(float(p)) for p in probabilities]
+    ranks = [(F.col("_rows") - 1) * F.lit(float(p)) for p in probabilities]
     return row.select(
         F.array(
             *[
                 F.col(f"lo{i}") + (F.col(f"hi{i}") - F.col(f"lo{i}")) * (r - F.floor(r))
-                for i, r in enumerate(rank)
+                for i, r in enumerate(ranks)
             ]
         ).alias("q")
     )
-
-

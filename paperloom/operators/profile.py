@@ -8,7 +8,8 @@ from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.types import StringType
 
 from ..functions.core import is_blank
-from .ordering import quantiles
+from ..session import materialize
+from .ordering import value_quantiles
 
 
 def _missing(df: DataFrame, column: str, blanks: bool) -> Column:
@@ -80,19 +81,29 @@ def dup_rows(df: DataFrame, key: str = "id") -> DataFrame:
     return df.join(many, key, "left_semi")
 
 
+def _moments(df: DataFrame, column: str) -> DataFrame:
+    """``v, c``: every distinct value with its count, written once.
+
+    Means and quantiles both follow from this table, so the rows are read a single time.
+    """
+    values = df.where(F.col(column).isNotNull()).groupBy(F.col(column).alias("v"))
+    return materialize(values.agg(F.count("*").alias("c")), "values")
+
+
 def describe(df: DataFrame, column: str) -> DataFrame:
     """count, mean, sample deviation, minimum, quartiles (linear), maximum."""
-    x = F.col(column)
-    row = df.agg(
-        F.count(x).alias("count"),
-        F.avg(x).alias("mean"),
-        F.stddev_samp(x).alias("std"),
-        F.min(x).alias("min"),
-        F.max(x).alias("max"),
+    values = _moments(df, column)
+    mean = F.sum(F.col("v") * F.col("c")) / F.sum("c")
+    first = values.agg(
+        F.sum("c").alias("count"), mean.alias("mean"), F.min("v").alias("min"), F.max("v").alias("max")
     )
-    q = quantiles(df, column, (0.25, 0.5, 0.75)).scalar()
-    return row.withColumn("_q", q).select(
-        "count", "mean", "std", "min",
+    apart = (F.col("v") - F.col("m")) * (F.col("v") - F.col("m")) * F.col("c")
+    variance = values.withColumn("m", values.agg(mean).scalar()).agg(
+        F.when(F.sum("c") > 1, F.sum(apart) / (F.sum("c") - 1))
+    )
+    q = value_quantiles(values, "v", "c", (0.25, 0.5, 0.75)).scalar()
+    return first.withColumns({"_q": q, "std": F.sqrt(variance.scalar())}).select(
+        F.coalesce("count", F.lit(0)).alias("count"), "mean", "std", "min",
         F.col("_q")[0].alias("q25"), F.col("_q")[1].alias("q50"), F.col("_q")[2].alias("q75"),
         "max",
     )
@@ -100,11 +111,13 @@ def describe(df: DataFrame, column: str) -> DataFrame:
 
 def length_stats(df: DataFrame, length: Column) -> DataFrame:
     """n, mean, median, maximum, 95th and 99th percentile of a length."""
-    lengths = df.select(length.alias("len"))
-    row = lengths.agg(
-        F.count("len").alias("n"), F.avg("len").alias("mean"), F.max("len").alias("max_len")
+    values = _moments(df.select(length.alias("len")), "len")
+    row = values.agg(
+        F.coalesce(F.sum("c"), F.lit(0)).alias("n"),
+        (F.sum(F.col("v") * F.col("c")) / F.sum("c")).alias("mean"),
+        F.max("v").alias("max_len"),
     )
-    q = quantiles(lengths, "len", (0.5, 0.95, 0.99)).scalar()
+    q = value_quantiles(values, "v", "c", (0.5, 0.95, 0.99)).scalar()
     return row.withColumn("_q", q).select(
         "n", "mean", F.col("_q")[0].alias("median"), "max_len",
         F.col("_q")[1].alias("p95"), F.col("_q")[2].alias("p99"),
@@ -116,8 +129,7 @@ def histogram(df: DataFrame, column: str, bins: int = 20) -> DataFrame:
 
     Values are counted first, so the binning itself runs on one row per distinct value.
     """
-    x = F.col(column).cast("double")
-    values = df.where(F.col(column).isNotNull()).groupBy(x.alias("v")).agg(F.count("*").alias("c"))
+    values = _moments(df, column).withColumn("v", F.col("v").cast("double"))
     bounds = values.agg(F.struct(F.min("v").alias("lo"), F.max("v").alias("hi"))).scalar()
     width = (F.col("b.hi") - F.col("b.lo")) / bins
     binned = values.withColumn("b", bounds).withColumn("w", width)
