@@ -5,10 +5,11 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.records import year_norm
 from ..functions.text import presence_flag, split_authors
+from ..session import materialize
 from .ordering import dense_index
 from .skew import lookup_join
 
@@ -29,36 +30,30 @@ def author_frequency(df: DataFrame) -> DataFrame:
     return record_authors(df).groupBy("author").agg(F.count("*").alias("freq"))
 
 
+def _freq_stats() -> list[Column]:
+    """Aggregates over the names of a record; an unseen name counts as 0, no name gives 0."""
+    freq = F.when(F.col("author").isNotNull(), F.coalesce("freq", F.lit(0)))
+    return [
+        F.count("author").cast("double").alias("author_count"),
+        F.coalesce(F.avg(freq), F.lit(0.0)).alias("author_freq_mean"),
+        F.coalesce(F.max(freq), F.lit(0)).cast("double").alias("author_freq_max"),
+        F.coalesce(F.min(freq), F.lit(0)).cast("double").alias("author_freq_min"),
+    ]
+
+
 def author_stats(df: DataFrame, frequency: DataFrame) -> DataFrame:
-    """Author count and mean/max/min frequency per record; an unseen name counts as 0."""
-    names = record_authors(df)
-    here = names.groupBy("author").agg(F.count("*").alias("n"))
-    found = lookup_join(names, frequency, "author", here, "n", "id")
-    freq = F.coalesce("freq", F.lit(0))
-    stats = found.groupBy("id").agg(
-        F.count("*").alias("author_count"),
-        F.avg(freq).alias("author_freq_mean"),
-        F.max(freq).alias("author_freq_max"),
-        F.min(freq).alias("author_freq_min"),
-    )
-    columns = ("author_count", "author_freq_mean", "author_freq_max", "author_freq_min")
-    return df.select("id").join(stats, "id", "left").select(
-        "id", *[F.coalesce(c, F.lit(0)).cast("double").alias(c) for c in columns]
-    )
+    """Author count and mean/max/min frequency per record."""
+    names = df.select("id", F.explode_outer(split_authors("authors")).alias("author"))
+    return lookup_join(names, frequency, "author", "freq", "id").groupBy("id").agg(*_freq_stats())
 
 
 def venue_index(df: DataFrame) -> DataFrame:
-    """``venue, code``: alphabetical code of each venue; null counts as ``unknown``."""
-    return dense_index(df.select(F.coalesce("venue", F.lit("unknown")).alias("venue")), "venue")
+    """``venue, code, n``: alphabetical code of each venue; null counts as ``unknown``."""
+    return dense_index(df.select(_venue()), "venue")
 
 
-def encode_venue(df: DataFrame, index: DataFrame) -> DataFrame:
-    """``id, venue_encoded``: -1 for a venue the index does not have."""
-    rows = df.select("id", F.coalesce("venue", F.lit("unknown")).alias("venue"))
-    here = rows.groupBy("venue").agg(F.count("*").alias("n"))
-    return lookup_join(rows, index, "venue", here, "n", "id").select(
-        "id", F.coalesce("code", F.lit(-1)).cast("double").alias("venue_encoded")
-    )
+def _venue() -> Column:
+    return F.coalesce("venue", F.lit("unknown")).alias("venue")
 
 
 def scaler_stats(df: DataFrame, columns: Sequence[str] = SCALED) -> DataFrame:
@@ -98,19 +93,35 @@ class MetadataState:
 
 
 def raw_metadata(df: DataFrame, venues: DataFrame, frequency: DataFrame) -> DataFrame:
-    """The eight features before scaling."""
-    plain = df.select(
+    """The eight features before scaling.
+
+    One chain: look up the venue, unfold the names, look up the names, fold per record. A venue
+    the index does not have gets code -1.
+    """
+    rows = df.select(
         "id",
+        _venue(),
         year_norm("year").alias("year_norm"),
         presence_flag("abstract").cast("double").alias("has_abstract"),
+        split_authors("authors").alias("names"),
+    )
+    coded = lookup_join(rows, venues, "venue", "n", "id").select(
+        "id", "year_norm", "has_abstract",
+        F.coalesce("code", F.lit(-1)).cast("double").alias("venue_encoded"),
+        F.explode_outer("names").alias("author"),
+    )
+    own = ("venue_encoded", "year_norm", "has_abstract")
+    folded = lookup_join(coded, frequency, "author", "freq", "id").groupBy("id").agg(
+        *[F.max(c).alias(c) for c in own], *_freq_stats()
     )
-    joined = plain.join(encode_venue(df, venues), "id").join(author_stats(df, frequency), "id")
     has_authors = (F.col("author_count") > 0).cast("double").alias("has_authors")
-    return joined.select("id", *SCALED, "has_abstract", has_authors)
+    return folded.select("id", *SCALED, "has_abstract", has_authors)
 
 
 def fit_metadata(train: DataFrame) -> MetadataState:
-    venues, frequency = venue_index(train), author_frequency(train)
+    """Learn the tables; each is written once, since both fitting and applying read them."""
+    venues = materialize(venue_index(train), "venues")
+    frequency = materialize(author_frequency(train), "authors")
     return MetadataState(venues, frequency, scaler_stats(raw_metadata(train, venues, frequency)))
 
 

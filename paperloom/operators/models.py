@@ -14,9 +14,8 @@ from pyspark.ml import Estimator, Model, Pipeline, PipelineModel
 from pyspark.ml.classification import (
     GBTClassifier, LinearSVC, LogisticRegression, NaiveBayes, OneVsRest,
 )
-from pyspark.ml.feature import PCA, MinMaxScaler, StandardScaler, VectorAssembler
+from pyspark.ml.feature import PCA, MinMaxScaler, StandardScaler, VectorAssembler, VectorSlicer
 from pyspark.ml.functions import array_to_vector, vector_to_array
-from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..functions import vectors as V
@@ -24,7 +23,7 @@ from ..functions.labels import LABELS, apply_thresholds, ordinal_targets
 from ..session import materialize, shared_dir
 from .evaluate import balanced_weight, macro_f1
 from .folds import oof_assemble, stratified_kfold
-from .stages import MacroF1Evaluator
+from .stages import BoostedTrees, NonNegative
 from .thresholds import NAMES, threshold_search
 
 C_GRID = (0.1, 0.5, 1.0, 5.0, 10.0)
@@ -62,25 +61,25 @@ def linear_svm(c: float, n_rows: int, max_iter: int = 200, features: str = "feat
 
 
 def naive_bayes() -> Pipeline:
-    """Scale to [0, 1], then multinomial naive Bayes; sparse input stays valid."""
+    """Scale to [0, 1] by the training range, then multinomial naive Bayes."""
     return Pipeline(stages=[
-        MinMaxScaler(inputCol="features", outputCol="unit"),
+        MinMaxScaler(inputCol="features", outputCol="scaled"),
+        NonNegative(inputCol="scaled", outputCol="unit"),
         NaiveBayes(featuresCol="unit", labelCol="target", modelType="multinomial"),
     ])
 
 
 def boosted_trees(spark: SparkSession, rounds: int = 500, depth: int = 6, rate: float = 0.05,
                   rows: float = 0.8, columns: float = 0.8, tolerance: float = 0.01,
-                  validation: str | None = None) -> OneVsRest:
-    """Gradient-boosted trees per label, with early stop on the marked validation rows."""
+                  held: str | None = None) -> BoostedTrees:
+    """Gradient-boosted trees, with early stop on the rows marked by ``held``."""
     spark.sparkContext.setCheckpointDir(shared_dir(spark))
-    base = GBTClassifier(
-        maxIter=rounds, maxDepth=depth, stepSize=rate, subsamplingRate=rows,
-        featureSubsetStrategy=str(columns), seed=42, checkpointInterval=10, cacheNodeIds=True,
+    stop = {"validationIndicatorCol": held, "validationTol": tolerance} if held else {}
+    booster = GBTClassifier(
+        featuresCol="features", maxIter=rounds, maxDepth=depth, stepSize=rate, subsamplingRate=rows,
+        featureSubsetStrategy=str(columns), seed=42, checkpointInterval=10, cacheNodeIds=True, **stop,
     )
-    if validation is not None:
-        base = base.setValidationIndicatorCol(validation).setValidationTol(tolerance)
-    return OneVsRest(classifier=base, featuresCol="features", labelCol="target", parallelism=len(LABELS))
+    return BoostedTrees(booster, len(LABELS), held)
 
 
 def standardize_pca(k: int, features: str = "features") -> list:
@@ -140,28 +139,38 @@ def tune_c(train: DataFrame, valid: DataFrame, make: Callable[[float, int], Esti
 
 def grid_search_cv(df: DataFrame, components: Sequence[int], cs: Sequence[float], folds: int = 5,
                    parallelism: int = 4) -> tuple[float, dict, PipelineModel]:
-    """Best macro-F1 over PCA size and penalty on stratified folds, and the refitted pipeline."""
+    """Best macro-F1 over PCA size and penalty on stratified folds, and the refitted pipeline.
+
+    The first k components of a larger projection are the projection to k, so each fold needs
+    one PCA, and every grid point slices it. Of equal scores the first grid point wins.
+    """
     fold = stratified_kfold(df, folds).select("id", "fold")
     rows = materialize(weighted(df).join(fold, "id"), "grid")
-    n = rows.count()
-    scaler, pca = standardize_pca(components[0])
-    svm = linear_svm(cs[0], n, features="pca")
-    base = svm.getClassifier()
-    grid = (
-        ParamGridBuilder()
-        .addGrid(pca.k, list(components))
-        .addGrid(svm.classifier, [base.copy({base.regParam: 1.0 / (c * n)}) for c in cs])
-        .build()
-    )
-    search = CrossValidator(
-        estimator=Pipeline(stages=[scaler, pca, svm]), estimatorParamMaps=grid,
-        evaluator=MacroF1Evaluator(labelCol="target", predictionCol="prediction"),
-        numFolds=folds, foldCol="fold", parallelism=parallelism,
-    ).fit(rows)
-    scores = search.avgMetrics
-    at = max(range(len(scores)), key=lambda i: (scores[i], -i))
-    chosen = {"k": grid[at][pca.k], "C": 1.0 / (grid[at][svm.classifier].getRegParam() * n)}
-    return scores[at], chosen, search.bestModel
+    spark = df.sparkSession
+    points = [(k, c) for k in components for c in cs]
+    totals = [0.0] * len(points)
+
+    def used(k: int) -> VectorSlicer:
+        return VectorSlicer(inputCol="pca", outputCol="used", indices=list(range(k)))
+
+    for f in range(folds):
+        projection = Pipeline(stages=standardize_pca(max(components))).fit(rows.where(F.col("fold") != f))
+        projected = materialize(projection.transform(rows).drop("features", "scaled"), "projected")
+        train, held = projected.where(F.col("fold") != f), projected.where(F.col("fold") == f)
+        n = train.count()
+
+        def score(point: tuple[int, float]) -> float:
+            k, c = point
+            model = Pipeline(stages=[used(k), linear_svm(c, n, features="used")]).fit(train)
+            return _macro_f1_of(predict(model, held))
+
+        with ThreadPool(parallelism) as pool:
+            scores = pool.map(inheritable_thread_target(spark)(score), points)
+        totals = [t + s / folds for t, s in zip(totals, scores)]
+    at = max(range(len(points)), key=lambda i: (totals[i], -i))
+    k, c = points[at]
+    stages = [*standardize_pca(k), linear_svm(c, rows.count(), features="pca")]
+    return totals[at], {"k": k, "C": c}, Pipeline(stages=stages).fit(rows)
 
 
 # --- cross-validated ensembles ------------------------------------------------------------

@@ -83,9 +83,10 @@ def running_before(keys: DataFrame, key: str, weight: str, buckets: int = BUCKET
 
 
 def dense_index(df: DataFrame, key: str) -> DataFrame:
-    """``key, code``: zero-based alphabetical position of each distinct value."""
-    distinct = df.select(key).where(F.col(key).isNotNull()).distinct().withColumn("_one", F.lit(1))
-    return running_before(materialize(distinct, "keys"), key, "_one").select(key, F.col("before").alias("code"))
+    """``key, code, n``: zero-based alphabetical position of each value, and its row count."""
+    values = df.where(F.col(key).isNotNull()).groupBy(key).agg(F.count("*").alias("n"))
+    values = materialize(values.withColumn("_one", F.lit(1)), "keys")
+    return running_before(values, key, "_one").select(key, F.col("before").alias("code"), "n")
 
 
 def ordered_within(df: DataFrame, group: str, key: str, digits: int = HEX_DIGITS) -> DataFrame:

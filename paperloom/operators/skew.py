@@ -2,42 +2,35 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 HEAVY_SHARE = 1000
 SALTS = 64
 
 
-def heavy_keys(counts: DataFrame, key: str, n: str, share: int = HEAVY_SHARE) -> DataFrame:
-    """Keys with at least ``1/share`` of the total count: never more than ``share`` rows."""
-    total = counts.agg(F.sum(n)).scalar()
-    return counts.withColumn("_total", total).where(F.col(n) * share >= F.col("_total")).select(key)
+def _is_heavy(n: str) -> Column:
+    return F.col(n) * HEAVY_SHARE >= F.col("_total")
 
 
-def lookup_join(
-    rows: DataFrame,
-    table: DataFrame,
-    key: str,
-    counts: DataFrame,
-    n: str,
-    spread_by: str,
-    how: str = "left",
-    salts: int = SALTS,
-) -> DataFrame:
+def lookup_join(rows: DataFrame, table: DataFrame, key: str, n: str, spread_by: str,
+                how: str = "left", salts: int = SALTS) -> DataFrame:
     """Join ``rows`` to a table with one row per ``key``; heavy keys are spread over ``salts``.
 
-    ``counts`` (``key, n``) says how often each key occurs in ``rows``. Only the heavy keys, at
-    most ``HEAVY_SHARE`` of them, are broadcast as markers and copied in the table; all other
-    keys go through the plain shuffle with salt 0.
+    Column ``n`` of the table says how often the key occurs. A key with at least 1/1000 of the
+    total is heavy, so there are never more than 1000 heavy keys: only these are broadcast, as
+    markers, and copied in the table. All other keys take the plain shuffle with salt 0. Null
+    keys match nothing and are spread too. ``n`` only steers the spreading; a wrong count costs
+    time, not rows.
     """
-    heavy = heavy_keys(counts, key, n).withColumn("_heavy", F.lit(True))
-    heavy = F.broadcast(heavy)
-    salt = F.when(F.col("_heavy"), F.pmod(F.xxhash64(spread_by), F.lit(salts))).otherwise(F.lit(0))
-    left = rows.join(heavy, key, "left").withColumn("_salt", salt.cast("int")).drop("_heavy")
-    copies = F.when(F.col("_heavy"), F.sequence(F.lit(0), F.lit(salts - 1)))
-    right = (
-        table.join(heavy, key, "left")
-        .withColumn("_salt", F.explode(F.coalesce(copies, F.array(F.lit(0)))))
+    counted = table.withColumn("_total", table.agg(F.sum(n)).scalar())
+    heavy = counted.where(_is_heavy(n)).select(key, F.lit(True).alias("_heavy"))
+    hot = F.coalesce(F.col("_heavy"), F.col(key).isNull())
+    salt = F.when(hot, F.pmod(F.xxhash64(spread_by), F.lit(salts))).otherwise(F.lit(0))
+    left = (
+        rows.join(F.broadcast(heavy), key, "left")
+        .withColumn("_salt", salt.cast("int"))
         .drop("_heavy")
     )
-    return left.join(right, [key, "_salt"], how).drop("_salt")
+    copies = F.when(_is_heavy(n), F.sequence(F.lit(0), F.lit(salts - 1)))
+    right = counted.withColumn("_salt", F.explode(F.coalesce(copies, F.array(F.lit(0)))))
+    return left.join(right.drop("_total"), [key, "_salt"], how).drop("_salt")

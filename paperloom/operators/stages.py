@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark import keyword_only
+from multiprocessing.pool import ThreadPool
+
+from pyspark import inheritable_thread_target, keyword_only
 from pyspark.ml import Estimator, Model, Pipeline, PipelineModel, Transformer
+from pyspark.ml.classification import GBTClassifier
 from pyspark.ml.evaluation import Evaluator
 from pyspark.ml.feature import CountVectorizerModel, ElementwiseProduct, Normalizer, VectorAssembler
+from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.linalg import Vectors
 from pyspark.ml.param import Param, Params, TypeConverters
 from pyspark.ml.param.shared import HasLabelCol, HasPredictionCol
@@ -13,6 +17,8 @@ from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..functions import text as T
+from ..functions.vectors import argmax_label
+from ..session import materialize
 from . import cleaning, evaluate, metadata, terms
 
 
@@ -59,7 +65,7 @@ class TfidfBlock(Estimator, DefaultParamsReadable, DefaultParamsWritable):
     def __init__(self, *, inputCol=None, outputCol=None, maxFeatures=8000, minDF=2, maxDF=0.9,
                  stopWords=None, bigrams=True, lastNames=False):
         super().__init__()
-        self._setDefault(stopWords=[])
+        self._setDefault(maxFeatures=8000, minDF=2, maxDF=0.9, stopWords=[], bigrams=True, lastNames=False)
         self._set(**{k: v for k, v in self._input_kwargs.items() if v is not None})
 
     def _get(self, name: str):
@@ -101,7 +107,7 @@ class TermTokens(_Stage):
     @keyword_only
     def __init__(self, *, inputCol=None, outputCol=None, stopWords=None, bigrams=True, lastNames=False):
         super().__init__()
-        self._setDefault(stopWords=[])
+        self._setDefault(stopWords=[], bigrams=True, lastNames=False)
         self._set(**{k: v for k, v in self._input_kwargs.items() if v is not None})
 
     def _transform(self, df: DataFrame) -> DataFrame:
@@ -123,6 +129,69 @@ class DropColumns(_Stage):
         return df.drop(*self.getOrDefault(self.columns))
 
 
+class NonNegative(_Stage):
+    """Cut negative vector entries to 0: a held-out value may lie below the training minimum."""
+
+    inputCol = Param(Params._dummy(), "inputCol", "vector column", TypeConverters.toString)
+    outputCol = Param(Params._dummy(), "outputCol", "vector column", TypeConverters.toString)
+
+    @keyword_only
+    def __init__(self, *, inputCol=None, outputCol=None):
+        super().__init__()
+        self._set(**self._input_kwargs)
+
+    def _transform(self, df: DataFrame) -> DataFrame:
+        values = vector_to_array(self.getOrDefault(self.inputCol))
+        cut = F.transform(values, lambda v: F.greatest(v, F.lit(0.0)))
+        return df.withColumn(self.getOrDefault(self.outputCol), array_to_vector(cut))
+
+
+class BoostedTrees(Estimator):
+    """Gradient-boosted trees for zero-based labels: one binary booster per label.
+
+    ``held`` names a boolean column; those rows stop the boosting when the error no longer
+    falls by more than the tolerance. The boosters are fitted side by side.
+    """
+
+    def __init__(self, booster: GBTClassifier, labels: int, held: str | None = None):
+        super().__init__()
+        self.booster, self.labels, self.held = booster, labels, held
+
+    def _fit(self, df: DataFrame) -> BoostedTreesModel:
+        columns = ["features", "target"] + ([self.held] if self.held else [])
+        rows = materialize(df.select(*columns), "boosting")
+
+        def fit(k: int) -> Model:
+            binary = rows.withColumn("binary", (F.col("target") == k).cast("double"))
+            return self.booster.copy({self.booster.labelCol: "binary"}).fit(binary)
+
+        with ThreadPool(self.labels) as pool:
+            return BoostedTreesModel(pool.map(inheritable_thread_target(df.sparkSession)(fit), range(self.labels)))
+
+
+class BoostedTreesModel(Model):
+    """Adds ``probability`` (shares of the positive scores) and ``prediction``."""
+
+    def __init__(self, boosters: list):
+        super().__init__()
+        self.boosters = boosters
+
+    def _transform(self, df: DataFrame) -> DataFrame:
+        out = df
+        for k, model in enumerate(self.boosters):
+            scored = model.transform(out)
+            positive = vector_to_array("probability")[1].alias(f"_p{k}")
+            out = scored.select(*out.columns, positive)
+        names = [f"_p{k}" for k in range(len(self.boosters))]
+        total = sum((F.col(n) for n in names[1:]), F.col(names[0]))
+        shares = F.array(*[F.col(n) / total for n in names])
+        out = out.withColumn("_shares", shares).withColumns({
+            "probability": array_to_vector("_shares"),
+            "prediction": argmax_label("_shares").cast("double"),
+        })
+        return out.drop("_shares", *names)
+
+
 class MetadataFeatures(Estimator, DefaultParamsReadable, DefaultParamsWritable):
     """The eight metadata features as a dense vector column ``metadata``."""
 

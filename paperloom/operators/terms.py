@@ -52,11 +52,10 @@ def weigh(terms: DataFrame, vocab: DataFrame, max_features: int | None) -> DataF
     A vocabulary with a limit is broadcast. Without a limit it grows with the corpus, so the
     join is shuffled and the terms that occur in many records are spread.
     """
-    idf = vocab.select("term", "idf")
     if max_features is not None and max_features <= BROADCAST_TERMS:
-        joined = terms.join(F.broadcast(idf), "term")
+        joined = terms.join(F.broadcast(vocab.select("term", "idf")), "term")
     else:
-        joined = lookup_join(terms, idf, "term", vocab.select("term", "df"), "df", "id", "inner")
+        joined = lookup_join(terms, vocab.select("term", "idf", "df"), "term", "df", "id", "inner")
     return joined.select("id", "term", (F.col("tf") * F.col("idf")).alias("raw"))
 
 

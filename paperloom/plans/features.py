@@ -59,7 +59,7 @@ def author_stats(spark, sf):
 
 @query("venue_index", with_views("SELECT venue, code FROM venues", "papers", venues=VENUES_SQL))
 def venue_index(spark, sf):
-    return metadata.venue_index(tables.paper_texts(spark, sf))
+    return metadata.venue_index(tables.paper_texts(spark, sf)).select("venue", "code")
 
 
 @query("scaler_stats", with_views(

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions.vectors import argmax_label
 from ..operators import folds, models
-from ..session import scratch_path
+from ..session import materialize, scratch_path
 from ..sources import tables
 from .registry import query
 
@@ -18,7 +18,8 @@ def _input(spark, sf):
 
 def _split(spark, sf):
     rows = _input(spark, sf)
-    marked = rows.join(folds.stratified_split(rows).select("id", "split"), "id")
+    # Fitting passes over the rows many times, so the joined table is written first.
+    marked = materialize(rows.join(folds.stratified_split(rows).select("id", "split"), "id"), "split")
     return [marked.where(F.col("split") == s).drop("split") for s in ("train", "test")]
 
 
@@ -56,7 +57,7 @@ def boosted_trees(spark, sf):
     """A short run of the boosted trees: 10 rounds with early stop on the test split."""
     train, test = _split(spark, sf)
     rows = train.withColumn("held", F.lit(False)).unionByName(test.withColumn("held", F.lit(True)))
-    model = models.boosted_trees(spark, rounds=10, depth=3, validation="held").fit(rows)
+    model = models.boosted_trees(spark, rounds=10, depth=3, held="held").fit(rows)
     return models.predict(model, test)
 
 
@@ -78,7 +79,7 @@ def tune_c(spark, sf):
 @query("grid_search_cv")
 def grid_search_cv(spark, sf):
     rows = _input(spark, sf)
-    score, chosen, model = models.grid_search_cv(rows, components=(30, 50), cs=(1.0,), folds=3)
+    score, chosen, model = models.grid_search_cv(rows, components=(30, 50), cs=(0.5, 1.0), folds=3)
     return models.predict(model, rows).withColumns(
         {"cv_macro_f1": F.lit(score), "k": F.lit(chosen["k"]), "c": F.lit(chosen["C"])})
 
