@@ -138,7 +138,7 @@ def tune_c(train: DataFrame, valid: DataFrame, make: Callable[[float, int], Esti
 
 
 def grid_search_cv(df: DataFrame, components: Sequence[int], cs: Sequence[float], folds: int = 5,
-                   parallelism: int = 4) -> tuple[float, dict, PipelineModel]:
+                   max_iter: int = 200, parallelism: int = 4) -> tuple[float, dict, PipelineModel]:
     """Best macro-F1 over PCA size and penalty on stratified folds, and the refitted pipeline.
 
     The first k components of a larger projection are the projection to k, so each fold needs
@@ -161,7 +161,7 @@ def grid_search_cv(df: DataFrame, components: Sequence[int], cs: Sequence[float]
 
         def score(point: tuple[int, float]) -> float:
             k, c = point
-            model = Pipeline(stages=[used(k), linear_svm(c, n, features="used")]).fit(train)
+            model = Pipeline(stages=[used(k), linear_svm(c, n, max_iter, features="used")]).fit(train)
             return _macro_f1_of(predict(model, held))
 
         with ThreadPool(parallelism) as pool:
@@ -169,7 +169,7 @@ def grid_search_cv(df: DataFrame, components: Sequence[int], cs: Sequence[float]
         totals = [t + s / folds for t, s in zip(totals, scores)]
     at = max(range(len(points)), key=lambda i: (totals[i], -i))
     k, c = points[at]
-    stages = [*standardize_pca(k), linear_svm(c, rows.count(), features="pca")]
+    stages = [*standardize_pca(k), linear_svm(c, rows.count(), max_iter, features="pca")]
     return totals[at], {"k": k, "C": c}, Pipeline(stages=stages).fit(rows)
 
 

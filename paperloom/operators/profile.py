@@ -65,9 +65,23 @@ def value_counts(df: DataFrame, column: str) -> DataFrame:
     return df.where(F.col(column).isNotNull()).groupBy(column).agg(F.count("*").alias("n"))
 
 
+LONG_KEY = 64
+
+
+def _short_key(df: DataFrame, column: str) -> Column:
+    """Long strings as their SHA-256, so that a shuffle by a text does not move the text."""
+    x = F.col(column)
+    if not isinstance(df.schema[column].dataType, StringType):
+        return x
+    digest = F.concat(F.lit("sha256:"), F.sha2(x, 256))
+    return F.when(F.length(x) > LONG_KEY, digest).otherwise(x).alias(column)
+
+
 def dup_count(df: DataFrame, keys: Sequence[str] | None = None) -> DataFrame:
     """Rows beyond the first of each key; nulls equal each other."""
-    groups = df.groupBy(*(keys or df.columns)).agg(F.count("*").alias("n"))
+    columns = list(keys or df.columns)
+    short = df.select(*[_short_key(df, c) for c in columns])
+    groups = short.groupBy(*columns).agg(F.count("*").alias("n"))
     return groups.agg(F.coalesce(F.sum(F.col("n") - 1), F.lit(0)).alias("duplicates"))
 
 

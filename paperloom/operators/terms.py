@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions import text as T
+from ..session import materialize
 from .skew import lookup_join
 
 # A vocabulary up to this many terms is small enough to send to every task.
@@ -49,13 +50,14 @@ def vocabulary(df: DataFrame, terms: DataFrame, min_df: int = 1, max_df: float =
 def weigh(terms: DataFrame, vocab: DataFrame, max_features: int | None) -> DataFrame:
     """``id, term, raw`` with ``raw = tf * idf``.
 
-    A vocabulary with a limit is broadcast. Without a limit it grows with the corpus, so the
-    join is shuffled and the terms that occur in many records are spread.
+    A vocabulary with a limit is broadcast. Without a limit it grows with the corpus, so it is
+    written once, the join is shuffled and the terms that occur in many records are spread.
     """
     if max_features is not None and max_features <= BROADCAST_TERMS:
         joined = terms.join(F.broadcast(vocab.select("term", "idf")), "term")
     else:
-        joined = lookup_join(terms, vocab.select("term", "idf", "df"), "term", "df", "id", "inner")
+        table = materialize(vocab.select("term", "idf", "df"), "vocabulary")
+        joined = lookup_join(terms, table, "term", "df", "id", "inner")
     return joined.select("id", "term", (F.col("tf") * F.col("idf")).alias("raw"))
 
 

@@ -42,7 +42,7 @@ def logreg(spark, sf):
 @query("svm")
 def svm(spark, sf):
     train, test = _split(spark, sf)
-    model = models.linear_svm(1.0, train.count(), max_iter=50).fit(models.weighted(train))
+    model = models.linear_svm(1.0, train.count(), max_iter=20).fit(models.weighted(train))
     return models.predict(model, test)
 
 
@@ -79,7 +79,7 @@ def tune_c(spark, sf):
 @query("grid_search_cv")
 def grid_search_cv(spark, sf):
     rows = _input(spark, sf)
-    score, chosen, model = models.grid_search_cv(rows, components=(30, 50), cs=(0.5, 1.0), folds=3)
+    score, chosen, model = models.grid_search_cv(rows, components=(30, 50), cs=(1.0,), folds=3, max_iter=10)
     return models.predict(model, rows).withColumns(
         {"cv_macro_f1": F.lit(score), "k": F.lit(chosen["k"]), "c": F.lit(chosen["C"])})
 
