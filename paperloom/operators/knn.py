@@ -60,6 +60,8 @@ def smallest_copies(df: DataFrame, k: int) -> DataFrame:
 def pick_pivots(reference: DataFrame, pivots: int) -> np.ndarray:
     """A bounded, repeatable sample of reference vectors."""
     rows = reference.orderBy(F.xxhash64("id"), "id").limit(pivots).select("embedding").collect()
+    if not rows:
+        return np.zeros((0, 0))
     return _unit(pd.Series([r[0] for r in rows]), REFERENCE)
 
 

@@ -12,7 +12,7 @@ from multiprocessing.pool import ThreadPool
 from pyspark import inheritable_thread_target
 from pyspark.ml import Estimator, Model, Pipeline, PipelineModel
 from pyspark.ml.classification import (
-    GBTClassifier, LinearSVC, LogisticRegression, NaiveBayes, OneVsRest,
+    GBTClassifier, LinearSVC, LogisticRegression, LogisticRegressionModel, NaiveBayes, OneVsRest,
 )
 from pyspark.ml.feature import PCA, MinMaxScaler, StandardScaler, VectorAssembler, VectorSlicer
 from pyspark.ml.functions import array_to_vector, vector_to_array
@@ -275,7 +275,7 @@ def ordinal_regression(df: DataFrame, c: float = 1.0, gamma: float = 0.6,
 class OrdinalEnsemble:
     models: list[OrdinalModel]
     cuts: tuple[float, ...]
-    oof: DataFrame
+    oof: DataFrame | None
 
 
 def ordinal_ensemble(df: DataFrame, folds: int = 5, c: float = 1.0, max_iter: int = 100) -> OrdinalEnsemble:
@@ -328,8 +328,17 @@ def load_cuts(spark: SparkSession, folder: str) -> tuple[float, ...]:
 
 
 def save_ordinal(ensemble: OrdinalEnsemble, folder: str) -> None:
-    spark = ensemble.oof.sparkSession
+    spark = SparkSession.active()
     for i, model in enumerate(ensemble.models):
         save_models([*model.heads, model.classes], f"{folder}/model_{i}")
     save_cuts(spark, ensemble.cuts, folder)
 
+
+
+def load_ordinal(spark: SparkSession, folder: str, folds: int, gamma: float = 0.6) -> OrdinalEnsemble:
+    """The saved fold models and cut points; out-of-fold scores are not part of what is saved."""
+    loaded = []
+    for i in range(folds):
+        *heads, classes = load_models(LogisticRegressionModel, f"{folder}/model_{i}", len(LABELS))
+        loaded.append(OrdinalModel(heads, classes, gamma))
+    return OrdinalEnsemble(loaded, load_cuts(spark, folder), None)
