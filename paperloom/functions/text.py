@@ -36,7 +36,7 @@ def normalize_author_list(authors: Column | str) -> Column:
 
 
 def author_last_names(authors: Column | str) -> Column:
-    """``A. Dovier, T. Dreossi`` becomes ``dovier dreossi``."""
+    """``J. Smith, A. van Dyk`` becomes ``smith dyk``."""
     last = F.transform(
         split_authors(F.lower(safe_text(authors))),
         lambda n: F.element_at(F.split(n, f"[{WS}]+"), -1),

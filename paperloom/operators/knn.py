@@ -19,8 +19,10 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, Window, functions as F
 
-PIVOTS = 128
+from ..session import materialize
+
 BLOCK = 4096
+MAX_PIVOTS = 1024
 DIGITS = 9  # distances are rounded, so equal vectors tie and ties break by id
 NOISE = 1e-7  # error of a Euclidean distance taken from a cosine
 
@@ -65,15 +67,18 @@ def pick_pivots(reference: DataFrame, pivots: int) -> np.ndarray:
     return _unit(pd.Series([r[0] for r in rows]), REFERENCE)
 
 
-def knn_join(queries: DataFrame, reference: DataFrame, k: int = 5, pivots: int = PIVOTS,
+def knn_join(queries: DataFrame, reference: DataFrame, k: int = 5, pivots: int | None = None,
              block: int = BLOCK) -> DataFrame:
     """``id, neighbour_id, distance, rank`` for frames ``id, embedding``: the k nearest each.
 
-    Three small steps run at once (pivots, cell sizes, queries per cell); what they bring to
-    the driver is bounded by the number of pivots, not by the data.
+    The placed references and the routed queries are written once, as both are read again.
+    What comes to the driver (pivots, cell sizes, queries per cell) is bounded by the number of
+    pivots, not by the data.
     """
     queries = queries.select("id", "embedding")
-    reference = smallest_copies(reference.select("id", "embedding"), k)
+    reference = materialize(smallest_copies(reference.select("id", "embedding"), k), "reference")
+    if pivots is None:
+        pivots = min(MAX_PIVOTS, math.ceil(4 * reference.count() / block))
     points = pick_pivots(reference, pivots)
     schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in queries.schema.fields)
     if len(points) == 0:
@@ -87,7 +92,7 @@ def knn_join(queries: DataFrame, reference: DataFrame, k: int = 5, pivots: int =
                 d = _euclid(_unit(pdf["embedding"], REFERENCE), points)
                 yield pdf.assign(cell=d.argmin(axis=1).astype("int32"), r=d.min(axis=1))
 
-    placed = reference.mapInPandas(to_cell, schema + ", cell int, r double")
+    placed = materialize(reference.mapInPandas(to_cell, schema + ", cell int, r double"), "placed")
 
     near = Window.partitionBy("cell").orderBy("r", "id")
     closest = (
@@ -122,7 +127,7 @@ def knn_join(queries: DataFrame, reference: DataFrame, k: int = 5, pivots: int =
             needed = (far >= 0) & (nearest <= limit)
             yield pdf.assign(cells=[np.flatnonzero(n).astype("int32") for n in needed])
 
-    routed = queries.mapInPandas(route, schema + ", cells array<int>")
+    routed = materialize(queries.mapInPandas(route, schema + ", cells array<int>"), "routed")
     visits = routed.select("id", "embedding", F.explode("cells").alias("cell"))
     load = {r["cell"]: r["n"] for r in visits.groupBy("cell").agg(F.count("*").alias("n")).collect()}
     groups = [math.ceil(load.get(c, 0) / block) for c in range(len(points))]
@@ -150,13 +155,16 @@ def knn_join(queries: DataFrame, reference: DataFrame, k: int = 5, pivots: int =
         reference_ids = reference_ids[by_id]
         unit = _unit(r["embedding"], REFERENCE)[by_id]
         similarity = _unit(q["embedding"], QUERY) @ unit.T
-        distance = np.round(1.0 - similarity, DIGITS)
-        kept = np.argsort(distance, axis=1, kind="stable")[:, :k]
-        width = kept.shape[1]
+        # Rounded distance first, then place in id order: one number per pair, without ties.
+        n = len(reference_ids)
+        order = np.rint((1.0 - similarity) * 10.0**DIGITS).astype("int64") * n + np.arange(n)
+        if n > k:
+            order = np.partition(order, k - 1, axis=1)[:, :k]
+        order.sort(axis=1)
         return pd.DataFrame({
-            "id": np.repeat(q["id"].to_numpy(), width),
-            "neighbour_id": reference_ids[kept].ravel(),
-            "distance": np.take_along_axis(distance, kept, axis=1).ravel(),
+            "id": np.repeat(q["id"].to_numpy(), order.shape[1]),
+            "neighbour_id": reference_ids[(order % n).ravel()],
+            "distance": (order // n).ravel() / 10.0**DIGITS,
         })
 
     keys = ("cell", "slice", "grp")

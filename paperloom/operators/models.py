@@ -117,7 +117,7 @@ class Tuned:
 
 
 def tune_c(train: DataFrame, valid: DataFrame, make: Callable[[float, int], Estimator],
-           grid: Sequence[float] = C_GRID) -> Tuned:
+           grid: Sequence[float] = C_GRID, parallelism: int = 4) -> Tuned:
     """Best penalty by macro-F1 on the validation part; the first best one wins.
 
     The final model is then fitted on both parts.
@@ -129,12 +129,15 @@ def tune_c(train: DataFrame, valid: DataFrame, make: Callable[[float, int], Esti
     fit_rows = weighted(parts.where(~F.col("valid")))
     held = parts.where("valid")
     n = parts.where(~F.col("valid")).count()
-    best_c, best = None, -1.0
-    for c in grid:
-        score = _macro_f1_of(predict(make(c, n).fit(fit_rows), held))
-        if score > best:
-            best_c, best = c, score
-    return Tuned(best_c, best, make(best_c, parts.count()).fit(weighted(parts)))
+
+    def score(c: float) -> float:
+        return _macro_f1_of(predict(make(c, n).fit(fit_rows), held))
+
+    with ThreadPool(parallelism) as pool:
+        scores = pool.map(inheritable_thread_target(train.sparkSession)(score), grid)
+    best = max(range(len(grid)), key=lambda i: (scores[i], -i))
+    final = make(grid[best], parts.count()).fit(weighted(parts))
+    return Tuned(grid[best], scores[best], final)
 
 
 def grid_search_cv(df: DataFrame, components: Sequence[int], cs: Sequence[float], folds: int = 5,
@@ -278,13 +281,17 @@ class OrdinalEnsemble:
     oof: DataFrame | None
 
 
-def ordinal_ensemble(df: DataFrame, folds: int = 5, c: float = 1.0, max_iter: int = 100) -> OrdinalEnsemble:
+def ordinal_ensemble(df: DataFrame, folds: int = 5, c: float = 1.0, max_iter: int = 100,
+                     parallelism: int = 4) -> OrdinalEnsemble:
     """Fold models, their out-of-fold scores and the cut points found on those scores."""
     fold = stratified_kfold(df, folds).select("id", "fold")
     rows = materialize(df.join(fold, "id"), "ordinal-folds")
-    models = [
-        ordinal_regression(rows.where(F.col("fold") != k), c, max_iter=max_iter) for k in range(folds)
-    ]
+
+    def fit(k: int) -> OrdinalModel:
+        return ordinal_regression(rows.where(F.col("fold") != k), c, max_iter=max_iter)
+
+    with ThreadPool(min(parallelism, folds)) as pool:
+        models = pool.map(inheritable_thread_target(df.sparkSession)(fit), range(folds))
     parts = {
         k: m.score(rows.where(F.col("fold") == k)).select("id", "label", "score")
         for k, m in enumerate(models)

@@ -16,6 +16,7 @@ from ..session import materialize
 
 BUCKETS = 256
 HEX_DIGITS = 3
+ONE_WINDOW = 20_000  # rows that one task may order by itself
 
 
 def _search(df: DataFrame, points: Column, key: str, name: str, buckets: int) -> DataFrame:
@@ -73,11 +74,16 @@ def add_offsets(cut: DataFrame, order: Sequence[str], weight: str, groups: Seque
     )
 
 
-def running_before(keys: DataFrame, key: str, weight: str, buckets: int = BUCKETS) -> DataFrame:
+def running_before(keys: DataFrame, key: str, weight: str, buckets: int = BUCKETS,
+                   one_window: int = ONE_WINDOW) -> DataFrame:
     """Add ``before``: the total weight of the smaller keys. One row per key is expected.
 
-    ``keys`` is read three times, so it should be a written table.
+    ``keys`` is read several times, so it should be a written table; counting its rows then
+    reads file footers only. Up to ``one_window`` keys fit one window; more are cut into buckets.
     """
+    if keys.count() <= one_window:
+        whole = Window.orderBy(key).rowsBetween(Window.unboundedPreceding, -1)
+        return keys.withColumn("before", F.coalesce(F.sum(weight).over(whole), F.lit(0)))
     cut = _search(keys, split_points(keys, key, buckets), key, "_bucket", buckets)
     return add_offsets(cut, [key], weight, [])
 

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from ..functions import text as T
 from ..functions.stopwords import english_stop_words
 from ..operators import folds, knn, metadata, models, stages
+from ..session import materialize
 from ..sources import tables
 from . import sql as Q
 from .registry import query
@@ -117,7 +118,7 @@ def feature_concat(spark, sf):
 def feature_union(spark, sf):
     """Text and metadata stages fitted on the training split and applied to the test split."""
     papers = tables.papers(spark, sf)
-    split = papers.join(folds.stratified_split(papers).select("id", "split"), "id")
+    split = materialize(papers.join(folds.stratified_split(papers).select("id", "split"), "id"), "split")
     model = stages.feature_union(english_stop_words()).fit(split.where("split = 'train'").drop("split"))
     out = model.transform(split.where("split = 'test'").drop("split"))
     return out.select("id", "label", F.size(vector_to_array("features")).alias("width"))

@@ -28,14 +28,16 @@ def load_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 
 
 def load_texts(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    """A table of long texts. A file may be one row group, which one task has to read.
+    """A table of long texts.
 
-    With fewer files than cores the rows are dealt out before the costly text work; with as
-    many files as cores or more the scan is parallel by itself and nothing is moved.
+    Each supplied table is one file with one row group, which a single task has to read. On one
+    machine the rows are dealt out to the cores before the costly text work; on a cluster, where
+    a table has many files, the scan is parallel by itself and nothing is moved.
     """
     df = load_table(spark, folder, name)
-    cores = spark.sparkContext.defaultParallelism
-    return df.repartition(cores) if len(df.inputFiles()) < cores else df
+    if not spark.sparkContext.master.startswith("local"):
+        return df
+    return df.repartition(spark.sparkContext.defaultParallelism)
 
 
 def load_csv(spark: SparkSession, path: str, schema: str, *, missing_words: bool = True,

@@ -18,9 +18,10 @@ def _source_nr() -> Column:
 
 def authors_by_order(spark: SparkSession, folder: str) -> DataFrame:
     """``id, authors``: the distinct suppliers of an order as a comma-separated name list."""
-    link = load_table(spark, folder, "lineitem").select("l_orderkey", "l_suppkey").distinct()
+    link = load_table(spark, folder, "lineitem").select("l_orderkey", "l_suppkey")
     names = load_table(spark, folder, "supplier").select("s_suppkey", "s_name")
-    ordered = F.sort_array(F.collect_list(F.struct("s_suppkey", "s_name")))
+    # One shuffle: the set per order also removes the repeated suppliers (an order has few lines).
+    ordered = F.sort_array(F.collect_set(F.struct("s_suppkey", "s_name")))
     return (
         link.join(names, link.l_suppkey == names.s_suppkey)
         .groupBy(F.col("l_orderkey").alias("id"))
