@@ -52,24 +52,35 @@ def _read_json(payload: Column | str, schema: str, body: Callable[[Column], Colu
 
 
 def inverted_index_text(index: Column) -> Column:
-    """Words in position order; of two words at one position the later entry counts."""
-    placed = F.flatten(
+    """Words in position order; of two words at one position the later entry counts.
+
+    Position and entry number are packed into one long, so the sort compares plain numbers.
+    """
+    words = F.map_keys(index)
+    none = F.array().cast("array<int>")
+    packed = F.flatten(
         F.transform(
-            F.map_entries(index),
-            lambda e, nr: F.transform(
-                e["value"],
-                lambda p: F.struct(p.alias("pos"), nr.alias("nr"), e["key"].alias("word")),
+            F.map_values(index),
+            lambda positions, nr: F.transform(
+                F.coalesce(positions, none), lambda p: F.shiftleft(p.cast("long"), 32) + nr
             ),
         )
     )
 
     def last_per_position(s: Column) -> Column:
-        kept = F.filter(
-            s, lambda x, i: F.coalesce(F.get(s, i + 1)["pos"] != x["pos"], F.lit(True))
+        return F.filter(
+            s,
+            lambda x, i: F.coalesce(
+                F.shiftright(F.get(s, i + 1), 32) != F.shiftright(x, 32), F.lit(True)
+            ),
         )
-        return F.array_join(F.transform(kept, lambda x: x["word"]), " ")
 
-    return bind(F.sort_array(placed), last_per_position)
+    def spell(keys: Column) -> Column:
+        kept = bind(F.sort_array(packed), last_per_position)
+        entry = lambda x: x.bitwiseAND(F.lit(0xFFFFFFFF)).cast("int")
+        return F.array_join(F.transform(kept, lambda x: F.get(keys, entry(x))), " ")
+
+    return bind(words, spell)
 
 
 def semantic_scholar_item(item: Column) -> Column:

@@ -26,6 +26,17 @@ def stratified_split(df: DataFrame, test_size: float = 0.2, label: str = "label"
     return placed.select(id_col, label, F.when(is_test, "test").otherwise("train").alias("split"))
 
 
+def with_folds(df: DataFrame, k: int = 5, label: str = "label", id_col: str = "id") -> DataFrame:
+    """Add ``fold``. The join is on id and label, so an id with two labels keeps its rows apart."""
+    return df.join(stratified_kfold(df, k, label, id_col), [id_col, label])
+
+
+def with_split(df: DataFrame, test_size: float = 0.2, label: str = "label",
+               id_col: str = "id") -> DataFrame:
+    """Add ``split``."""
+    return df.join(stratified_split(df, test_size, label, id_col), [id_col, label])
+
+
 def fold_average(scores: DataFrame, id_col: str = "id", column: str = "score") -> DataFrame:
     """Mean score per record over the fold models."""
     return scores.groupBy(id_col).agg(F.avg(column).alias(column))

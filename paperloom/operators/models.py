@@ -22,7 +22,7 @@ from ..functions import vectors as V
 from ..functions.labels import LABELS, apply_thresholds, ordinal_targets
 from ..session import materialize, shared_dir
 from .evaluate import balanced_weight, macro_f1
-from .folds import oof_assemble, stratified_kfold
+from .folds import oof_assemble, with_folds
 from .stages import BoostedTrees, NonNegative
 from .thresholds import NAMES, threshold_search
 
@@ -147,8 +147,7 @@ def grid_search_cv(df: DataFrame, components: Sequence[int], cs: Sequence[float]
     The first k components of a larger projection are the projection to k, so each fold needs
     one PCA, and every grid point slices it. Of equal scores the first grid point wins.
     """
-    fold = stratified_kfold(df, folds).select("id", "fold")
-    rows = materialize(weighted(df).join(fold, "id"), "grid")
+    rows = materialize(with_folds(weighted(df), folds), "grid")
     spark = df.sparkSession
     points = [(k, c) for k in components for c in cs]
     totals = [0.0] * len(points)
@@ -196,8 +195,7 @@ def _probabilities(model: Model, df: DataFrame) -> DataFrame:
 def cv_ensemble(df: DataFrame, make: Callable[[int], Estimator], folds: int = 5,
                 parallelism: int = 4) -> Ensemble:
     """One model per fold, fitted on the other folds; each row is scored by the unseen model."""
-    fold = stratified_kfold(df, folds).select("id", "fold")
-    rows = materialize(df.join(fold, "id"), "folds")
+    rows = materialize(with_folds(df, folds), "folds")
     spark = df.sparkSession
     n = rows.count()
 
@@ -284,8 +282,7 @@ class OrdinalEnsemble:
 def ordinal_ensemble(df: DataFrame, folds: int = 5, c: float = 1.0, max_iter: int = 100,
                      parallelism: int = 4) -> OrdinalEnsemble:
     """Fold models, their out-of-fold scores and the cut points found on those scores."""
-    fold = stratified_kfold(df, folds).select("id", "fold")
-    rows = materialize(df.join(fold, "id"), "ordinal-folds")
+    rows = materialize(with_folds(df, folds), "ordinal-folds")
 
     def fit(k: int) -> OrdinalModel:
         return ordinal_regression(rows.where(F.col("fold") != k), c, max_iter=max_iter)

@@ -42,7 +42,7 @@ def split_points(keys: DataFrame, key: str, buckets: int = BUCKETS) -> Column:
 
 
 def add_offsets(cut: DataFrame, order: Sequence[str], weight: str, groups: Sequence[str]) -> DataFrame:
-    """Add ``before`` to rows that carry their ``_bucket``.
+    """Add ``before`` and the group's ``total`` to rows that carry their ``_bucket``.
 
     Windows run over one bucket of one group, and over the bucket totals of one group.
     """
@@ -58,12 +58,15 @@ def add_offsets(cut: DataFrame, order: Sequence[str], weight: str, groups: Seque
         .rowsBetween(Window.unboundedPreceding, -1)
     )
     totals = cut.groupBy(*groups, "_bucket").agg(F.sum(weight).alias("_total"))
+    whole = Window.partitionBy(*groups)
     offsets = totals.select(
         *[F.col(g).alias(f"_{g}") for g in groups],
         F.col("_bucket").alias("_b"),
         F.coalesce(F.sum("_total").over(earlier), F.lit(0)).alias("_offset"),
+        F.sum("_total").over(whole).alias("total"),
     )
-    same = F.col("_bucket") == F.col("_b")
+    # Null-safe, so that no null filter is put below the shuffle that both sides can share.
+    same = F.col("_bucket").eqNullSafe(F.col("_b"))
     for g in groups:
         same = same & F.col(g).eqNullSafe(F.col(f"_{g}"))
     return (
@@ -85,7 +88,7 @@ def running_before(keys: DataFrame, key: str, weight: str, buckets: int = BUCKET
         whole = Window.orderBy(key).rowsBetween(Window.unboundedPreceding, -1)
         return keys.withColumn("before", F.coalesce(F.sum(weight).over(whole), F.lit(0)))
     cut = _search(keys, split_points(keys, key, buckets), key, "_bucket", buckets)
-    return add_offsets(cut, [key], weight, [])
+    return add_offsets(cut, [key], weight, []).drop("total")
 
 
 def dense_index(df: DataFrame, key: str) -> DataFrame:
@@ -110,10 +113,7 @@ def ordered_within(df: DataFrame, group: str, key: str, digits: int = HEX_DIGITS
         F.lit(1).alias("_one"),
     )
     placed = add_offsets(cut, ["_hash", key], "_one", [group])
-    sizes = cut.groupBy(F.col(group).alias("_g")).agg(F.count("*").alias("n"))
-    return placed.join(sizes, F.col(group).eqNullSafe(F.col("_g"))).select(
-        group, key, F.col("before").alias("position"), "n"
-    )
+    return placed.select(group, key, F.col("before").alias("position"), F.col("total").alias("n"))
 
 
 def quantiles(df: DataFrame, column: str, probabilities: Sequence[float]) -> DataFrame:

@@ -101,9 +101,7 @@ def fold_average_vectors(spark, sf):
     per_fold="""SELECT fold, avg(2 * hit / (truth + said)) AS score FROM classes WHERE truth + said > 0
       GROUP BY fold"""))
 def cv_mean_score(spark, sf):
-    rows = _scored(spark, sf)
-    marked = rows.join(folds.stratified_kfold(rows).select("id", "fold"), "id")
-    return evaluate.cv_mean_score(marked).withColumn("mean_score", F.round("mean_score", 6))
+    return evaluate.cv_mean_score(folds.with_folds(_scored(spark, sf))).withColumn("mean_score", F.round("mean_score", 6))
 
 
 # --- scores -------------------------------------------------------------------------------

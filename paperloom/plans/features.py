@@ -40,6 +40,12 @@ def _rounded(df, columns):
     return df.withColumns({c: F.round(c, 6) for c in columns})
 
 
+def _raw(papers):
+    venues = materialize(metadata.venue_index(papers), "venues")
+    frequency = materialize(metadata.author_frequency(papers), "authors")
+    return metadata.raw_metadata(papers, venues, frequency)
+
+
 @query("author_frequency", with_views(
     "SELECT author, freq FROM freq", "papers_meta_authors",
     names=AUTHORS_SQL.format(source="papers_meta_authors"), freq=FREQ_SQL))
@@ -54,7 +60,8 @@ def author_frequency(spark, sf):
     stats=STATS_SQL.format(source="papers_meta_authors")))
 def author_stats(spark, sf):
     rows = tables.papers_meta_authors(spark, sf).select("id", "authors")
-    stats = metadata.author_stats(rows, metadata.author_frequency(rows))
+    frequency = materialize(metadata.author_frequency(rows), "authors")
+    stats = metadata.author_stats(rows, frequency)
     return _rounded(stats, ["author_freq_mean"])
 
 
@@ -68,8 +75,7 @@ def venue_index(spark, sf):
         f"round(avg({c}), 6) AS {c}_mean, round(stddev_pop({c}), 6) AS {c}_std" for c in metadata.SCALED)
     + " FROM raw", "papers", **META_VIEWS))
 def scaler_stats(spark, sf):
-    papers = tables.papers(spark, sf)
-    raw = metadata.raw_metadata(papers, metadata.venue_index(papers), metadata.author_frequency(papers))
+    raw = _raw(tables.papers(spark, sf))
     stats = metadata.scaler_stats(raw)
     return _rounded(stats, stats.columns)
 
@@ -79,8 +85,7 @@ def scaler_stats(spark, sf):
         f"round(min({c}), 6) AS {c}_min, round(max({c}), 6) AS {c}_max" for c in metadata.SCALED)
     + " FROM raw", "papers", **META_VIEWS))
 def minmax_stats(spark, sf):
-    papers = tables.papers(spark, sf)
-    raw = metadata.raw_metadata(papers, metadata.venue_index(papers), metadata.author_frequency(papers))
+    raw = _raw(tables.papers(spark, sf))
     stats = metadata.minmax_stats(raw)
     return _rounded(stats, stats.columns)
 
@@ -104,8 +109,7 @@ def metadata_features(spark, sf):
       + author_count + author_freq_mean + author_freq_max + author_freq_min + has_abstract + has_authors, 6) AS total
       FROM raw r JOIN vectors v ON v.id = r.id""", "papers", "vectors", **META_VIEWS))
 def feature_concat(spark, sf):
-    papers = tables.papers(spark, sf)
-    raw = metadata.raw_metadata(papers, metadata.venue_index(papers), metadata.author_frequency(papers))
+    raw = _raw(tables.papers(spark, sf))
     text = models.model_input(tables.vectors(spark, sf)).select("id", F.col("features").alias("text"))
     columns = ["text", *metadata.SCALED, *metadata.FLAGS]
     union = models.feature_concat([text, raw], columns)
@@ -118,7 +122,7 @@ def feature_concat(spark, sf):
 def feature_union(spark, sf):
     """Text and metadata stages fitted on the training split and applied to the test split."""
     papers = tables.papers(spark, sf)
-    split = materialize(papers.join(folds.stratified_split(papers).select("id", "split"), "id"), "split")
+    split = materialize(folds.with_split(papers), "split")
     model = stages.feature_union(english_stop_words()).fit(split.where("split = 'train'").drop("split"))
     out = model.transform(split.where("split = 'test'").drop("split"))
     return out.select("id", "label", F.size(vector_to_array("features")).alias("width"))
@@ -138,8 +142,7 @@ def dense_embedding(spark, sf):
 
 
 def split_vectors(spark, sf):
-    rows = tables.vectors(spark, sf)
-    marked = rows.join(folds.stratified_split(rows).select("id", "split"), "id")
+    marked = folds.with_split(tables.vectors(spark, sf))
     return (marked.where(F.col("split") == s).drop("split") for s in ("train", "test"))
 
 

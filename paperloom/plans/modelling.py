@@ -17,9 +17,8 @@ def _input(spark, sf):
 
 
 def _split(spark, sf):
-    rows = _input(spark, sf)
     # Fitting passes over the rows many times, so the joined table is written first.
-    marked = materialize(rows.join(folds.stratified_split(rows).select("id", "split"), "id"), "split")
+    marked = materialize(folds.with_split(_input(spark, sf)), "split")
     return [marked.where(F.col("split") == s).drop("split") for s in ("train", "test")]
 
 

@@ -48,9 +48,7 @@ def scan_sink_json(spark, sf):
 
 
 def _split_vectors(spark, sf):
-    rows = tables.vectors(spark, sf)
-    split = folds.stratified_split(rows).select("id", "split")
-    return rows.join(split, "id")
+    return folds.with_split(tables.vectors(spark, sf))
 
 
 def _feature_sum():

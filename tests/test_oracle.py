@@ -21,7 +21,7 @@ def duck():
 @pytest.mark.parametrize("name", EXACT)
 def test_equals_sql(spark, duck, name):
     got = REGISTRY[name].run(spark, SMALL).toArrow()
-    assert compare(got, duck.execute(REGISTRY[name].sql).fetch_arrow_table()) == []
+    assert compare(got, duck.execute(REGISTRY[name].sql).to_arrow_table()) == []
 
 
 def test_only_fits_lack_sql():
