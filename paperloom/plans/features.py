@@ -142,7 +142,7 @@ def dense_embedding(spark, sf):
 
 
 def split_vectors(spark, sf):
-    marked = folds.with_split(tables.vectors(spark, sf))
+    marked = materialize(folds.with_split(tables.vectors(spark, sf)), "split")
     return (marked.where(F.col("split") == s).drop("split") for s in ("train", "test"))
 
 
