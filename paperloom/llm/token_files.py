@@ -21,6 +21,7 @@ import re
 import struct
 import uuid
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -47,17 +48,23 @@ CACHE_UNITS = 400_000
 BLANK = ("\t\n\x0b\x0c\r \x85\xa0\u1680" + "".join(map(chr, range(0x2000, 0x200B)))
          + "\u2028\u2029\u202f\u205f\u3000")
 UNIT = re.compile(f" ?[^{BLANK}]+|[{BLANK}]+(?![^{BLANK}])|[{BLANK}]+")
-# Texts without these only hold single spaces and single line ends between words.
-IRREGULAR = re.compile(f"[{BLANK}][{BLANK}]|[^\\S\n ]|[\\x85\\xa0]|[ \n]\\Z|\\A[ \n]")
 TAIL = ".,;:!?|#*$%&"
 
 
+def byte_letters() -> dict[int, str]:
+    """The public byte-level alphabet: printable Latin-1 stays, other bytes follow from 256 on."""
+    plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    rest = [b for b in range(256) if b not in plain]
+    return {b: chr(b) for b in plain} | {b: chr(256 + k) for k, b in enumerate(rest)}
+
+
 class CachedTokenizer:
-    """Ids of whole texts from a byte-level vocabulary, looked up by space-separated units.
+    """Ids of whole texts from a byte-level vocabulary, looked up by words.
 
-    The vocabulary's own splitting rule never joins characters across the units cut here, so the
-    ids of a text are those of its units in a row. The library encodes each unit once; two
-    generations of a dictionary bound what is remembered.
+    The vocabulary's own splitting rule never joins characters across single spaces and line ends
+    between words, so the ids of a text are those of its words in a row. The library encodes
+    each word once; two generations of a dictionary bound what is remembered. A key is a word that
+    follows a space, or a line end and the word that follows it.
     """
 
     def __init__(self, path: str, limit: int = CACHE_UNITS) -> None:
@@ -65,81 +72,83 @@ class CachedTokenizer:
 
         self.library = Tokenizer.from_file(path)
         self.library.encode_special_tokens = True  # their strings in a text are ordinary text
+        self.model = self.library.model
         self.limit = limit
         self.new: dict[str, bytes] = {}
         self.old: dict[str, bytes] = {}
+        self.tails: dict[str, bytes] = {}
+        letters = byte_letters()
+        self.letters = str.maketrans({chr(b): c for b, c in letters.items()})
+        self.space = letters[32]
         self.line_end = self._library("\n")
 
     def _library(self, text: str) -> bytes:
         ids = self.library.encode_batch_fast([text], add_special_tokens=False)[0].ids
         return np.array(ids, dtype="<u4").tobytes()
 
-    def _learn(self, units: set[str]) -> None:
-        """Encode units that hold no white space but a leading space or line end."""
-        rest = []
-        for unit in units:
-            known = self.old.get(unit)
-            if known is None:
-                rest.append(unit)
-            else:
-                self.new[unit] = known
-        # A word and the punctuation after it are separate for the vocabulary.
-        stems: dict[str, str] = {}
-        for unit in rest:
-            stem = unit.rstrip(TAIL)
-            word = stem.lstrip(" \n")
-            stems[unit] = stem if word.isalpha() and max(word) < "\u0250" else unit
-        wanted = list({s for unit, s in stems.items() if s not in self.new and s not in self.old}
-                      | {unit[len(s):] for unit, s in stems.items() if s != unit and unit[len(s):] not in self.new})
-        if wanted:
-            # Line ends keep the units apart; no unit holds one after its first character.
-            text = "\n".join(u[1:] if u[0] == "\n" else u for u in wanted)
-            ids = np.array(self.library.encode_batch_fast([text], add_special_tokens=False)[0].ids, dtype="<u4")
-            ends = np.flatnonzero(ids == np.frombuffer(self.line_end, "<u4")[0]).tolist() + [len(ids)]
-            raw, at = ids.tobytes(), 0
-            for unit, end in zip(wanted, ends):
-                part = raw[4 * at:4 * end]
-                self.new[unit] = self.line_end + part if unit[0] == "\n" else part
-                at = end + 1
-        for unit, stem in stems.items():
-            if stem != unit:
-                head = self.new.get(stem)
-                self.new[unit] = (self.old[stem] if head is None else head) + self.new[unit[len(stem):]]
-
-    def _units(self, text: str) -> list[str] | None:
-        if IRREGULAR.search(text):
-            return None
-        return ("\n" + text.replace("\n", " \n")).replace(" ", "\0 ").replace("\0 \n", "\0\n").split("\0")
+    def _word(self, word: str, spaced: bool) -> bytes:
+        stem = word.rstrip(TAIL)
+        if not stem.isalpha() or not stem.isascii() and max(stem) >= "\u0250":
+            return self._library(" " + word if spaced else word)
+        # Latin letters are one piece for the splitting rule, and the punctuation after them another.
+        known = None
+        if spaced and len(stem) < len(word):
+            known = self.new.get(stem) or self.old.get(stem)
+        if known is None:
+            piece = stem if stem.isascii() else stem.encode().decode("latin-1").translate(self.letters)
+            known = array("I", [t.id for t in self.model.tokenize(self.space + piece if spaced else piece)]).tobytes()
+            if spaced:
+                self.new[stem] = known
+        if len(stem) == len(word):
+            return known
+        tail = word[len(stem):]
+        if tail not in self.tails:
+            if len(self.tails) > 10_000:
+                self.tails.clear()
+            self.tails[tail] = self._library(tail)
+        return known + self.tails[tail]
+
+    def _learn(self, key: str) -> bytes:
+        found = self.new.get(key) or self.old.get(key)
+        if found is None:
+            found = self.line_end + self._word(key[1:], False) if key[0] == "\n" else self._word(key, True)
+        self.new[key] = found
+        return found
 
     def encode(self, texts: list[str]) -> list[bytes]:
         if len(self.new) > self.limit:
             self.old, self.new = self.new, {}
-        units: list[list[str] | None] = [
-            None if "\0" in t else self._units(t) if t else [] for t in texts]
-        missing = set()
-        for us in units:
-            if us:
-                missing.update(us)
-        missing.difference_update(self.new)
-        if missing:
-            self._learn(missing)
-        out = []
-        for text, us in zip(texts, units):
-            if us is None:
-                out.append(self._plain(text))
-            else:
-                # The first unit was given a line end that the text does not hold.
-                out.append(b"".join(map(self.new.__getitem__, us))[4 * bool(us):])
-        return out
+        return [self._text(t) if t else b"" for t in texts]
+
+    def _text(self, text: str) -> bytes:
+        words = text.split()
+        gaps = text.count(" ") + text.count("\n")
+        # Nothing but single spaces and line ends between words.
+        if len(words) != gaps + 1 or sum(map(len, words)) + gaps != len(text):
+            return self._plain(text)
+        keys: list[str] = []
+        for line in text.split("\n"):
+            start = len(keys)
+            keys += line.split(" ")
+            keys[start] = "\n" + keys[start]
+        values = list(map(self.new.get, keys))
+        if None in values:
+            values = [self._learn(k) if v is None else v for k, v in zip(keys, values)]
+        # The first word was given a line end that the text does not hold.
+        return b"".join(values)[4:]
 
     def _plain(self, text: str) -> bytes:
         """Any text, by units of the general rule."""
-        parts = UNIT.findall(text)
-        words = {p for p in parts if p.isprintable() and not p.isspace()}
-        missing = words.difference(self.new)
-        if missing:
-            self._learn(missing)
-        return b"".join([self.new[p] if p in words else self._library(p) for p in parts])
+        out = []
+        for unit in UNIT.findall(text):
+            word = unit[1:] if unit[0] == " " else unit
+            if not word or not word.isprintable():
+                out.append(self._library(unit))
+            elif len(word) < len(unit):
+                out.append(self.new.get(word) or self._learn(word))
+            else:
+                out.append(self._learn("\n" + word)[4:])
+        return b"".join(out)
 
 
 TOKENIZERS: dict[str, CachedTokenizer] = {}  # one for each vocabulary in a worker
