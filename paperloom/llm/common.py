@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
@@ -27,15 +28,54 @@ def row_key(id_col: Column, text: Column) -> Column:
                                      F.coalesce(text, F.lit("\x1e"))).cast("binary")))
 
 
-def by_slices(fn: Callable[[list[list]], list[list]], out: pa.Schema, rows: int = SLICE):
-    """A ``mapInArrow`` function from one on columns of Python values, a few rows at a time."""
+def text_function(fn: Callable[[list], list], ddl: str, kind: pa.DataType, rows: int = SLICE):
+    """A function on a text column from one on lists of texts; the other columns stay in the JVM.
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    It counts as not deterministic only so that the optimizer never runs it twice for a row.
+    """
+
+    def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for batch in batches:
+            done = [pa.array(fn(batch.slice(at, rows).to_pylist()), kind)
+                    for at in range(0, len(batch), rows)]
+            yield pa.concat_arrays(done) if done else pa.array([], kind)
+
+    return F.arrow_udf(run, ddl, F.ArrowUDFType.SCALAR_ITER).asNondeterministic()
+
+
+def columns_function(fn: Callable[..., list], ddl: str, kind: pa.DataType, rows: int = SLICE):
+    """As ``text_function``, for a function on the values of several columns."""
+
+    def run(batches: Iterator[tuple[pa.Array, ...]]) -> Iterator[pa.Array]:
         for batch in batches:
-            for start in range(0, batch.num_rows, rows):
-                part = batch.slice(start, rows)
-                columns = fn([c.to_pylist() for c in part.columns])
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(c, f.type) for c, f in zip(columns, out)], schema=out)
+            n = len(batch[0])
+            done = [pa.array(fn(*[c.slice(at, rows).to_pylist() for c in batch]), kind) for at in range(0, n, rows)]
+            yield pa.concat_arrays(done) if done else pa.array([], kind)
+
+    return F.arrow_udf(run, ddl, F.ArrowUDFType.SCALAR_ITER).asNondeterministic()
+
+
+def _fold_table(letters_only: bool) -> np.ndarray:
+    """For each code unit below 2**16 its lower-case form, and a space for what separates words."""
+    table = np.full(1 << 16, 32, np.uint16)
+    for code in range(1 << 16):
+        char = chr(code)
+        if char.isalpha() or not letters_only and char.isalnum():
+            table[code] = ord(char.lower()[0])
+    table[-1] = 0xFFFF  # all characters beyond are one letter
+    return table
+
+
+FOLD = {flag: _fold_table(flag) for flag in (False, True)}
+
 
-    return run
+def folded(text: str, letters_only: bool = False) -> tuple[np.ndarray, np.ndarray]:
+    """Lower-case letters and digits with single spaces between, and their places in the text."""
+    codes = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), "<u4")
+    chars = FOLD[letters_only][np.minimum(codes, 0xFFFF)]
+    keep = chars != 32
+    keep[1:] |= keep[:-1].copy()  # one space after each run
+    places = np.flatnonzero(keep)
+    if len(places) and chars[places[-1]] == 32:
+        places = places[:-1]
+    return chars[places].astype(np.uint64), places

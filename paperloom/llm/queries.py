@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..plans.registry import Query
-from . import token_files
+from . import decontaminate, jaccard, langid, mixing, quality, token_files, toxicity
 from .common import documents
 
 QUERIES: dict[str, Query] = {}
@@ -25,6 +25,61 @@ def vocabulary() -> str:
     return str(public_tokenizers.path("byte_bpe_50k.json"))
 
 
+@query("op1_language_id")
+def language(spark: SparkSession, folder: str) -> DataFrame:
+    docs = documents(spark, folder)
+    part = F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(4))
+    held_out = F.coalesce(part == 2, F.lit(False))
+    model = langid.train(docs, ~held_out)
+    out = langid.identify(docs.select("doc_id", "text"), model)
+    return out.select("row.doc_id", "lang_pred", "score").withColumn("held_out", held_out).select(
+        "doc_id", "held_out", "lang_pred", "score")
+
+
+@query("op2_quality_rules")
+def quality_rules(spark: SparkSession, folder: str) -> DataFrame:
+    docs = documents(spark, folder).select("doc_id", "text")
+    out = quality.cascade(docs, quality.ordered_rules(docs), measures=True)
+    counts = [F.col(f"q.{c}").alias(c) for c in
+              ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")]
+    failed = (F.col("n_words") < 10) | (100 * F.col("n_repeat_words") > 20 * F.col("n_words"))
+    return (
+        out.select(F.col("row.doc_id").alias("doc_id"), *counts, F.col("q.rejected_by").isNull().alias("passed"))
+        .withColumn("base_failed", failed).withColumn("kept", F.col("passed") & ~failed).drop("passed")
+    )
+
+
+@query("op5_decontamination")
+def benchmark_passages(spark: SparkSession, folder: str) -> DataFrame:
+    docs = documents(spark, folder).select("doc_id", "text")
+    found = decontaminate.find_passages(docs, documents(spark, folder, "benchmark"))
+    return found.select("row.doc_id", (F.size("matches") > 0).alias("contaminated"),
+                        F.col("matches.item_id").alias("items"), "matches")
+
+
+@query("op6_mixing")
+def source_mix(spark: SparkSession, folder: str) -> DataFrame:
+    plan = mixing.mix_plan(documents(spark, folder))
+    return plan.select(F.col("id").alias("doc_id"), "size", "source_size", "target", "taken")
+
+
+def toxic_model(spark: SparkSession, folder: str) -> toxicity.Model:
+    """Fitted on the labels of the supplied tables."""
+    return toxicity.train(documents(spark, folder), documents(spark, folder, "labels"), F.col("toxic"))
+
+
+@query("op7_toxicity")
+def toxic_severity(spark: SparkSession, folder: str) -> DataFrame:
+    docs = documents(spark, folder).select("doc_id", "text")
+    scored = toxicity.severity(docs, toxic_model(spark, folder))
+    return scored.select("row.doc_id", "severity", "grade", "p_toxic", (F.col("grade") > 0).alias("toxic"))
+
+
+@query("op9_ngram_jaccard")
+def near_copies(spark: SparkSession, folder: str) -> DataFrame:
+    return jaccard.members(documents(spark, folder)).withColumnRenamed("id", "doc_id")
+
+
 @query("op10_token_files")
 def token_ids(spark: SparkSession, folder: str) -> DataFrame:
     return token_files.token_table(spark, documents(spark, folder), vocabulary())
