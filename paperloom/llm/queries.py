@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ..plans.registry import Query
-from . import decontaminate, jaccard, langid, mixing, quality, token_files, toxicity
+from . import decontaminate, jaccard, langid, line_templates, mixing, pii, quality, token_files, toxicity, urls
 from .common import documents
 
 QUERIES: dict[str, Query] = {}
@@ -49,6 +49,27 @@ def quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+@query("op3_pii")
+def personal_data(spark: SparkSession, folder: str) -> DataFrame:
+    docs = documents(spark, folder).select("doc_id", "text")
+    found = pii.find(docs, pii.train(docs))
+
+    def count(kind: str) -> Column:
+        number = pii.KINDS.index(kind)
+        return F.size(F.filter("base", lambda s: s["kind"] == number)).cast("long").alias(f"n_{kind}")
+
+    counts = [count(kind) for kind in pii.KINDS]
+    return found.select("row.doc_id", *counts, F.sha2(pii.written(F.col("base")), 256).alias("base_sha256"),
+                        pii.written(F.col("spans")).alias("spans"))
+
+
+@query("op4_line_templates")
+def recurring_lines(spark: SparkSession, folder: str) -> DataFrame:
+    docs = documents(spark, folder).select("doc_id", "text")
+    out = line_templates.without_recurring(docs)
+    return out.select("row.doc_id", "n_lines", "n_dropped", F.col("row.text").alias("text_kept"))
+
+
 @query("op5_decontamination")
 def benchmark_passages(spark: SparkSession, folder: str) -> DataFrame:
     docs = documents(spark, folder).select("doc_id", "text")
@@ -75,6 +96,12 @@ def toxic_severity(spark: SparkSession, folder: str) -> DataFrame:
     return scored.select("row.doc_id", "severity", "grade", "p_toxic", (F.col("grade") > 0).alias("toxic"))
 
 
+@query("op8_url_filters")
+def url_verdicts(spark: SparkSession, folder: str) -> DataFrame:
+    judged = urls.judge(documents(spark, folder, "pages"))
+    return judged.select("row.page_id", "host", "path", "rule", "verdict")
+
+
 @query("op9_ngram_jaccard")
 def near_copies(spark: SparkSession, folder: str) -> DataFrame:
     return jaccard.members(documents(spark, folder)).withColumnRenamed("id", "doc_id")
