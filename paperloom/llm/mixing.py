@@ -101,7 +101,9 @@ def taken_ranges(sizes: np.ndarray, quota: int, seed: int, block: int = BLOCK) -
     """Whole rounds over all documents, and the ranges of words taken once more from each."""
     ends = np.cumsum(sizes)
     n = -(-int(ends[-1]) // block)
-    rounds, rest = divmod(min(quota, MOST * n), n)
+    # The last block may be short, so the rounds are measured in words.
+    rounds, left = divmod(min(quota * block, MOST * int(ends[-1])), int(ends[-1]))
+    rest = min(n, round(left / block))
     order = np.lexsort((np.arange(n), spread(seed, np.arange(n))))
     chosen = np.zeros(n + 1, bool)
     chosen[order[:rest]] = True
