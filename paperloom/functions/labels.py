@@ -21,7 +21,8 @@ def to_one_based(label: Column | str) -> Column:
 
 
 def clamp(x: Column | str, low: int = LABELS[0], high: int = LABELS[-1]) -> Column:
-    return F.greatest(F.lit(low), F.least(F.lit(high), col(x)))
+    """Null stays null: ``greatest`` and ``least`` alone would skip it."""
+    return F.when(col(x).isNotNull(), F.greatest(F.lit(low), F.least(F.lit(high), col(x))))
 
 
 def in_domain(label: Column | str) -> Column:
@@ -37,31 +38,37 @@ def ordinal_targets(label: Column | str) -> Column:
 
 
 def apply_thresholds(score: Column | str, cuts: Sequence[float] | Column = DEFAULT_CUTS) -> Column:
-    """1 + the number of cut points at or below the score."""
+    """1 + the number of cut points at or below the score; null for a null score."""
     x = col(score)
     points = cuts if isinstance(cuts, Column) else F.array(*[F.lit(float(c)) for c in cuts])
-    return F.size(F.filter(points, lambda t: x >= t)) + 1
+    return F.when(x.isNotNull(), F.size(F.filter(points, lambda t: x >= t)) + 1)
 
 
 def parse_llm_json(reply: Column | str) -> Column:
     """Struct ``(score, reason)`` of a saved model reply.
 
-    Code fences are dropped; the score is cut to an integer and clamped to the label range.
-    A reply that is no JSON, or lacks a field, gives a null score and an error text.
+    Code fences are dropped; the score is cut to an integer and clamped to the label range. A score
+    in quotes must be an integer. A reply that is not exactly one JSON object, or lacks a field, gives
+    a null score and an error text; a reason that is null counts as given.
     """
     bare = trim_ws(F.replace(F.replace(col(reply), F.lit("```json"), F.lit("")),
                              F.lit("```"), F.lit("")))
-    parsed = F.from_json(bare, "score string, reason string, _bad string",
-                         {"columnNameOfCorruptRecord": "_bad"})
-    number = parsed["score"].try_cast("double").try_cast("int")
-    ok = parsed["_bad"].isNull() & number.isNotNull() & parsed["reason"].isNotNull()
+    # Read as the only element of an array, so that text after the object makes it unreadable.
+    listed = F.from_json(F.concat(F.lit("["), bare, F.lit("]")), "array<struct<score string, reason string>>")
+    single = F.coalesce(F.size(listed) == 1, F.lit(False)) & bare.startswith("{")
+    keys = F.coalesce(F.json_object_keys(F.when(single, bare)), F.array().cast("array<string>"))
+    parsed = F.get(listed, F.lit(0))
+    quoted = F.get_json_object(F.concat(F.lit('{"a":['), bare, F.lit("]}")), "$.a[*].score").startswith('"')
+    text = F.when(~F.coalesce(quoted, F.lit(False)) | trim_ws(parsed["score"]).rlike("^[+-]?[0-9]+$"), parsed["score"])
+    number = trim_ws(text).try_cast("double").try_cast("int")
+    ok = single & number.isNotNull() & F.array_contains(keys, "reason")
     error = (
-        F.when(parsed["_bad"].isNotNull() | parsed.isNull(), "invalid JSON")
-        .when(parsed["score"].isNull(), "missing score")
+        F.when(~single, "invalid JSON")
+        .when(~F.array_contains(keys, "score"), "missing score")
         .when(number.isNull(), "score is no number")
         .otherwise("missing reason")
     )
     return F.struct(
         F.when(ok, clamp(number)).alias("score"),
-        F.when(ok, parsed["reason"]).otherwise(error).alias("reason"),
+        F.when(ok, parsed["reason"]).otherwise(F.coalesce(error, F.lit("invalid JSON"))).alias("reason"),
     )

@@ -36,17 +36,20 @@ def build_result(paper_id, doi, abstract, authors) -> list[Column]:
 
 
 def year_int(year: Column | str) -> Column:
-    """Any number, cut to an integer; 0 for everything else."""
+    """Any number within 64 bits, cut to an integer; 0 for everything else."""
     text = col(year).cast("string")
     number = F.when(text.rlike(NUMBER), text).try_cast("double")
-    return F.coalesce(number.try_cast("int"), F.lit(0))
+    return F.coalesce(number.try_cast("long"), F.lit(0).cast("long"))
 
 
 def year_norm(year: Column | str) -> Column:
-    """Distance from 2000 in units of 30 years; a year that is no integer counts as 2000."""
+    """Distance from 2000 in units of 30 years. A number is cut to an integer; a text that is no
+    integer counts as 2000."""
     text = col(year).cast("string")
-    whole = F.when(text.rlike(r"^\s*[+-]?[0-9]+\s*$"), text).try_cast("int")
-    return (F.coalesce(whole, F.lit(2000)) - 2000) / F.lit(30.0)
+    fraction = F.typeof(col(year)).rlike("^(double|float|decimal)")
+    cut = F.when(fraction, text).try_cast("double").try_cast("long")
+    whole = F.when(text.rlike(r"^\s*[+-]?[0-9]+\s*$"), text).try_cast("long")
+    return (F.coalesce(cut, whole, F.lit(2000)) - 2000) / F.lit(30.0)
 
 
 def is_valid_result(abstract: Column | str) -> Column:

@@ -158,3 +158,8 @@ def prompt_keyword(title, abstract) -> Column:
 
 def presence_flag(x: Column | str) -> Column:
     return (~is_blank(x)).cast("int")
+
+
+def authors_flag(authors: Column | str) -> Column:
+    """1 if the list has a name; separators and white space alone are none."""
+    return (F.size(split_authors(authors)) > 0).cast("int")

@@ -55,13 +55,20 @@ def search_hits(responses: DataFrame, sources: Mapping[str, Source] = TITLE_SOUR
     return _by_source(responses, sources)
 
 
+def _last_keys() -> list[Column]:
+    """An order among answers of equal rank that does not depend on the order of the rows."""
+    return [-F.length(safe_text("abstract")), F.xxhash64("abstract", "authors", "found_doi"),
+            F.col("abstract"), F.col("authors"), F.col("found_doi")]
+
+
 def priority_fallback(responses: DataFrame, papers: DataFrame) -> DataFrame:
     """Per paper the first complete record in source order, else the first record at all.
 
-    ``min_by`` keeps one candidate per paper and map task, so only winners are shuffled.
+    ``min_by`` keeps one candidate per paper and map task, so only winners are shuffled. Of several
+    answers of one source the one with the longest abstract wins, then the least hash and text.
     """
     candidates = _by_source(responses, DOI_SOURCES)
-    rank = F.struct(~is_complete_result("abstract", "authors"), F.col("priority"))
+    rank = F.struct(~is_complete_result("abstract", "authors"), F.col("priority"), *_last_keys())
     best = candidates.groupBy("id").agg(
         F.min_by(F.struct("abstract", "authors", "source"), rank).alias("b")
     )
@@ -74,7 +81,7 @@ def title_search_fallback(responses: DataFrame, papers: DataFrame) -> DataFrame:
     """Per paper the first title hit with an abstract; its identifier if it has one."""
     hits = search_hits(responses).where(F.col("abstract") != "")
     best = hits.groupBy("id").agg(
-        F.min_by(F.struct("found_doi", "abstract", "authors"), F.col("priority")).alias("b")
+        F.min_by(F.struct("found_doi", "abstract", "authors"), F.struct("priority", *_last_keys())).alias("b")
     )
     titled = papers.where(safe_text("title") != "").select("id", "doi")
     own = F.when(F.col("b.found_doi") != "", F.col("b.found_doi")).otherwise(F.col("doi"))

@@ -43,13 +43,18 @@ def _counts(label: Column | str, prediction: Column | str, k: int) -> tuple[Colu
 
 def macro_f1(label: Column | str, prediction: Column | str,
              labels: Sequence[int] = LABELS) -> Column:
-    """Mean F1 over the labels present in truth or prediction, as one aggregate."""
+    """Mean F1 over the labels present in truth or prediction, as one aggregate.
+
+    A label outside the set fails the job, because the mean would silently leave it out.
+    """
+    outside = F.count_if(~col(label).isin(*labels) | ~col(prediction).isin(*labels))
+    checked = F.when(outside > 0, F.raise_error(F.lit("a label outside the set")).cast("double"))
     total, present = F.lit(0.0), F.lit(0)
     for k in labels:
         hit, truth, said = _counts(label, prediction, k)
         total = total + _ratio(2.0 * hit, truth + said)
         present = present + F.when(truth + said > 0, 1).otherwise(0)
-    return F.when(present > 0, total / present)
+    return checked.when(present > 0, total / present)
 
 
 def combined_objective(label: Column | str, prediction: Column | str, f1_weight: float = 0.4) -> Column:
@@ -67,50 +72,42 @@ def scores(df: DataFrame, label: str = "label", prediction: str = "prediction")
     )
 
 
-def confusion_matrix(df: DataFrame, label: str = "label", prediction: str = "prediction",
-                     labels: Sequence[int] = LABELS) -> DataFrame:
-    """``label, prediction, n`` for every pair of the label set, empty pairs included."""
-    pairs = [(y, p) for y in labels for p in labels]
-    row = df.agg(
-        *[
-            F.count_if((F.col(label) == y) & (F.col(prediction) == p)).alias(f"n_{y}_{p}")
-            for y, p in pairs
-        ]
-    )
-    cells = [
-        F.struct(F.lit(y).alias("label"), F.lit(p).alias("prediction"), F.col(f"n_{y}_{p}").alias("n"))
-        for y, p in pairs
-    ]
-    return row.select(F.inline(F.array(*cells)))
+def pair_counts(df: DataFrame, label: str, prediction: str) -> DataFrame:
+    """``y, p, n``: rows per label and prediction; rows that lack one of them are left out."""
+    pairs = df.select(F.col(label).alias("y"), F.col(prediction).alias("p")).dropna()
+    return pairs.groupBy("y", "p").agg(F.count("*").alias("n"))
+
+
+def confusion_matrix(df: DataFrame, label: str = "label", prediction: str = "prediction") -> DataFrame:
+    """``label, prediction, n`` for every pair of labels found in truth or prediction, empty pairs
+    included. The label set comes from the data, so no row is lost."""
+    counts = pair_counts(df, label, prediction)
+    ends = F.explode(F.array("y", "p"))
+    seen = counts.select(ends.alias("v")).agg(F.collect_set("v").alias("seen"))
+    grid = seen.select(F.explode("seen").alias("y"), "seen").select("y", F.explode("seen").alias("p"))
+    return grid.join(counts, ["y", "p"], "left").select(
+        F.col("y").alias("label"), F.col("p").alias("prediction"), F.coalesce("n", F.lit(0)).alias("n"))
 
 
-def classification_report(df: DataFrame, label: str = "label", prediction: str = "prediction",
-                          labels: Sequence[int] = LABELS) -> DataFrame:
+def classification_report(df: DataFrame, label: str = "label", prediction: str = "prediction") -> DataFrame:
     """Precision, recall, F1 and support per label, then accuracy, macro and weighted means.
 
-    A label found neither in truth nor in prediction has no row and is in no mean.
+    The labels are those found in truth or prediction, whatever their values.
     """
-    aggregates = [F.count("*").alias("n"), F.sum((F.col(label) == F.col(prediction)).cast("long")).alias("hits")]
-    for k in labels:
-        hit, truth, said = _counts(label, prediction, k)
-        aggregates += [hit.alias(f"hit_{k}"), truth.alias(f"truth_{k}"), said.alias(f"said_{k}")]
-    row = df.agg(*aggregates)
-    classes = F.filter(
-        F.array(
-            *[
-                F.struct(
-                    F.lit(str(k)).alias("class"),
-                    _ratio(F.col(f"hit_{k}"), F.col(f"said_{k}")).alias("precision"),
-                    _ratio(F.col(f"hit_{k}"), F.col(f"truth_{k}")).alias("recall"),
-                    _ratio(2.0 * F.col(f"hit_{k}"), F.col(f"truth_{k}") + F.col(f"said_{k}")).alias("f1"),
-                    F.col(f"truth_{k}").alias("support"),
-                    F.col(f"said_{k}").alias("said"),
-                )
-                for k in labels
-            ]
-        ),
-        lambda c: c["support"] + c["said"] > 0,
-    )
+    zero = F.lit(0).cast("long")
+    sides = F.array(
+        F.struct(F.col("y").alias("k"), F.col("n").alias("truth"), zero.alias("said"),
+                 F.when(F.col("y") == F.col("p"), F.col("n")).otherwise(zero).alias("hit")),
+        F.struct(F.col("p").alias("k"), zero.alias("truth"), F.col("n").alias("said"), zero.alias("hit")))
+    per_label = pair_counts(df, label, prediction).select(F.inline(sides)).groupBy("k").agg(
+        *[F.sum(c).alias(c) for c in ("truth", "said", "hit")])
+    row = per_label.agg(
+        F.sum("truth").alias("n"), F.sum("hit").alias("hits"),
+        F.sort_array(F.collect_list(F.struct("k", "truth", "said", "hit"))).alias("c"))
+    classes = F.transform("c", lambda c: F.struct(
+        c["k"].cast("string").alias("class"), _ratio(c["hit"], c["said"]).alias("precision"),
+        _ratio(c["hit"], c["truth"]).alias("recall"),
+        _ratio(2.0 * c["hit"], c["truth"] + c["said"]).alias("f1"), c["truth"].alias("support")))
     listed = row.select("n", "hits", classes.alias("c"))
 
     def mean(field: str, weight: Column | None = None) -> Column:

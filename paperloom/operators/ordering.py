@@ -16,7 +16,7 @@ from ..session import materialize
 
 BUCKETS = 256
 HEX_DIGITS = 3
-ONE_WINDOW = 20_000  # rows that one task may order by itself
+OVERSAMPLE = 20  # sampled keys for each bucket
 
 
 def _search(df: DataFrame, points: Column, key: str, name: str, buckets: int) -> DataFrame:
@@ -33,12 +33,17 @@ def _search(df: DataFrame, points: Column, key: str, name: str, buckets: int) ->
 
 
 def split_points(keys: DataFrame, key: str, buckets: int = BUCKETS) -> Column:
-    """Sorted sample of at most ``buckets - 1`` keys: those with the smallest hashes.
+    """At most ``buckets - 1`` sorted keys: every 20th of the keys with the smallest hashes.
 
-    The hash order makes the sample the same on every run, so recomputed tasks agree.
+    The hash order makes the sample the same on every run, so recomputed tasks agree. Skipping 19 of
+    20 keeps the gaps between the points, and so the buckets, of similar size.
     """
-    sample = keys.select(key).orderBy(F.xxhash64(key), key).limit(buckets - 1)
-    return sample.agg(F.sort_array(F.collect_set(key))).scalar()
+    sample = keys.select(key).orderBy(F.xxhash64(key), key).limit(OVERSAMPLE * (buckets - 1))
+    ordered = F.sort_array(F.collect_set(key))
+    step = F.ceil(F.size(ordered) / (buckets - 1)).cast("int")
+    places = F.sequence(F.lit(0), F.size(ordered) - 1, F.greatest(step, F.lit(1)))
+    picked = F.when(F.size(ordered) > 0, F.transform(places, lambda i: F.get(ordered, i)))
+    return sample.agg(F.coalesce(picked, ordered)).scalar()
 
 
 def add_offsets(cut: DataFrame, order: Sequence[str], weight: str, groups: Sequence[str]) -> DataFrame:
@@ -77,16 +82,12 @@ def add_offsets(cut: DataFrame, order: Sequence[str], weight: str, groups: Seque
     )
 
 
-def running_before(keys: DataFrame, key: str, weight: str, buckets: int = BUCKETS,
-                   one_window: int = ONE_WINDOW) -> DataFrame:
+def running_before(keys: DataFrame, key: str, weight: str, buckets: int = BUCKETS) -> DataFrame:
     """Add ``before``: the total weight of the smaller keys. One row per key is expected.
 
-    ``keys`` is read several times, so it should be a written table; counting its rows then
-    reads file footers only. Up to ``one_window`` keys fit one window; more are cut into buckets.
+    ``keys`` is read several times, so it should be a written table. ``buckets`` bounds the share
+    of the keys that one task orders, and may grow with the cluster.
     """
-    if keys.count() <= one_window:
-        whole = Window.orderBy(key).rowsBetween(Window.unboundedPreceding, -1)
-        return keys.withColumn("before", F.coalesce(F.sum(weight).over(whole), F.lit(0)))
     cut = _search(keys, split_points(keys, key, buckets), key, "_bucket", buckets)
     return add_offsets(cut, [key], weight, []).drop("total")
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.types import StringType
@@ -66,6 +66,7 @@ def value_counts(df: DataFrame, column: str) -> DataFrame:
 
 
 LONG_KEY = 64
+MOST_LABELS = 10_000
 
 
 def _short_key(df: DataFrame, column: str) -> Column:
@@ -85,6 +86,22 @@ def dup_count(df: DataFrame, keys: Sequence[str] | None = None) -> DataFrame:
     return groups.agg(F.coalesce(F.sum(F.col("n") - 1), F.lit(0)).alias("duplicates"))
 
 
+def dup_counts(df: DataFrame, keys: Mapping[str, Sequence[str] | None]) -> DataFrame:
+    """``key, duplicates`` for several keys from one scan; null for a key stands for all columns.
+
+    Every column is digested once; a row then gives one digest per key.
+    """
+    columns = {c: F.coalesce(F.sha2(F.col(c).cast("string"), 256), F.lit("")) for c in df.columns}
+    digests = df.select(*[d.alias(c) for c, d in columns.items()])
+    pairs = F.array(*[
+        F.struct(F.lit(name).alias("key"), F.sha2(F.concat_ws(",", *(key or df.columns)), 256).alias("digest"))
+        for name, key in keys.items()])
+    groups = digests.select(F.inline(pairs)).groupBy("key", "digest").agg(F.count("*").alias("n"))
+    found = groups.groupBy("key").agg(F.sum(F.col("n") - 1).alias("duplicates"))
+    names = df.sparkSession.createDataFrame([(k,) for k in keys], "key string")
+    return names.join(found, "key", "left").select("key", F.coalesce("duplicates", F.lit(0)).alias("duplicates"))
+
+
 def dup_rows(df: DataFrame, key: str = "id") -> DataFrame:
     """All rows whose key occurs more than once.
 
@@ -180,11 +197,13 @@ def label_share(df: DataFrame, label: str = "label") -> DataFrame:
 
 
 def label_range(df: DataFrame, label: str = "label") -> DataFrame:
-    return df.select(label).distinct().agg(
-        F.min(label).alias("min_label"),
-        F.max(label).alias("max_label"),
-        F.sort_array(F.collect_list(label)).alias("labels"),
-    )
+    """Smallest and largest label, and the labels themselves; more than ``MOST_LABELS`` is an error,
+    since a column of that many values is no label."""
+    few = df.select(label).distinct().limit(MOST_LABELS + 1).agg(
+        F.min(label).alias("min_label"), F.max(label).alias("max_label"),
+        F.sort_array(F.collect_list(label)).alias("labels"))
+    too_many = F.raise_error(F.lit("too many different labels")).cast(few.schema["labels"].dataType)
+    return few.withColumn("labels", F.when(F.size("labels") > MOST_LABELS, too_many).otherwise(F.col("labels")))
 
 
 def fold_distribution(df: DataFrame, labels: Sequence[int], label: str = "label",

@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions import text as T
+from ..functions.core import bind
 from ..session import materialize
 from .skew import lookup_join
 
@@ -67,14 +68,49 @@ def normalise(weights: DataFrame) -> DataFrame:
     return weights.select("id", "term", (F.col("raw") / norm).alias("weight"))
 
 
+def _weighted(counts: Column, vocab: Column) -> Column:
+    """``(term, weight)`` of a record's ``(term, tf)``, from the sorted ``(term, idf)`` array.
+
+    Terms are found by binary search, and the norm is taken in the row, so nothing is shuffled.
+    """
+    steps = F.array(*[F.lit(1 << k) for k in reversed(range(BROADCAST_TERMS.bit_length()))])
+
+    def look_up(v: Column) -> Column:
+        def weigh_one(c: Column) -> Column:
+            at = F.aggregate(steps, F.lit(0), lambda at, step: at + F.when(
+                F.get(v, at + step - 1)["term"] <= c["term"], step).otherwise(0))
+            entry = F.get(v, at - 1)
+            raw = F.when(entry["term"] == c["term"], c["tf"] * entry["idf"])
+            return F.struct(c["term"].alias("term"), raw.alias("raw"))
+
+        return F.filter(F.transform(counts, weigh_one), lambda w: w["raw"].isNotNull())
+
+    def scale(raws: Column) -> Column:
+        square = F.aggregate(raws, F.lit(0.0), lambda s, w: s + w["raw"] * w["raw"])
+        return bind(F.sqrt(square), lambda norm: F.transform(
+            raws, lambda w: F.struct(w["term"].alias("term"), (w["raw"] / norm).alias("weight"))))
+
+    return bind(bind(vocab, look_up), scale)
+
+
 def tfidf(train: DataFrame, text: Column | str, *, test: DataFrame | None = None,
           stop_words: Sequence[str] = (), bigrams: bool = True, min_df: int = 1,
           max_df: float = 1.0, max_features: int | None = None) -> DataFrame:
-    """``id, term, weight``: vocabulary and idf from ``train``, weights for ``test`` or itself."""
+    """``id, term, weight``: vocabulary and idf from ``train``, weights for ``test`` or itself.
+
+    With a limit of at most ``BROADCAST_TERMS`` the vocabulary is one bounded array that every task
+    gets, and each record is weighted by itself. Without one the weights are joined and shuffled.
+    """
     seen = record_terms(train, text, stop_words, bigrams)
     vocab = vocabulary(train, seen, min_df, max_df, max_features)
-    rows = seen if test is None else record_terms(test, text, stop_words, bigrams)
-    return normalise(weigh(rows, vocab, max_features))
+    source = train if test is None else test
+    if max_features is None or max_features > BROADCAST_TERMS:
+        rows = seen if test is None else record_terms(test, text, stop_words, bigrams)
+        return normalise(weigh(rows, vocab, max_features))
+    entries = vocab.agg(F.sort_array(F.collect_list(F.struct("term", "idf")))).scalar()
+    counts = T.term_counts(T.analyze(text, stop_words, bigrams))
+    counted = source.select("id", counts.alias("counts")).withColumn("vocab", entries)
+    return counted.select("id", F.inline(_weighted(F.col("counts"), F.col("vocab"))))
 
 
 def tfidf_blocks(df: DataFrame, stop_words: Sequence[str], title_features: int = 3000,

@@ -21,10 +21,11 @@ def score_histogram(df: DataFrame, score: str = "score", label: str = "label") -
     """``label, bin, n``. Bin b holds scores in [b/100, (b+1)/100).
 
     Cut points lie between the lowest and the highest label, so everything below or above
-    them can share one bin.
+    them can share one bin. Rows without a score or label are left out.
     """
     nr = F.greatest(F.lit(LOW - 1), F.least(F.lit(HIGH), F.floor(F.round(F.col(score) * STEP, 6))))
-    return df.groupBy(F.col(label).alias("label"), nr.cast("int").alias("bin")).agg(
+    scored = df.where(F.col(score).isNotNull() & F.col(label).isNotNull())
+    return scored.groupBy(F.col(label).alias("label"), nr.cast("int").alias("bin")).agg(
         F.count("*").alias("n")
     )
 

@@ -44,6 +44,17 @@ def _scored(spark, sf):
     return tables.predictions(spark, sf).select("id", "label", "prediction")
 
 
+# Some rows have a label or a prediction that the usual set does not hold.
+ODD_SQL = """SELECT id, CAST(CASE WHEN id % 11 = 0 THEN 9 ELSE label END AS INTEGER) AS label,
+    CAST(CASE WHEN id % 13 = 0 THEN 0 ELSE prediction END AS INTEGER) AS prediction FROM predictions"""
+
+
+def _odd(spark, sf):
+    label = F.when(F.col("id") % 11 == 0, 9).otherwise(F.col("label")).alias("label")
+    prediction = F.when(F.col("id") % 13 == 0, 0).otherwise(F.col("prediction")).alias("prediction")
+    return _scored(spark, sf).select("id", label, prediction)
+
+
 def _report(df, **names):
     report = evaluate.classification_report(df, **names)
     return report.withColumns({c: F.round(c, 6) for c in ("precision", "recall", "f1")})
@@ -115,16 +126,18 @@ def accuracy(spark, sf):
 
 @query("confusion_matrix", with_views(
     """SELECT CAST(i.v AS INTEGER) AS label, CAST(j.v AS INTEGER) AS prediction, count(p.id) AS n
-      FROM range(1, 6) i(v) CROSS JOIN range(1, 6) j(v)
-      LEFT JOIN predictions p ON p.label = i.v AND p.prediction = j.v GROUP BY i.v, j.v""", "predictions"))
+      FROM seen i CROSS JOIN seen j
+      LEFT JOIN odd_scored p ON p.label = i.v AND p.prediction = j.v GROUP BY i.v, j.v""", "predictions",
+    odd_scored=ODD_SQL, seen="SELECT label AS v FROM odd_scored UNION SELECT prediction FROM odd_scored"))
 def confusion_matrix(spark, sf):
-    return evaluate.confusion_matrix(_scored(spark, sf))
+    return evaluate.confusion_matrix(_odd(spark, sf))
 
 
 @query("classification_report", with_views(
-    REPORT_SQL, "predictions", classes=CLASS_SQL.format(t="predictions")))
+    REPORT_SQL, "predictions", odd_scored=ODD_SQL,
+    classes=CLASS_SQL.format(t="odd_scored").replace("range(1, 6)", "(SELECT DISTINCT label FROM odd_scored UNION SELECT prediction FROM odd_scored)")))
 def classification_report(spark, sf):
-    return _report(_scored(spark, sf))
+    return _report(_odd(spark, sf))
 
 
 @query("macro_f1", with_views(
@@ -190,7 +203,7 @@ def _objective_sql(candidates: str) -> str:
 
 THRESHOLD_VIEWS = {
     "hist": """SELECT label, greatest(99, least(500, floor(round(score * 100, 6))::INTEGER)) AS bin, count(*) AS n
-      FROM predictions GROUP BY ALL""",
+      FROM predictions WHERE id % 7 <> 0 GROUP BY ALL""",
     "below_row": """SELECT list(b ORDER BY label) AS below FROM (
       SELECT label, list(below ORDER BY bin) AS b FROM (
         SELECT l.label, s.bin, coalesce(sum(n) OVER (PARTITION BY l.label ORDER BY s.bin
@@ -215,7 +228,8 @@ THRESHOLD_VIEWS = {
       FROM fine_scored ORDER BY objective DESC, fine_scored.t1, fine_scored.t2, fine_scored.t3, fine_scored.t4
       LIMIT 1""", "predictions", **THRESHOLD_VIEWS))
 def threshold_search(spark, sf):
-    return thresholds.threshold_search(tables.predictions(spark, sf).select("score", "label"))
+    score = F.when(F.col("id") % 7 != 0, F.col("score")).alias("score")  # some scores are missing
+    return thresholds.threshold_search(tables.predictions(spark, sf).select(score, "label"))
 
 
 # --- saved model replies ------------------------------------------------------------------

@@ -59,7 +59,7 @@ def author_frequency(spark, sf):
     names=AUTHORS_SQL.format(source="papers_meta_authors"), freq=FREQ_SQL,
     stats=STATS_SQL.format(source="papers_meta_authors")))
 def author_stats(spark, sf):
-    rows = tables.papers_meta_authors(spark, sf).select("id", "authors")
+    rows = tables.papers_authors(spark, sf).select("id", "authors")
     frequency = materialize(metadata.author_frequency(rows), "authors")
     stats = metadata.author_stats(rows, frequency)
     return _rounded(stats, ["author_freq_mean"])

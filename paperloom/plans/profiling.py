@@ -73,11 +73,7 @@ DUP_KEYS = {"id": ["id"], "title": ["title"], "doi": ["doi"], "abstract": ["abst
     "paper_texts", dup_input="SELECT id, title, doi, abstract FROM paper_texts"))
 def dup_count(spark, sf):
     rows = tables.paper_texts(spark, sf).select("id", "title", "doi", "abstract")
-    out = None
-    for name, keys in DUP_KEYS.items():
-        one = profile.dup_count(rows, keys).select(F.lit(name).alias("key"), "duplicates")
-        out = one if out is None else out.unionByName(one)
-    return out
+    return profile.dup_counts(rows, DUP_KEYS)
 
 
 @query("dup_rows", """
@@ -97,7 +93,7 @@ AUTHOR_COUNTS = "SELECT len(string_split(coalesce(authors, 'nan'), ',')) AS n FR
       quantile_cont(n, 0.75) AS q75, CAST(max(n) AS INTEGER) AS max FROM counts""",
     "papers_meta_authors", counts=AUTHOR_COUNTS))
 def describe(spark, sf):
-    counts = tables.papers_meta_authors(spark, sf).select(T.author_count_raw("authors").alias("n"))
+    counts = tables.papers_authors(spark, sf).select(T.author_count_raw("authors").alias("n"))
     return profile.describe(counts, "n").withColumns(
         {"mean": F.round("mean", 6), "std": F.round("std", 6)})
 
@@ -125,7 +121,7 @@ def histogram(spark, sf):
 @query("histogram_authors", with_views(
     _histogram_sql("sizes"), "papers_meta_authors", counts=AUTHOR_COUNTS, sizes="SELECT n AS x FROM counts"))
 def histogram_authors(spark, sf):
-    counts = tables.papers_meta_authors(spark, sf).select(T.author_count_raw("authors").alias("n"))
+    counts = tables.papers_authors(spark, sf).select(T.author_count_raw("authors").alias("n"))
     return _rounded_histogram(counts, "n")
 
 

@@ -43,7 +43,7 @@ def last_names(x: str) -> str:
 
 
 def year_int(x: str) -> str:
-    return f"coalesce(CAST(trunc(try_cast({x} AS DOUBLE)) AS INTEGER), 0)"
+    return f"coalesce(CAST(trunc(try_cast({x} AS DOUBLE)) AS BIGINT), 0)"
 
 
 def doi(x: str) -> str:

@@ -14,7 +14,7 @@ from .sql import with_views
 
 
 def _documents(spark, sf):
-    return io.load_texts(spark, sf, "documents").select(F.col("doc_id").alias("id"), "text")
+    return io.load_table(spark, sf, "documents").select(F.col("doc_id").alias("id"), "text")
 
 
 @query("tokenize_words", rf"SELECT doc_id AS id, array_to_string({Q.tokens('text')}, ' ') AS tokens FROM documents")
@@ -25,7 +25,7 @@ def tokenize_words(spark, sf):
 @query("tokenize_conversations", f"""
     SELECT conv_id, turn, len({Q.tokens('text')}) AS n FROM conversations""")
 def tokenize_conversations(spark, sf):
-    rows = io.load_texts(spark, sf, "conversations")
+    rows = io.load_table(spark, sf, "conversations")
     return rows.select("conv_id", "turn", F.size(T.tokenize_words("text")).cast("long").alias("n"))
 
 
@@ -116,7 +116,7 @@ def tfidf_all_terms(spark, sf):
     vocab=_vocab_sql("terms", "papers_meta_authors", 1, 1.0, 1500),
     weights=_weights_sql("terms", "vocab")))
 def tfidf_author(spark, sf):
-    weights = terms.tfidf(tables.papers_meta_authors(spark, sf), T.author_last_names("authors"),
+    weights = terms.tfidf(tables.papers_authors(spark, sf), T.author_last_names("authors"),
                           bigrams=False, max_features=1500)
     return weights.withColumn("weight", F.round("weight", 6))
 

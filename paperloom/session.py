@@ -30,6 +30,7 @@ def local_session(cores: int | str = "*", app: str = "paperloom", **conf: str) -
         "spark.driver.memory": "16g",
         **conf,
     }
+    settings.setdefault("spark.checkpoint.dir", tempfile.mkdtemp(prefix="paperloom-"))
     for key, value in settings.items():
         builder = builder.config(key, value)
     spark = builder.getOrCreate()
@@ -38,23 +39,18 @@ def local_session(cores: int | str = "*", app: str = "paperloom", **conf: str) -
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder named by ``spark.checkpoint.dir``.
+    """The folder in ``spark.checkpoint.dir``, else one below the warehouse.
 
-    Only a local master may fall back to a folder of its own: on a cluster every executor
-    must see the folder, so a missing setting is an error there.
+    Every executor must see it, so a folder of the driver's machine is refused unless the whole
+    session runs there.
     """
     named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get(
         "spark.checkpoint.dir"
     )
-    if named:
-        return named
-    current = spark.sparkContext.getCheckpointDir()
-    if current:
-        return current
-    if not spark.sparkContext.master.startswith("local"):
+    folder = named or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_scratch"
+    if not named and folder.startswith(("file:", "/")) and not spark.sparkContext.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-    spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="paperloom-"))
-    return spark.sparkContext.getCheckpointDir()
+    return folder
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
@@ -62,6 +58,12 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
+def remove_scratch(spark: SparkSession) -> None:
+    """Delete the folder of intermediate tables; for the end of a session that has one of its own."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(shared_dir(spark))
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def materialize(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` once to the shared folder and read it back: the lineage ends there."""
     path = scratch_path(df.sparkSession, name)

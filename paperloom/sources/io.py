@@ -27,19 +27,6 @@ def load_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.schema(TABLES[name]).parquet(f"{folder}/{name}.parquet")
 
 
-def load_texts(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    """A table of long texts.
-
-    Each supplied table is one file with one row group, which a single task has to read. On one
-    machine the rows are dealt out to the cores before the costly text work; on a cluster, where
-    a table has many files, the scan is parallel by itself and nothing is moved.
-    """
-    df = load_table(spark, folder, name)
-    if not spark.sparkContext.master.startswith("local"):
-        return df
-    return df.repartition(spark.sparkContext.defaultParallelism)
-
-
 def load_csv(spark: SparkSession, path: str, schema: str, *, missing_words: bool = True,
              split_files: bool = False) -> DataFrame:
     """Read CSV under an explicit schema; a missing path raises.
@@ -60,8 +47,13 @@ def save_csv(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").options(**options).option("emptyValue", "").csv(path)
 
 
-def load_json(spark: SparkSession, path: str, schema: str) -> DataFrame:
-    return spark.read.schema(schema).json(path)
+def load_json(spark: SparkSession, path: str, schema: str, *, document: bool = False) -> DataFrame:
+    """One record per line, or with ``document`` one object or array per file, indented or not.
+
+    What cannot be read in the chosen form raises, so an indented file never becomes null rows.
+    """
+    reader = spark.read.schema(schema).option("mode", "FAILFAST")
+    return reader.option("multiLine", str(document).lower()).json(path)
 
 
 def save_json(df: DataFrame, path: str) -> None:

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from .io import load_table, load_texts
+from .io import load_table
 
 
 def _source_nr() -> Column:
@@ -34,7 +34,7 @@ def paper_texts(spark: SparkSession, folder: str) -> DataFrame:
     """Raw papers without authors, one per document."""
     nr = _source_nr()
     key = F.col("doc_id").cast("string")
-    return load_texts(spark, folder, "documents").select(
+    return load_table(spark, folder, "documents").select(
         F.col("doc_id").alias("id"),
         F.split_part("text", F.lit("."), F.lit(1)).alias("title"),
         F.when(nr.isin(3, 7), None)
@@ -79,6 +79,13 @@ def papers_meta_authors(spark: SparkSession, folder: str) -> DataFrame:
     return papers_meta(spark, folder).join(authors_by_order(spark, folder), "id", "left")
 
 
+def papers_authors(spark: SparkSession, folder: str) -> DataFrame:
+    """``id, year, authors`` of the many short records, without the venues' table."""
+    orders = load_table(spark, folder, "orders").select(
+        F.col("o_orderkey").alias("id"), F.year("o_orderdate").alias("year"))
+    return orders.join(authors_by_order(spark, folder), "id", "left")
+
+
 def labelled(spark: SparkSession, folder: str) -> DataFrame:
     """``id, label`` of every order: the narrow scan the label operators need."""
     return load_table(spark, folder, "orders").select(
@@ -164,7 +171,7 @@ def _inverted_index(words: Column) -> Column:
 def response_seed(spark: SparkSession, folder: str) -> DataFrame:
     """What the sources know about each document: text, author names and a source number."""
     return (
-        load_texts(spark, folder, "documents")
+        load_table(spark, folder, "documents")
         .select(F.col("doc_id").alias("id"), "text", _source_nr().alias("nr"))
         .join(authors_by_order(spark, folder), "id", "left")
         .withColumn("names", F.coalesce(F.split("authors", ", "), F.array().cast("array<string>")))
@@ -282,7 +289,7 @@ def pages_meta(spark: SparkSession, folder: str) -> DataFrame:
         .otherwise(F.concat(F.lit("<meta name=description content='d'>"
                                   "<meta name=citation_abstract content="), quoted, F.lit(">")))
     )
-    return load_texts(spark, folder, "pages").select(
+    return load_table(spark, folder, "pages").select(
         F.col("page_id").alias("id"), "url", F.concat(tag, F.col("html")).alias("html")
     )
 

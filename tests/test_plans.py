@@ -54,6 +54,20 @@ def test_top_k_is_limited_before_the_shuffle(spark):
     assert "TakeOrderedAndProject" in plan_of(REGISTRY["topk_venues"].run(spark, SMALL))
 
 
+def test_weights_of_a_limited_vocabulary_are_not_shuffled(spark):
+    text = plan_of(REGISTRY["tfidf"].run(spark, SMALL))
+    assert "hashpartitioning(id" not in text and "Window" not in text
+
+
+def test_duplicates_are_counted_in_one_scan(spark):
+    text = plan_of(REGISTRY["dup_count"].run(spark, SMALL)).split("== Initial Plan ==")[-1]
+    assert text.count("FileScan") == 1
+
+
+def test_author_queries_read_no_customers(spark):
+    assert "c_custkey" not in plan_of(REGISTRY["author_count_raw"].run(spark, SMALL))
+
+
 def test_scores_shuffle_one_row_per_task(spark):
     text = plan_of(REGISTRY["qwk"].run(spark, SMALL))
     assert text.count("Exchange") == 1 and "partial_sum" in text
