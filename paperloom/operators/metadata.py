@@ -13,6 +13,7 @@ from ..session import materialize
 from .ordering import dense_index
 from .skew import lookup_join
 
+# The names of the features.
 SCALED = (
     "venue_encoded", "year_norm", "author_count",
     "author_freq_mean", "author_freq_max", "author_freq_min",
@@ -20,6 +21,15 @@ SCALED = (
 FLAGS = ("has_abstract", "has_authors")
 
 
+def narrow_records(df: DataFrame) -> DataFrame:
+    """What the features need of each record, written once, since fitting reads it several times.
+
+    Of the abstract only whether there is one is kept.
+    """
+    some = F.when(presence_flag("abstract") == 1, "+").alias("abstract")
+    return materialize(df.select("id", "venue", "year", "authors", some), "records")
+
+
 def record_authors(df: DataFrame, id_col: str = "id") -> DataFrame:
     """``id, author``: one row per name on a record."""
     return df.select(F.col(id_col).alias("id"), F.explode(split_authors("authors")).alias("author"))

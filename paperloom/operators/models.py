@@ -26,6 +26,7 @@ from .folds import oof_assemble, with_folds
 from .stages import BoostedTrees, NonNegative
 from .thresholds import NAMES, threshold_search
 
+# The penalties that are tried.
 C_GRID = (0.1, 0.5, 1.0, 5.0, 10.0)
 
 

@@ -75,7 +75,7 @@ def venue_index(spark, sf):
         f"round(avg({c}), 6) AS {c}_mean, round(stddev_pop({c}), 6) AS {c}_std" for c in metadata.SCALED)
     + " FROM raw", "papers", **META_VIEWS))
 def scaler_stats(spark, sf):
-    raw = _raw(tables.papers(spark, sf))
+    raw = _raw(metadata.narrow_records(tables.papers(spark, sf)))
     stats = metadata.scaler_stats(raw)
     return _rounded(stats, stats.columns)
 
@@ -85,7 +85,7 @@ def scaler_stats(spark, sf):
         f"round(min({c}), 6) AS {c}_min, round(max({c}), 6) AS {c}_max" for c in metadata.SCALED)
     + " FROM raw", "papers", **META_VIEWS))
 def minmax_stats(spark, sf):
-    raw = _raw(tables.papers(spark, sf))
+    raw = _raw(metadata.narrow_records(tables.papers(spark, sf)))
     stats = metadata.minmax_stats(raw)
     return _rounded(stats, stats.columns)
 
@@ -99,7 +99,7 @@ def _scaled(c: str) -> str:
     f"SELECT id, {', '.join(_scaled(c) for c in metadata.SCALED)}, has_abstract, has_authors FROM raw",
     "papers", **META_VIEWS))
 def metadata_features(spark, sf):
-    papers = tables.papers(spark, sf)
+    papers = metadata.narrow_records(tables.papers(spark, sf))
     features = metadata.metadata_features(papers, metadata.fit_metadata(papers))
     return _rounded(features, metadata.SCALED)
 

@@ -12,6 +12,7 @@ from . import sql as Q
 from .registry import query
 from .sql import with_views
 
+# The columns of the record file.
 PAPER_COLUMNS = ["title", "venue", "year", "authors", "doi", "id"]
 
 
