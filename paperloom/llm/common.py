@@ -11,9 +11,15 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 # The characters between words, as used by every word count here.
 SPACE = "\\x20\\x09-\\x0D"
 SLICE = 256  # rows turned into Python objects at a time
+BATCH = 1_000  # rows of long texts that a Python worker gets at a time
 
 
 def documents(spark: SparkSession, folder: str, name: str = "documents") -> DataFrame:
+    """A table of long texts. Spark's default batch of 10,000 rows is made for narrow ones, so the
+    session's setting is lowered; it bounds memory only and changes no result."""
+    setting = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if int(spark.conf.get(setting)) > BATCH:
+        spark.conf.set(setting, str(BATCH))
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
@@ -39,6 +45,7 @@ def text_function(fn: Callable[[list], list], ddl: str, kind: pa.DataType, rows:
             done = [pa.array(fn(batch.slice(at, rows).to_pylist()), kind)
                     for at in range(0, len(batch), rows)]
             yield pa.concat_arrays(done) if done else pa.array([], kind)
+            pa.default_memory_pool().release_unused()
 
     return F.arrow_udf(run, ddl, F.ArrowUDFType.SCALAR_ITER).asNondeterministic()
 
