@@ -12,10 +12,21 @@ from ..sources import tables
 from .registry import query
 
 
+# The boosting query is a shorter run than the operator's defaults (500 rounds of depth 6).
+BOOST_ROUNDS, BOOST_DEPTH = 50, 4
+
+
 def _input(spark, sf):
     return models.model_input(tables.vectors(spark, sf))
 
 
+def _three_parts(spark, sf):
+    """To fit, to choose by, and to score: no row is scored by a model that was chosen on it."""
+    train, test = _split(spark, sf)
+    parts = materialize(folds.with_split(train), "parts")
+    return [*[parts.where(F.col("split") == s).drop("split") for s in ("train", "test")], test]
+
+
 def _split(spark, sf):
     # Fitting passes over the rows many times, so the joined table is written first.
     marked = materialize(folds.with_split(_input(spark, sf)), "split")
@@ -34,14 +45,14 @@ def standardize_pca(spark, sf):
 @query("logreg")
 def logreg(spark, sf):
     train, test = _split(spark, sf)
-    model = models.logreg(1.0, train.count(), max_iter=100).fit(models.weighted(train))
+    model = models.logreg(1.0, train.count()).fit(models.weighted(train))
     return models.predict(model, test)
 
 
 @query("svm")
 def svm(spark, sf):
     train, test = _split(spark, sf)
-    model = models.linear_svm(1.0, train.count(), max_iter=20).fit(models.weighted(train))
+    model = models.linear_svm(1.0, train.count()).fit(models.weighted(train))
     return models.predict(model, test)
 
 
@@ -53,38 +64,38 @@ def naive_bayes(spark, sf):
 
 @query("boosted_trees")
 def boosted_trees(spark, sf):
-    """A short run of the boosted trees: 10 rounds with early stop on the test split."""
-    train, test = _split(spark, sf)
-    rows = train.withColumn("held", F.lit(False)).unionByName(test.withColumn("held", F.lit(True)))
-    model = models.boosted_trees(spark, rounds=10, depth=3, held="held").fit(rows)
+    """Boosted trees with early stop on a part that is neither fitted nor scored."""
+    train, held, test = _three_parts(spark, sf)
+    rows = train.withColumn("held", F.lit(False)).unionByName(held.withColumn("held", F.lit(True)))
+    model = models.boosted_trees(spark, rounds=BOOST_ROUNDS, depth=BOOST_DEPTH, held="held").fit(rows)
     return models.predict(model, test)
 
 
 @query("ordinal_regression")
 def ordinal_regression(spark, sf):
     train, test = _split(spark, sf)
-    model = models.ordinal_regression(train, max_iter=50)
+    model = models.ordinal_regression(train)
     return model.score(test).select("id", "label", "score")
 
 
 @query("tune_C")
 def tune_c(spark, sf):
-    train, test = _split(spark, sf)
-    tuned = models.tune_c(train, test, lambda c, n: models.logreg(c, n, max_iter=50))
+    train, held, test = _three_parts(spark, sf)
+    tuned = models.tune_c(train, held, lambda c, n: models.logreg(c, n))
     best = models.predict(tuned.model, test)
     return best.withColumns({"best_c": F.lit(tuned.c), "macro_f1": F.lit(tuned.macro_f1)})
 
 
 @query("grid_search_cv")
 def grid_search_cv(spark, sf):
-    rows = _input(spark, sf)
-    score, chosen, model = models.grid_search_cv(rows, components=(30, 50), cs=(1.0,), folds=3, max_iter=10)
-    return models.predict(model, rows).withColumns(
+    train, test = _split(spark, sf)
+    score, chosen, model = models.grid_search_cv(train, components=(30, 50), cs=(1.0, 10.0), folds=5)
+    return models.predict(model, test).withColumns(
         {"cv_macro_f1": F.lit(score), "k": F.lit(chosen["k"]), "c": F.lit(chosen["C"])})
 
 
 def _ensemble(train):
-    return models.cv_ensemble(train, lambda n: models.logreg(1.0, n, max_iter=50))
+    return models.cv_ensemble(train, lambda n: models.logreg(1.0, n))
 
 
 @query("oof_assemble")
@@ -105,7 +116,7 @@ def cv_ensemble(spark, sf):
 def ordinal_ensemble(spark, sf):
     """Fold models, cut points from the out-of-fold scores, labels for the test split."""
     train, test = _split(spark, sf)
-    ensemble = models.ordinal_ensemble(train, folds=5, max_iter=30)
+    ensemble = models.ordinal_ensemble(train, folds=5)
     return models.ordinal_predict(ensemble, test)
 
 
@@ -116,7 +127,7 @@ def model_persist(spark, sf):
 
     train, test = _split(spark, sf)
     folder = scratch_path(spark, "model")
-    fitted = models.logreg(1.0, train.count(), max_iter=50).fit(models.weighted(train))
+    fitted = models.logreg(1.0, train.count()).fit(models.weighted(train))
     models.save_models([fitted], folder)
     models.save_cuts(spark, (1.5, 2.5, 3.5, 4.5), folder)
     loaded = models.load_models(LogisticRegressionModel, folder, 1)[0]
