@@ -5,15 +5,15 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ..plans.registry import Query
-from . import decontaminate, jaccard, langid, line_templates, mixing, pii, quality, token_files, toxicity, urls
+from . import decontaminate, jaccard, langid, line_templates, mixing, pii, quality, sql, token_files, toxicity, urls
 from .common import documents
 
 QUERIES: dict[str, Query] = {}
 
 
-def query(name: str, sql: str | None = None):
+def query(name: str, text: str | None = None):
     def add(run):
-        QUERIES[name] = Query(run, sql)
+        QUERIES[name] = Query(run, text)
         return run
 
     return add
@@ -36,7 +36,7 @@ def language(spark: SparkSession, folder: str) -> DataFrame:
         "doc_id", "held_out", "lang_pred", "score")
 
 
-@query("op2_quality_rules")
+@query("op2_quality_rules", sql.QUALITY)
 def quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     docs = documents(spark, folder).select("doc_id", "text")
     out = quality.cascade(docs, quality.ordered_rules(docs), measures=True)
@@ -63,7 +63,7 @@ def personal_data(spark: SparkSession, folder: str) -> DataFrame:
                         pii.written(F.col("spans")).alias("spans"))
 
 
-@query("op4_line_templates")
+@query("op4_line_templates", sql.LINE_TEMPLATES)
 def recurring_lines(spark: SparkSession, folder: str) -> DataFrame:
     docs = documents(spark, folder).select("doc_id", "text")
     out = line_templates.without_recurring(docs)
