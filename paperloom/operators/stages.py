@@ -6,14 +6,17 @@ from multiprocessing.pool import ThreadPool
 
 from pyspark import inheritable_thread_target, keyword_only
 from pyspark.ml import Estimator, Model, Pipeline, PipelineModel, Transformer
-from pyspark.ml.classification import GBTClassifier
+from pyspark.ml.classification import GBTClassificationModel, GBTClassifier
 from pyspark.ml.evaluation import Evaluator
 from pyspark.ml.feature import CountVectorizerModel, ElementwiseProduct, Normalizer, VectorAssembler
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.linalg import Vectors
 from pyspark.ml.param import Param, Params, TypeConverters
 from pyspark.ml.param.shared import HasLabelCol, HasPredictionCol
-from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
+from pyspark.ml.util import (
+    DefaultParamsReadable, DefaultParamsReader, DefaultParamsWritable, DefaultParamsWriter, MLReadable, MLReader,
+    MLWritable, MLWriter,
+)
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..functions import text as T
@@ -22,6 +25,45 @@ from ..session import materialize
 from . import cleaning, evaluate, metadata, terms
 
 
+class _PartsWriter(MLWriter):
+    """Writes a stage's parameters, its own settings and the parts it is made of."""
+
+    def __init__(self, stage):
+        super().__init__()
+        self.stage = stage
+
+    def saveImpl(self, path: str) -> None:
+        settings = {"settings": self.stage.settings()}
+        DefaultParamsWriter.saveMetadata(self.stage, path, self.sparkSession, extraMetadata=settings)
+        self.stage.save_parts(path)
+
+
+class _PartsReader(MLReader):
+    def __init__(self, kind):
+        super().__init__()
+        self.kind = kind
+
+    def load(self, path: str):
+        metadata = DefaultParamsReader.loadMetadata(path, self.sparkSession)
+        stage = self.kind.from_parts(self.sparkSession, path, metadata["settings"])
+        stage._resetUid(metadata["uid"])
+        return stage
+
+
+class _WithParts(MLWritable, MLReadable):
+    """A stage that is saved as what ``save_parts`` writes and ``from_parts`` reads."""
+
+    def settings(self) -> dict:
+        return {}
+
+    def write(self) -> MLWriter:
+        return _PartsWriter(self)
+
+    @classmethod
+    def read(cls) -> MLReader:
+        return _PartsReader(cls)
+
+
 class _Stage(Transformer, DefaultParamsReadable, DefaultParamsWritable):
     pass
 
@@ -146,7 +188,7 @@ class NonNegative(_Stage):
         return df.withColumn(self.getOrDefault(self.outputCol), array_to_vector(cut))
 
 
-class BoostedTrees(Estimator):
+class BoostedTrees(Estimator, _WithParts):
     """Gradient-boosted trees for zero-based labels: one binary booster per label.
 
     ``held`` names a boolean column; those rows stop the boosting when the error no longer
@@ -157,6 +199,16 @@ class BoostedTrees(Estimator):
         super().__init__()
         self.booster, self.labels, self.held = booster, labels, held
 
+    def settings(self) -> dict:
+        return {"labels": self.labels, "held": self.held}
+
+    def save_parts(self, folder: str) -> None:
+        self.booster.write().overwrite().save(f"{folder}/booster")
+
+    @classmethod
+    def from_parts(cls, spark: SparkSession, folder: str, settings: dict) -> BoostedTrees:
+        return cls(GBTClassifier.load(f"{folder}/booster"), **settings)
+
     def _fit(self, df: DataFrame) -> BoostedTreesModel:
         columns = ["features", "target"] + ([self.held] if self.held else [])
         rows = materialize(df.select(*columns), "boosting")
@@ -169,13 +221,24 @@ class BoostedTrees(Estimator):
             return BoostedTreesModel(pool.map(inheritable_thread_target(df.sparkSession)(fit), range(self.labels)))
 
 
-class BoostedTreesModel(Model):
+class BoostedTreesModel(Model, _WithParts):
     """Adds ``probability`` (shares of the positive scores) and ``prediction``."""
 
     def __init__(self, boosters: list):
         super().__init__()
         self.boosters = boosters
 
+    def settings(self) -> dict:
+        return {"n": len(self.boosters)}
+
+    def save_parts(self, folder: str) -> None:
+        for k, booster in enumerate(self.boosters):
+            booster.write().overwrite().save(f"{folder}/booster_{k}")
+
+    @classmethod
+    def from_parts(cls, spark: SparkSession, folder: str, settings: dict) -> BoostedTreesModel:
+        return cls([GBTClassificationModel.load(f"{folder}/booster_{k}") for k in range(settings["n"])])
+
     def _transform(self, df: DataFrame) -> DataFrame:
         out = df
         for k, model in enumerate(self.boosters):
@@ -199,10 +262,11 @@ class MetadataFeatures(Estimator, DefaultParamsReadable, DefaultParamsWritable):
         return MetadataFeaturesModel(metadata.fit_metadata(df))
 
 
-class MetadataFeaturesModel(Model):
+class MetadataFeaturesModel(Model, _WithParts):
     """Holds the learned tables as DataFrames, so they may be larger than the driver."""
 
     COLUMNS = [*metadata.SCALED, *metadata.FLAGS]
+    TABLES = ("venues", "frequency", "stats")
 
     def __init__(self, state: metadata.MetadataState):
         super().__init__()
@@ -213,14 +277,13 @@ class MetadataFeaturesModel(Model):
         assembler = VectorAssembler(inputCols=self.COLUMNS, outputCol="metadata")
         return df.join(assembler.transform(features).select("id", "metadata"), "id")
 
-    def save(self, folder: str) -> None:
-        for name in ("venues", "frequency", "stats"):
+    def save_parts(self, folder: str) -> None:
+        for name in self.TABLES:
             getattr(self.state, name).write.mode("overwrite").parquet(f"{folder}/{name}")
 
     @classmethod
-    def load(cls, spark: SparkSession, folder: str) -> MetadataFeaturesModel:
-        tables = [spark.read.parquet(f"{folder}/{n}") for n in ("venues", "frequency", "stats")]
-        return cls(metadata.MetadataState(*tables))
+    def from_parts(cls, spark: SparkSession, folder: str, settings: dict) -> MetadataFeaturesModel:
+        return cls(metadata.MetadataState(*[spark.read.parquet(f"{folder}/{name}") for name in cls.TABLES]))
 
 
 def feature_union(stop_words, title: int = 3000, abstract: int = 8000, author: int = 1500) -> Pipeline:

@@ -105,7 +105,7 @@ def test_metadata_model_is_saved(spark, tmp_path):
     papers = tables.papers(spark, SMALL)
     model = stages.MetadataFeatures().fit(papers)
     model.save(str(tmp_path / "m"))
-    loaded = stages.MetadataFeaturesModel.load(spark, str(tmp_path / "m"))
+    loaded = stages.MetadataFeaturesModel.load(str(tmp_path / "m"))
     columns = ["id", vector_to_array("metadata").alias("m")]
     ours = {r["id"]: r["m"] for r in model.transform(papers).select(*columns).collect()}
     theirs = {r["id"]: r["m"] for r in loaded.transform(papers).select(*columns).collect()}
@@ -113,6 +113,27 @@ def test_metadata_model_is_saved(spark, tmp_path):
     assert all(theirs[k] == pytest.approx(v) for k, v in ours.items())
 
 
+def test_fitted_feature_pipeline_is_saved(spark, tmp_path):
+    papers = tables.papers(spark, SMALL)
+    fitted = stages.feature_union(english_stop_words(), title=50, abstract=80, author=20).fit(papers)
+    fitted.write().overwrite().save(str(tmp_path / "union"))
+    loaded = PipelineModel.load(str(tmp_path / "union"))
+    total = F.aggregate(vector_to_array("features"), F.lit(0.0), lambda a, x: a + x).alias("t")
+    ours, theirs = ({r["id"]: r["t"] for r in m.transform(papers).select("id", total).collect()} for m in (fitted, loaded))
+    assert ours.keys() == theirs.keys() and all(theirs[k] == pytest.approx(v) for k, v in ours.items())
+
+
+def test_boosted_trees_are_saved(spark, tmp_path):
+    rows = clustered(spark)
+    trees = models.boosted_trees(spark, rounds=2, depth=2)
+    trees.write().overwrite().save(str(tmp_path / "trees"))
+    fitted = stages.BoostedTrees.load(str(tmp_path / "trees")).fit(rows)
+    fitted.write().overwrite().save(str(tmp_path / "fitted"))
+    loaded = stages.BoostedTreesModel.load(str(tmp_path / "fitted"))
+    ours, theirs = (sorted(map(tuple, models.predict(m, rows).collect())) for m in (fitted, loaded))
+    assert ours == theirs and len(ours) == 250
+
+
 def test_cleaning_pipeline_round_trip(spark, tmp_path):
     papers = tables.papers(spark, SMALL)
     pipeline = stages.cleaning_stages()
