@@ -93,7 +93,8 @@ def recurring_lines(docs: DataFrame, *, text_col: str = "text", depth: int = DEP
 
     spelled = text_function(words_of, "array<struct<line:long,words:array<long>>>", worded)
     spelled = source.select(F.explode(spelled("text")).alias("l")).select("l.line", "l.words")
-    spelled = spelled.join(open_lines, "line").dropDuplicates(["line"])
+    # The table of lines grows with the corpus, so it is never broadcast, however small it is here.
+    spelled = spelled.join(open_lines.hint("merge"), "line").dropDuplicates(["line"])
     spelled = materialize(spelled, "open-words")
     places = spelled.select("leaf", "line", "docs", F.posexplode("words").alias("place", "word"))
     common = places.where(F.col("place") >= depth).groupBy("leaf", "place", "word").agg(F.sum("docs").alias("n"))
@@ -119,7 +120,8 @@ def without_recurring(docs: DataFrame, *, text_col: str = "text", **options) ->
     drops = materialize(
         found.join(lines, "line", "left_semi").groupBy("whole").agg(F.collect_list("line").alias("drop")), "drops")
     text = F.col(f"`{text_col}`").cast("string")
-    source = docs.select(whole(docs).alias("row"), F.xxhash64(text).alias("whole")).join(drops, "whole", "left")
+    source = docs.select(whole(docs).alias("row"), F.xxhash64(text).alias("whole"))
+    source = source.join(drops.hint("merge"), "whole", "left")
     kind = pa.struct([("text", pa.string()), ("n_lines", pa.int64()), ("n_dropped", pa.int64())])
 
     def cut(texts: list[str | None], dropped: list[list[int] | None]) -> list[dict]:
