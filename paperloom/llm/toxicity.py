@@ -131,7 +131,7 @@ def train(docs: DataFrame, labels: DataFrame, grade: Column, *, binary: bool = T
     from ..session import materialize
 
     rows = labelled_sample(docs, labels, grade, id_col=id_col, text_col=text_col, sample=sample)
-    listed = text_function(extract, "array<string>", pa.list_(pa.string()))
+    listed = text_function(extract, "array<string>", pa.list_(pa.string()), 32)
     rows = materialize(rows.select(
         "grade", F.xxhash64("text").alias("key"), listed("text").alias("features")), "toxic-sample")
     sizes = {r["grade"]: r["n"] for r in rows.groupBy("grade").agg(F.count("*").alias("n")).collect()}
