@@ -298,14 +298,15 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
 
     def verify(part: pd.DataFrame) -> pd.DataFrame:
         edges, links = compare(part, True, threshold)
-        out = [(a, b, 0) for a, b in edges] + [(node, None, n) for node, n in links.items()]
-        return pd.DataFrame(out, columns=["a", "b", "n"]).astype({"a": "int64", "b": "Int64", "n": "int64"})
+        # A count is a loop with a number: a missing end would turn long numbers into floats.
+        out = [(a, b, 0) for a, b in edges] + [(node, node, n) for node, n in links.items()]
+        return pd.DataFrame(out, columns=["a", "b", "n"]).astype("int64")
 
     verified = dealt(materialize(grouped, "sets"), GROUP_BLOCK).groupBy("task").applyInPandas(
         verify, "a long, b long, n long")
     verified = materialize(verified, "links")
-    counts = verified.where("b is null").groupBy(F.col("a").alias("node")).agg(F.sum("n").alias("n_links"))
-    roots = components(verified.where("b is not null"))
+    counts = verified.where("n > 0").groupBy(F.col("a").alias("node")).agg(F.sum("n").alias("n_links"))
+    roots = components(verified.where("n = 0"))
     classes = lone.select("node", "copy_id").join(roots, "node", "left").join(counts, "node", "left").select(
         "node", "copy_id", F.coalesce("root", "node").alias("root"), F.coalesce("n_links", F.lit(0)).alias("n_links"))
     classes = materialize(classes, "classes")
