@@ -1,12 +1,14 @@
 """Documents that hold passages of a benchmark, found by the q-gram lemma.
 
-A benchmark item is cut into overlapping windows; a document is contaminated if some window
-occurs in it with at most ``k = rate * length`` edits, letter case and punctuation aside. By the
-q-gram lemma such a place shares at least ``m + 1 - q (k + 1)`` of the window's q-grams, and its
-alignment stays within ``k + 1`` neighbouring diagonals, so it lies whole in one of the bands of
-``2 (k + 1)`` diagonals that overlap by half. Shared q-grams are counted per item and band;
-windows that reach the bound are verified by an alignment confined to the band. The count is a
-filter without losses: what the alignment would accept is never dropped before it.
+The windows of a benchmark item are all its parts of ``run`` and of ``window`` characters, at every
+offset; a document is contaminated if some window occurs in it with at most ``k = rate * length``
+edits, letter case and punctuation aside. So every verbatim part of an item of ``run`` folded
+characters (64, about 11 words) is found wherever it is cut, and every part of ``window`` characters
+with up to 6 edits in 100. By the q-gram lemma such a place shares at least ``m + 1 - q (k + 1)`` of
+the window's q-grams, and its alignment stays within ``k + 1`` neighbouring diagonals, so it lies
+whole in one of the bands of ``2 (k + 1)`` diagonals that overlap by half. Shared q-grams are counted
+per item and band; windows that reach the bound are verified by an alignment confined to the band.
+The count is a filter without losses: what the alignment would accept is never dropped before it.
 
 The corpus is read once and nothing is shuffled: each document is compared with an index of the
 q-grams. The index travels to the executors, so it is cut into blocks of at most ``block_chars``
@@ -29,8 +31,10 @@ from .common import folded, text_function, whole
 
 Q = 10
 WINDOW = 100
+RUN = 64  # every copied run of so many characters is found
 RATE = 0.06
 BLOCK_CHARS = 4_000_000
+AT_ONCE = 4_096  # windows aligned together; bounds memory only
 MULTIPLIER = 0x9E3779B97F4A7C15
 TABLE_BITS = 22
 
@@ -65,50 +69,74 @@ def aligned(window: np.ndarray, text: np.ndarray, first: int, width: int, k: int
     Diagonal ``d`` pairs ``window[i]`` with ``text[i + d]``; the band holds ``first`` to
     ``first + width - 1``. Returns start, stop and edits, or None if more than ``k`` are needed.
     """
-    # A copy without edits needs no table.
-    low, high = max(0, first), max(0, min(len(text), first + width - 1 + len(window)))
-    at, rest = divmod(text[low:high].tobytes().find(window.tobytes()), text.itemsize)
-    if at >= 0 and not rest and text.dtype == window.dtype:
-        return low + at, low + at + len(window), 0
+    return aligned_windows(window, text, first, width, np.zeros(1, np.int64), len(window), k)[0]
+
+
+def aligned_windows(item: np.ndarray, text: np.ndarray, first: int, width: int, starts: np.ndarray, size: int,
+                    k: int) -> list[tuple[int, int, int] | None]:
+    """``aligned`` for the windows of an item that begin at ``starts``, all in one band of the item's diagonals."""
     far = 1 << 20
     lanes = np.arange(width)
-
-    def legal(i: int) -> np.ndarray:  # lane j stands before text position first + j + i
-        at = first + lanes + i
-        return (at >= 0) & (at <= len(text))
-
-    cost = np.where(legal(0), 0, far)
-    begin = first + lanes
-    for i in range(len(window)):
-        at = first + lanes + i
-        inside = (at >= 0) & (at < len(text))
-        same = np.zeros(width, bool)
-        same[inside] = text[at[inside]] == window[i]
-        # In lane j: pair the two characters, or skip the window's (it comes from lane j + 1).
-        pair = np.where(inside, cost + ~same, far)
-        skip = np.append(cost[1:], far) + 1
+    low = int(starts.min())
+    rows = np.arange(low, int(starts.max()) + size)
+    at = rows[:, None] + first + lanes  # lane j stands before text position first + j + row
+    inside = (at >= 0) & (at < len(text))
+    same = inside & (np.append(text, text.dtype.type(0))[np.where(inside, at, len(text))] == item[rows][:, None])
+    # A copy without edits needs no table.
+    runs = np.concatenate([np.zeros((1, width), np.int64), np.cumsum(same, axis=0)])
+    exact = runs[starts - low + size] - runs[starts - low] == size
+    found: list[tuple[int, int, int] | None] = [None] * len(starts)
+    for n in np.flatnonzero(exact.any(axis=1)).tolist():
+        begin = int(starts[n]) + first + int(np.argmax(exact[n]))
+        found[n] = (begin, begin + size, 0)
+    live = np.flatnonzero(~exact.any(axis=1))
+    begin = (starts[live] + first)[:, None] + lanes
+    cost = np.where((begin >= 0) & (begin <= len(text)), 0, far)
+    edge = np.full((len(live), 1), far)
+    for i in range(size):
+        if not len(live):
+            return found
+        row = starts[live] - low + i
+        # In lane j: pair the two characters, or skip the item's (it comes from lane j + 1).
+        pair = np.where(inside[row], cost + ~same[row], far)
+        skip = np.concatenate([cost[:, 1:], edge[:len(live)]], axis=1) + 1
         take = skip < pair
-        step, origin = np.where(take, skip, pair), np.where(take, np.append(begin[1:], 0), begin)
+        step = np.where(take, skip, pair) - lanes
+        origin = np.where(take, np.concatenate([begin[:, 1:], edge[:len(live)]], axis=1), begin)
         # Skipping text moves right within the row: the least of step[j'] + (j - j').
-        best = np.minimum.accumulate(step - lanes)
-        source = np.maximum.accumulate(np.where(step - lanes == best, lanes, 0))
-        cost = np.where(legal(i + 1), best + lanes, far)
-        begin = origin[source]
-        if cost.min() > k:
-            return None
-    j = int(np.argmin(cost))
-    return (int(begin[j]), first + j + len(window), int(cost[j])) if cost[j] <= k else None
-
+        best = np.minimum.accumulate(step, axis=1)
+        source = np.maximum.accumulate(np.where(step == best, lanes, 0), axis=1)
+        after = at[row] + 1
+        cost = np.where((after >= 0) & (after <= len(text)), best + lanes, far)
+        begin = np.take_along_axis(origin, source, axis=1)
+        hope = cost.min(axis=1) <= k
+        if not hope.all():
+            live, cost, begin = live[hope], cost[hope], begin[hope]
+    for n, c, b in zip(live.tolist(), cost, begin):
+        j = int(np.argmin(c))
+        found[n] = (int(b[j]), first + j + int(starts[n]) + size, int(c[j]))
+    return found
+
+
+def cut(length: int, q: int, window: int, rate: float, run: int = RUN) -> list[tuple[int, int, int]]:
+    """Windows of an item, of the lengths ``run`` and ``window``, one at every offset.
+
+    So any part of the item of such a length is a window. An item that is shorter is one window. The
+    edits are few enough that one shared q-gram is asked for.
+    """
+    out = []
+    for size in sorted({min(length, run), min(length, window)}):
+        k = min(int(rate * size), (size + 1) // q - 1)
+        out += [(s, size, k) for s in range(length - size + 1)]
+    return out
 
-def cut(length: int, q: int, window: int, rate: float) -> list[tuple[int, int, int]]:
-    """Windows of an item, each overlapping the next by half; the last one ends with the item.
 
-    All have the same length. The edits are few enough that one shared q-gram is asked for.
-    """
-    size = min(length, window)
-    k = min(int(rate * size), (size + 1) // q - 1)
-    starts = [*range(0, length - size, max(1, size // 2)), length - size]
-    return [(s, size, k) for s in starts]
+def by_length(windows: list[tuple[int, int, int]]) -> list[tuple[np.ndarray, int, int]]:
+    """The starts of an item's windows of each length."""
+    out: dict[tuple[int, int], list[int]] = {}
+    for start, size, k in windows:
+        out.setdefault((size, k), []).append(start)
+    return [(np.array(starts), size, k) for (size, k), starts in out.items()]
 
 
 @dataclass
@@ -118,6 +146,7 @@ class Index:
     q: int
     rate: float
     window: int
+    run: int
     ids: list[int | None]
     texts: list[np.ndarray]
     codes: np.ndarray
@@ -126,12 +155,13 @@ class Index:
     offset: np.ndarray
     table: np.ndarray
     short: list[tuple[int | None, str]]
-    windows: list[list[tuple[int, int, int]]]  # start, length and edits allowed
+    windows: list[list[tuple[np.ndarray, int, int]]]  # starts, length and edits allowed
     least: np.ndarray  # q-grams that any window of the item must share
     longest: int
 
     @staticmethod
-    def build(items: list[tuple[int | None, str | None]], q: int, window: int, rate: float) -> Index:
+    def build(items: list[tuple[int | None, str | None]], q: int, window: int, rate: float,
+              run: int = RUN) -> Index:
         ids, texts, short = [], [], []
         for item_id, text in items:
             chars, _ = folded(text or "")
@@ -148,9 +178,9 @@ class Index:
         unique, first = np.unique(flat[order], return_index=True)
         table = np.zeros(1 << TABLE_BITS, bool)
         table[(unique >> np.uint64(64 - TABLE_BITS)).astype(np.int64)] = True
-        windows = [cut(len(t), q, window, rate) for t in texts]
-        least = np.array([w[0][1] + 1 - q * (w[0][2] + 1) for w in windows], np.int64)
-        return Index(q, rate, window, ids, texts, unique, np.append(first, len(flat)), item[order], offset[order],
+        windows = [by_length(cut(len(t), q, window, rate, run)) for t in texts]
+        least = np.array([min(size + 1 - q * (k + 1) for _, size, k in w) for w in windows], np.int64)
+        return Index(q, rate, window, run, ids, texts, unique, np.append(first, len(flat)), item[order], offset[order],
                      table, short, windows, least, max(map(len, texts), default=0))
 
     def search(self, text: str) -> list[tuple[int | None, int, int, int]]:
@@ -174,7 +204,7 @@ class Index:
         place = np.repeat(at, n)
         posting = np.repeat(self.first[rank], n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
         item, offset = self.item[posting], self.offset[posting]
-        step = int(self.rate * self.window) + 1  # diagonals a band moves on; it is twice as wide
+        step = int(self.rate * max(self.window, self.run)) + 1  # diagonals a band moves on; it is twice as wide
         band = (place - offset) // step
         shift = self.longest // step + 2
         lanes = len(codes) // step + shift + 2
@@ -191,15 +221,15 @@ class Index:
         for r in rich.tolist():
             i, b = divmod(int(regions[r]), lanes)
             shared = np.unique(offset[first[r]:ends[r]])
-            for start, size, k in self.windows[i]:
-                low, high = np.searchsorted(shared, (start, start + size - self.q + 1))
-                if high - low < size + 1 - self.q * (k + 1):
-                    continue
-                hit = aligned(self.texts[i][start:start + size], chars, (b - shift) * step + start, 2 * step, k)
-                if hit:
-                    a, z, edits = hit
-                    kept = best.setdefault(i, [a, z, edits])
-                    kept[:] = [min(kept[0], a), max(kept[1], z), min(kept[2], edits)]
+            for starts, size, k in self.windows[i]:
+                n = np.searchsorted(shared, starts + (size - self.q + 1)) - np.searchsorted(shared, starts)
+                starts = starts[n >= size + 1 - self.q * (k + 1)]
+                for at in range(0, len(starts), AT_ONCE):
+                    hits = aligned_windows(self.texts[i], chars, (b - shift) * step, 2 * step, starts[at:at + AT_ONCE],
+                                           size, k)
+                    for a, z, edits in filter(None, hits):
+                        kept = best.setdefault(i, [a, z, edits])
+                        kept[:] = [min(kept[0], a), max(kept[1], z), min(kept[2], edits)]
         for i, (a, z, edits) in best.items():
             found.append((self.ids[i], int(places[a]), int(places[z - 1]) + 1, edits))
         return found
@@ -211,7 +241,7 @@ def as_text(chars: np.ndarray) -> str:
 
 def find_passages(docs: DataFrame, benchmark: DataFrame, *, text_col: str = "text", item_col: str = "item_id",
                   item_text_col: str = "text", q: int = Q, window: int = WINDOW, rate: float = RATE,
-                  block_chars: int = BLOCK_CHARS) -> DataFrame:
+                  run: int = RUN, block_chars: int = BLOCK_CHARS) -> DataFrame:
     """``row`` (all columns of the document) and ``matches``: one entry per item found in it.
 
     An entry has the item's id, where the passages start and stop in the text (code points), and
@@ -228,7 +258,7 @@ def find_passages(docs: DataFrame, benchmark: DataFrame, *, text_col: str = "tex
     for block in range(blocks):
         part: list[Row] = items.where(F.pmod(F.xxhash64("i", "t"), F.lit(blocks)) == block).collect()
         ordered = sorted(((r["i"], r["t"]) for r in part), key=lambda r: (r[0] is None, r[0] or 0, r[1] or ""))
-        index = spark.sparkContext.broadcast(Index.build(ordered, q, window, rate))
+        index = spark.sparkContext.broadcast(Index.build(ordered, q, window, rate, run))
 
         def search(texts: list[str | None], index=index) -> list[list]:
             return [[dict(zip(("item_id", "start", "stop", "edits"), m)) for m in index.value.search(t)] if t else []

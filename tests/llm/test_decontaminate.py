@@ -113,3 +113,16 @@ def test_whole_table(spark):
         assert whole[r["doc_id"]] <= set(r["items"]) and r["contaminated"] == bool(r["items"])
         for m in r["matches"]:
             assert brute(texts[r["doc_id"]][m["start"]:m["stop"]], items[m["item_id"]])
+
+
+def test_every_partial_copy_of_the_stated_length_is_found(spark):
+    path = "/root/testdata/sf0.001/benchmark.parquet"
+    items = [(r["item_id"], r["text"]) for r in spark.read.parquet(path).orderBy("item_id").limit(6).collect()]
+    index = d.Index.build(items, d.Q, d.WINDOW, d.RATE)
+    clean = "plain words that no item of any benchmark holds stand before and after the copied part "
+    assert index.search(clean * 2) == []
+    for item_id, text in items:
+        chars = d.as_text(folded(text)[0])
+        for at in range(len(chars) - d.RUN + 1):
+            found = index.search(clean + "| " + chars[at:at + d.RUN] + " | " + clean)
+            assert item_id in [f[0] for f in found], (item_id, at)
