@@ -2,10 +2,12 @@
 
 A line's path in the tree is its number of words and its first ``DEPTH`` words; a word with a digit
 is a variable field there and everywhere. In a leaf, a word stays part of the template where it
-stands at the same place in ``MIN_DOCS`` documents at least, and is generalised to a variable field
-elsewhere. Lines with the same template are the same line, unless less than ``CONSTANT`` of its
-words are constant; then the line stands for itself. A template found in ``MIN_DOCS`` different
-documents is recurring, and its lines are dropped from all documents. Copies of a text count as one.
+stands at the same place in enough documents, and is generalised to a variable field elsewhere.
+Lines with the same template are the same line, unless less than ``CONSTANT`` of its words are
+constant; then the line stands for itself. A template found in enough different documents is
+recurring, and its lines are dropped from all documents. Copies of a text count as one. Enough are
+``LONG_DOCS`` for lines of more than ``LONG_WORDS`` words, which do not recur by chance, and
+``MIN_DOCS`` for shorter ones.
 
 Only hashes of lines are counted. The words are read again, and moved, for lines of leaves that can
 hold a recurring template not found by equal lines alone. Counting is by aggregations over (leaf,
@@ -29,6 +31,8 @@ from .common import columns_function, text_function, whole
 
 DEPTH = 3
 MIN_DOCS = 5
+LONG_WORDS = 50
+LONG_DOCS = 2
 CONSTANT = 0.6
 FIELD = b"<*>"
 DIGIT = re.compile(rb"[0-9]")
@@ -67,23 +71,26 @@ def parsed(text: str | None, depth: int) -> list[tuple[int, int, list[bytes]]]:
 
 
 def recurring_lines(docs: DataFrame, *, text_col: str = "text", depth: int = DEPTH, min_docs: int = MIN_DOCS,
-                    constant: float = CONSTANT) -> tuple[DataFrame, DataFrame]:
-    """``found``: ``whole, leaf, line`` of every text and line; ``lines``: the recurring ones."""
+                    constant: float = CONSTANT, long_words: int = LONG_WORDS,
+                    long_docs: int = LONG_DOCS) -> tuple[DataFrame, DataFrame]:
+    """``found``: ``whole, leaf, line, long`` of every text and line; ``lines``: the recurring ones."""
     text = F.col(f"`{text_col}`").cast("string")
-    both = pa.list_(pa.struct([("leaf", pa.int64()), ("line", pa.int64())]))
+    both = pa.list_(pa.struct([("leaf", pa.int64()), ("line", pa.int64()), ("long", pa.bool_())]))
     numbers = text_function(
-        lambda texts: [[{"leaf": a, "line": b} for a, b, _ in parsed(t, depth)] for t in texts],
-        "array<struct<leaf:long,line:long>>", both)
+        lambda texts: [[{"leaf": a, "line": b, "long": len(words) > long_words} for a, b, words in parsed(t, depth)]
+                       for t in texts],
+        "array<struct<leaf:long,line:long,long:boolean>>", both)
+    enough = F.when(F.col("long"), long_docs).otherwise(min_docs)
     source = docs.select(F.xxhash64(text).alias("whole"), text.alias("text"))
-    found = source.select("whole", F.explode(numbers("text")).alias("l")).select("whole", "l.leaf", "l.line")
+    found = source.select("whole", F.explode(numbers("text")).alias("l")).select("whole", "l.leaf", "l.line", "l.long")
     found = materialize(found.distinct(), "lines")
-    counts = materialize(found.groupBy("leaf", "line").agg(F.count("*").alias("docs")), "line-counts")
-    equal = counts.where(F.col("docs") >= min_docs).select("line")
+    counts = materialize(found.groupBy("leaf", "line", "long").agg(F.count("*").alias("docs")), "line-counts")
+    equal = counts.where(F.col("docs") >= enough).select("line")
 
     # Leaves where rare lines together stand in enough documents.
-    rare = F.sum(F.when(F.col("docs") < min_docs, F.col("docs")).otherwise(0))
-    leaves = counts.groupBy("leaf").agg(F.count("*").alias("n"), F.sum("docs").alias("total"), rare.alias("rare"))
-    leaves = leaves.where((F.col("n") > 1) & (F.col("total") >= min_docs) & (F.col("rare") > 0)).select("leaf")
+    rare = F.sum(F.when(F.col("docs") < enough, F.col("docs")).otherwise(0))
+    leaves = counts.groupBy("leaf", "long").agg(F.count("*").alias("n"), F.sum("docs").alias("total"), rare.alias("rare"))
+    leaves = leaves.where((F.col("n") > 1) & (F.col("total") >= enough) & (F.col("rare") > 0)).select("leaf")
     open_lines = materialize(counts.join(leaves, "leaf"), "open-lines")
     worded = pa.list_(pa.struct([("line", pa.int64()), ("words", pa.list_(pa.int64()))]))
 
@@ -96,21 +103,21 @@ def recurring_lines(docs: DataFrame, *, text_col: str = "text", depth: int = DEP
     # The table of lines grows with the corpus, so it is never broadcast, however small it is here.
     spelled = spelled.join(open_lines.hint("merge"), "line").dropDuplicates(["line"])
     spelled = materialize(spelled, "open-words")
-    places = spelled.select("leaf", "line", "docs", F.posexplode("words").alias("place", "word"))
-    common = places.where(F.col("place") >= depth).groupBy("leaf", "place", "word").agg(F.sum("docs").alias("n"))
-    common = common.where(F.col("n") >= min_docs).select("leaf", "place", "word", F.lit(True).alias("stays"))
+    places = spelled.select("leaf", "line", "long", "docs", F.posexplode("words").alias("place", "word"))
+    common = places.where(F.col("place") >= depth).groupBy("leaf", "long", "place", "word").agg(F.sum("docs").alias("n"))
+    common = common.where(F.col("n") >= enough).select("leaf", "place", "word", F.lit(True).alias("stays"))
     # Each place of a line, with a null word where it is generalised; the leading words always stay.
     shaped = places.join(common, ["leaf", "place", "word"], "left")
     stays = F.coalesce("stays", F.lit(False)) | (F.col("place") < depth)
-    shaped = shaped.groupBy("leaf", "line").agg(
+    shaped = shaped.groupBy("leaf", "line", "long").agg(
         F.count("*").alias("n"), F.sum(stays.cast("int")).alias("kept"),
         F.sum(F.when(stays, F.xxhash64("place", "word")).otherwise(F.xxhash64("place")).cast("decimal(38,0)")).alias("shape"))
-    shaped = shaped.where(F.col("kept") >= constant * F.col("n")).select("line", "leaf", "n", "shape")
+    shaped = shaped.where(F.col("kept") >= constant * F.col("n")).select("line", "leaf", "long", "n", "shape")
     recurring = (
-        found.join(shaped.drop("leaf"), "line").select("leaf", "n", "shape", "whole").distinct()
-        .groupBy("leaf", "n", "shape").agg(F.count("*").alias("docs")).where(F.col("docs") >= min_docs)
+        found.join(shaped.drop("leaf", "long"), "line").select("leaf", "long", "n", "shape", "whole").distinct()
+        .groupBy("leaf", "long", "n", "shape").agg(F.count("*").alias("docs")).where(F.col("docs") >= enough)
     )
-    alike = shaped.join(recurring.drop("docs"), ["leaf", "n", "shape"], "left_semi").select("line")
+    alike = shaped.join(recurring.drop("docs", "long"), ["leaf", "n", "shape"], "left_semi").select("line")
     return found, materialize(equal.union(alike).distinct(), "recurring")
 
 

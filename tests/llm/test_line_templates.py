@@ -83,3 +83,27 @@ def test_whole_table(spark):
     rows = QUERIES["op4_line_templates"].run(spark, SMALL).collect()
     assert len(rows) == len(texts)
     check([(texts[r["doc_id"]], r["text_kept"], r["n_lines"], r["n_dropped"]) for r in rows], list(texts.values()))
+
+
+def passage(name, words):
+    return " ".join(f"{name}{'abcdefghij'[i // 10 % 10]}{'abcdefghij'[i % 10]}" for i in range(words))
+
+
+def test_long_passages_in_few_documents_go(spark):
+    own = [f"{x} has a line of its own" for x in NAMES]
+    lines = [[x] for x in own]
+    for name, n in (("two", 2), ("three", 3), ("four", 4)):
+        for i in range(n):
+            lines[i].append(passage(name, lt.LONG_WORDS + 1))
+            lines[i].append(passage("short" + name, lt.LONG_WORDS))  # too short for so few documents
+    lines[5].append(passage("once", 80))
+    near = passage("near", 60).split()
+    for i in (0, 1):  # a long template with a variable field, in two documents
+        lines[i].append(" ".join([*near[:30], NAMES[i], *near[31:]]))
+    texts = ["\n".join(x) for x in lines]
+    texts += [passage("copies", 70)] * 4  # one text, four copies
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    gone = [passage(name, lt.LONG_WORDS + 1) for name in ("two", "three", "four")]
+    for r in lt.without_recurring(docs).collect():
+        kept = [x for x in texts[r["row"]["doc_id"]].split("\n") if x not in gone and not x.startswith("neara")]
+        assert r["row"]["text"] == "\n".join(kept)
