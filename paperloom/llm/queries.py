@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ..plans.registry import Query
-from . import decontaminate, jaccard, langid, line_templates, mixing, pii, quality, sql, token_files, toxicity, urls
+from . import decontaminate, exact, jaccard, langid, line_templates, mixing, pii, quality, sql, token_files, toxicity, urls
 from .common import documents
 
 QUERIES: dict[str, Query] = {}
@@ -110,3 +110,9 @@ def near_copies(spark: SparkSession, folder: str) -> DataFrame:
 @query("op10_token_files")
 def token_ids(spark: SparkSession, folder: str) -> DataFrame:
     return token_files.token_table(spark, documents(spark, folder), vocabulary())
+
+
+@query("op13_exact_dedup", sql.EXACT)
+def exact_copies(spark: SparkSession, folder: str) -> DataFrame:
+    found = exact.groups(documents(spark, folder))
+    return found.select(F.col("id").alias("doc_id"), "keep_id", "group_size", "kept", F.lower(F.hex("sha")).alias("text_sha256"))

@@ -53,3 +53,9 @@ per AS (SELECT r, count(*) FILTER (has_word) AS n_lines, count(*) FILTER (droppe
     coalesce(string_agg(line, chr(10) ORDER BY nr) FILTER (NOT dropped), '') AS text_kept FROM marked GROUP BY r)
 SELECT d.doc_id, coalesce(n_lines, 0) AS n_lines, coalesce(n_dropped, 0) AS n_dropped, per.text_kept
 FROM d LEFT JOIN per ON per.r = d.r"""
+
+EXACT = """
+WITH d AS (SELECT doc_id, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t FROM documents)
+SELECT doc_id, max(doc_id) OVER (PARTITION BY t) AS keep_id, count(*) OVER (PARTITION BY t) AS group_size,
+  row_number() OVER (PARTITION BY t ORDER BY doc_id DESC NULLS LAST) = 1 AS kept, sha256(t) AS text_sha256
+FROM d"""
