@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ..plans.registry import Query
-from . import decontaminate, exact, jaccard, langid, line_templates, mixing, pii, quality, sql, token_files, toxicity, urls
+from . import (alignment, conversations, decontaminate, exact, jaccard, langid, line_templates, mixing, pii, quality, sql,
+               token_files, toxicity, urls)
 from .common import documents
 
 QUERIES: dict[str, Query] = {}
@@ -19,10 +20,10 @@ def query(name: str, text: str | None = None):
     return add
 
 
-def vocabulary() -> str:
+def vocabulary(name: str = "byte_bpe_50k.json") -> str:
     import public_tokenizers
 
-    return str(public_tokenizers.path("byte_bpe_50k.json"))
+    return str(public_tokenizers.path(name))
 
 
 @query("op1_language_id")
@@ -112,6 +113,22 @@ def token_ids(spark: SparkSession, folder: str) -> DataFrame:
     return token_files.token_table(spark, documents(spark, folder), vocabulary())
 
 
+@query("op11_conversation_repair")
+def repaired_conversations(spark: SparkSession, folder: str) -> DataFrame:
+    rows = conversations.damaged(documents(spark, folder, "conversations"))
+    report, turns = conversations.repair(rows, present=F.col("there"))
+    digests = conversations.digests(turns).withColumnRenamed("conv", "whose")
+    out = report.join(digests, F.col("conv").eqNullSafe(F.col("whose")), "left")
+    return out.select(F.col("conv").alias("conv_id"), "gaps", "blank", "duplicate", "truncated", "illegal", "cost", "audit",
+                      F.coalesce("repaired_sha256", F.sha2(F.lit(b""), 256)).alias("repaired_sha256"))
+
+
+@query("op12_token_alignment")
+def aligned_tokens(spark: SparkSession, folder: str) -> DataFrame:
+    out, _ = alignment.align(documents(spark, folder), vocabulary(), vocabulary("piece_bpe_32k.model"))
+    return out.select("doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", F.col("groups").alias("groups_sha256"))
+
+
 @query("op13_exact_dedup", sql.EXACT)
 def exact_copies(spark: SparkSession, folder: str) -> DataFrame:
     found = exact.groups(documents(spark, folder))
