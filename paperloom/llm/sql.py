@@ -35,18 +35,19 @@ cut AS (SELECT r, text, unnest(string_split(text, chr(10))) AS line, unnest(rang
 worded AS (SELECT r, nr, text, line, list_transform(regexp_extract_all(line, '{WORD}'),
     lambda x: CASE WHEN regexp_matches(x, '[0-9]') THEN '<*>' ELSE x END) AS ws FROM cut),
 keyed AS (SELECT r, nr, text, line, ws, array_to_string(ws, ' ') AS k FROM worded),
-found AS (SELECT DISTINCT text, k FROM keyed WHERE len(ws) > 0),
-counts AS (SELECT k, count(*) AS docs FROM found GROUP BY k),
+found AS (SELECT DISTINCT text, k, len(ws) AS n FROM keyed WHERE len(ws) > 0),
+counts AS (SELECT k, n, count(*) AS docs FROM found GROUP BY k, n),
 shaped AS (SELECT DISTINCT c.k, c.docs, x.ws FROM counts c JOIN keyed x ON x.k = c.k WHERE len(x.ws) > 3),
 places AS (SELECT k, docs, len(ws) AS n, array_to_string(ws[1:3], ' ') AS head, unnest(ws) AS word, unnest(range(1, len(ws) + 1)) AS p
   FROM shaped),
 common AS (SELECT n, head, p, word, sum(docs) AS s FROM places GROUP BY n, head, p, word),
-general AS (SELECT pl.k, pl.n, sum(CASE WHEN pl.p <= 3 OR s >= 5 THEN 1 ELSE 0 END) AS kept,
-    string_agg(CASE WHEN pl.p <= 3 OR s >= 5 THEN pl.word ELSE chr(1) END, ' ' ORDER BY pl.p) AS shape
+general AS (SELECT pl.k, pl.n, sum(CASE WHEN pl.p <= 3 OR s >= CASE WHEN pl.n > 50 THEN 2 ELSE 5 END THEN 1 ELSE 0 END) AS kept,
+    string_agg(CASE WHEN pl.p <= 3 OR s >= CASE WHEN pl.n > 50 THEN 2 ELSE 5 END THEN pl.word ELSE chr(1) END, ' ' ORDER BY pl.p) AS shape
   FROM places pl JOIN common c ON c.n = pl.n AND c.head = pl.head AND c.p = pl.p AND c.word = pl.word GROUP BY pl.k, pl.n),
-near AS (SELECT k, shape FROM general WHERE kept >= 0.6 * n),
-recurring AS (SELECT shape FROM near JOIN found ON found.k = near.k GROUP BY shape HAVING count(DISTINCT text) >= 5),
-gone AS (SELECT k FROM counts WHERE docs >= 5 UNION SELECT k FROM near JOIN recurring ON recurring.shape = near.shape),
+near AS (SELECT k, n, shape FROM general WHERE kept >= 0.6 * n),
+recurring AS (SELECT shape FROM near JOIN found ON found.k = near.k GROUP BY shape
+  HAVING count(DISTINCT text) >= CASE WHEN any_value(near.n) > 50 THEN 2 ELSE 5 END),
+gone AS (SELECT k FROM counts WHERE docs >= CASE WHEN n > 50 THEN 2 ELSE 5 END UNION SELECT k FROM near JOIN recurring ON recurring.shape = near.shape),
 marked AS (SELECT x.r, x.nr, x.line, len(x.ws) > 0 AS has_word, gone.k IS NOT NULL AND len(x.ws) > 0 AS dropped
   FROM keyed x LEFT JOIN gone ON gone.k = x.k),
 per AS (SELECT r, count(*) FILTER (has_word) AS n_lines, count(*) FILTER (dropped) AS n_dropped,

@@ -19,7 +19,10 @@ def brute(texts, depth=lt.DEPTH, least=lt.MIN_DOCS, constant=lt.CONSTANT):
         for line in (t or "").split("\n"):
             if masked(line):
                 docs[masked(line)].add(t)
-    drop = {w for w, d in docs.items() if len(d) >= least}
+    def enough(words):
+        return lt.LONG_DOCS if len(words) > lt.LONG_WORDS else least
+
+    drop = {w for w, d in docs.items() if len(d) >= enough(w)}
     leaves = defaultdict(list)
     for w in docs:
         leaves[len(w), w[:depth]].append(w)
@@ -31,12 +34,12 @@ def brute(texts, depth=lt.DEPTH, least=lt.MIN_DOCS, constant=lt.CONSTANT):
         for w in lines:
             if len(w) <= depth:
                 continue
-            stays = [k < depth or count[k, x] >= least for k, x in enumerate(w)]
+            stays = [k < depth or count[k, x] >= enough(w) for k, x in enumerate(w)]
             if sum(stays) >= constant * len(w):
                 shape = (len(w), w[:depth], tuple(x if s else None for x, s in zip(w, stays)))
                 shapes[shape] |= docs[w]
                 members[shape].append(w)
-    return drop | {w for s, d in shapes.items() if len(d) >= least for w in members[s]}, masked
+    return drop | {w for s, d in shapes.items() if len(d) >= enough(members[s][0]) for w in members[s]}, masked
 
 
 LICENSE = "Released under the terms of the {} license by its authors"
@@ -107,3 +110,12 @@ def test_long_passages_in_few_documents_go(spark):
     for r in lt.without_recurring(docs).collect():
         kept = [x for x in texts[r["row"]["doc_id"]].split("\n") if x not in gone and not x.startswith("neara")]
         assert r["row"]["text"] == "\n".join(kept)
+
+
+def test_a_hot_line_and_a_hot_text(spark):
+    texts = [f"hot line of all\n{NAMES[i % 6]} number {'abcdefghij'[i % 10]}{'abcdefghij'[i // 10 % 10]} own" for i in range(90)]
+    texts += ["hot text of its own\nhot line of all"] * 60 + [None] * 20 + [" "] * 20
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    rows = lt.without_recurring(docs).collect()
+    assert len(rows) == len(texts)
+    check([(texts[r["row"]["doc_id"]], r["row"]["text"], r["n_lines"], r["n_dropped"]) for r in rows], texts)
