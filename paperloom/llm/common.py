@@ -28,10 +28,32 @@ def whole(df: DataFrame) -> Column:
     return F.struct(*[F.col(f"`{c}`") for c in df.columns])
 
 
-def row_key(id_col: Column, text: Column) -> Column:
-    """128 bits that tell rows apart by id and whole text. Equal rows share a key."""
-    return F.unhex(F.md5(F.concat_ws("\x1f", F.coalesce(id_col.cast("string"), F.lit("\x1e")),
-                                     F.coalesce(text, F.lit("\x1e"))).cast("binary")))
+FINE = 1 << 40
+
+
+def in_share(value: Column, wanted: int, n: Column | int) -> Column:
+    """Whether a hash lies in the share of about ``wanted`` of ``n`` hashes; never quite none."""
+    rate = F.greatest(F.lit(1.0), F.lit(float(FINE * wanted)) / F.greatest(F.lit(1), n if isinstance(n, Column) else F.lit(n)))
+    return F.pmod(value, F.lit(FINE)) < rate
+
+
+def sampled_texts(rows: DataFrame, wanted: int) -> DataFrame:
+    """About ``wanted`` different texts of each group, each once, for rows ``text`` and group columns.
+
+    Copies are counted once, so one text with very many copies neither crowds out the others nor
+    breaks the bound. Only hashes are shuffled for the count.
+    """
+    by = [c for c in rows.columns if c != "text"]
+    hashed = rows.where(F.col("text").isNotNull()).withColumn("_hash", F.xxhash64("text"))
+    sizes = hashed.select(*by, "_hash").distinct().groupBy(*by).agg(F.count("*").alias("n")).collect()
+    share = F.lit(0)
+    for r in sizes:
+        own = F.lit(True)
+        for c in by:
+            own = own & F.col(c).eqNullSafe(F.lit(r[c]))
+        share = F.when(own, r["n"]).otherwise(share)
+    chosen = hashed.where(in_share(F.col("_hash"), wanted, share))
+    return chosen.groupBy(*by, "_hash").agg(F.min("text").alias("text")).drop("_hash")
 
 
 def text_function(fn: Callable[[list], list], ddl: str, kind: pa.DataType, rows: int = SLICE):

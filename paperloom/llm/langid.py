@@ -5,12 +5,14 @@ for each pair of languages votes, and the language with most votes (then the lar
 margins) wins. Features are relative frequencies of hashed sequences of one to three letters of
 the whole text, with single spaces between words.
 
-The models are fitted by Spark on a bounded sample: about ``per_language`` labelled texts of each
-language, in the order of a hash. Which families exist is a parameter; a language that is not listed
+The models are fitted by Spark on a bounded sample: about ``per_language`` different labelled texts of
+each language, in the order of a hash, each once however many copies it has. Every language with a labelled
+text is learned. Which families exist is a parameter; a language that is not listed
 is a family of its own.
 
 Defined results: null texts and texts without a letter are ``und`` with score 0; very long texts
-count whole; repeated rows are judged alike; without labelled rows every text is ``und``; with one
+count whole; repeated rows are judged alike and count as one text of each of their languages when the
+models are fitted; without labelled rows every text is ``und``; with one
 language there is nothing to decide and it gets score 1. Columns are kept whatever their names.
 """
 
@@ -26,7 +28,7 @@ from pyspark.ml.functions import array_to_vector
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..session import materialize
-from .common import folded, text_function, whole
+from .common import folded, sampled_texts, text_function, whole
 
 PER_LANGUAGE = 800
 DIMENSIONS = 1 << 12
@@ -114,21 +116,15 @@ def train(docs: DataFrame, usable: Column, *, text_col: str = "text", lang_col:
     """Fit on a sample of the rows for which ``usable`` holds and text and language are known."""
     rows = docs.where(usable).select(
         F.col(f"`{text_col}`").cast("string").alias("text"), F.col(f"`{lang_col}`").cast("string").alias("lang")).dropna()
-    counts = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.count("*").alias("n")).collect()}
-    if not counts:
+    chosen = materialize(sampled_texts(rows, per_language), "language-texts")
+    languages = sorted(r["lang"] for r in chosen.select("lang").distinct().collect())
+    if not languages:
         return Model([], {}, np.zeros((DIMENSIONS, 0)), np.zeros(0), {})
-    languages = sorted(counts)
-    share = F.lit(0)
-    for lang in languages:
-        rate = min(1_000_000, max(1, 1_000_000 * per_language // counts[lang]))
-        share = F.when(F.col("lang") == lang, rate).otherwise(share)
-    rows = rows.where(F.pmod(F.xxhash64("text"), F.lit(1_000_000)) < share)
     extract = text_function(lambda texts: [frequencies(t) for t in texts], "array<double>", pa.list_(pa.float64()), 32)
-    sample = materialize(rows.select("lang", extract("text").alias("x")), "language-sample")
+    sample = materialize(chosen.select("lang", extract("text").alias("x")), "language-sample")
     vectors = sample.select("lang", array_to_vector("x").alias("features"))
     families = sorted({family_of(x) for x in languages})
     members = {f: [x for x in languages if family_of(x) == f] for f in families}
-    present = {r["lang"] for r in sample.select("lang").distinct().collect()}
     if len(families) == 1:
         columns, bias = [np.zeros(DIMENSIONS)], [0.0]
     else:
@@ -137,15 +133,11 @@ def train(docs: DataFrame, usable: Column, *, text_col: str = "text", lang_col:
             vectors.withColumn("label", number[F.col("lang")]))
         matrix = fit.coefficientMatrix.toArray()
         intercepts = fit.interceptVector.toArray()
-        if len(matrix) < len(families):  # a family that the sample lacks comes last or not at all
-            raise ValueError("the sample lacks a language family")
         columns, bias = list(matrix), intercepts.tolist()
     pairs: dict[str, list[tuple[int, int, int]]] = {}
     for family, group in members.items():
         pairs[family] = []
         for a, b in combinations(range(len(group)), 2):
-            if not {group[a], group[b]} <= present:
-                continue
             two = vectors.where(F.col("lang").isin(group[a], group[b]))
             machine = LinearSVC(regParam=1e-4, maxIter=20, standardization=False).fit(
                 two.withColumn("label", (F.col("lang") == group[a]).cast("double")))

@@ -64,14 +64,15 @@ class CachedTokenizer:
     The vocabulary's own splitting rule never joins characters across single spaces and line ends
     between words, so the ids of a text are those of its words in a row. The library encodes
     each word once; two generations of a dictionary bound what is remembered. A key is a word that
-    follows a space, or a line end and the word that follows it.
+    follows a space, or a line end and the word that follows it. A text that holds the string of an
+    added token goes to the library whole, with the library's own settings.
     """
 
     def __init__(self, path: str, limit: int = CACHE_UNITS) -> None:
         from tokenizers import Tokenizer
 
         self.library = Tokenizer.from_file(path)
-        self.library.encode_special_tokens = True  # their strings in a text are ordinary text
+        self.added = [t.content for t in self.library.get_added_tokens_decoder().values()]
         self.model = self.library.model
         self.limit = limit
         self.new: dict[str, bytes] = {}
@@ -121,6 +122,8 @@ class CachedTokenizer:
         return [self._text(t) if t else b"" for t in texts]
 
     def _text(self, text: str) -> bytes:
+        if any(map(text.__contains__, self.added)):
+            return self._library(text)
         words = text.split()
         gaps = text.count(" ") + text.count("\n")
         # Nothing but single spaces and line ends between words.
@@ -213,6 +216,13 @@ class FrameReader:
         return ids
 
 
+def shared_uri(spark: SparkSession, path: str) -> str:
+    """The path with scheme and authority, by the file system that Spark itself would use for it."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    full = place.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(place).toString()
+    return full.replace("file:/", "file:///", 1) if re.match("file:/(?!/)", full) else full
+
+
 MANIFEST = pa.schema([("part", pa.int32()), ("seq", pa.int32()), ("path", pa.string()),
                       ("n_docs", pa.int64()), ("n_tokens", pa.int64())])
 READ = pa.schema([("doc_id", pa.int64()), ("start", pa.int64()), ("n_tokens", pa.int64()),
@@ -223,13 +233,14 @@ def write_token_files(docs: DataFrame, vocabulary: str, folder: str, *, id_col:
                       text_col: str = "text", end_id: int = END_ID, file_bytes: int = FILE_BYTES) -> DataFrame:
     """Write all documents below ``folder`` in order of id; returns the written table of files.
 
-    ``folder`` is a URI that pyarrow can write on every executor (file:, hdfs:, s3:, ...);
-    ``vocabulary`` names a tokenizer file that exists on every executor.
+    ``folder`` is in a store that pyarrow can write on every executor (file:, hdfs:, s3:, ...); without
+    a scheme it is on the session's default file system. ``vocabulary`` names a tokenizer file that exists on every executor.
     """
     end = struct.pack("<I", end_id)
+    folder = shared_uri(docs.sparkSession, folder)
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        store, base = fs.FileSystem.from_uri(folder if "://" in folder or folder.startswith("file:") else f"file://{folder}")
+        store, base = fs.FileSystem.from_uri(folder)
         store.create_dir(base, recursive=True)
         part, seq, writer, done = TaskContext.get().partitionId(), 0, None, 0
         cached = tokenizer(vocabulary)
@@ -273,8 +284,10 @@ def read_token_files(files: DataFrame, folder: str) -> DataFrame:
 
     The running total goes over one row per file. Each file is read by one task, a frame at a time.
     """
+    folder = shared_uri(files.sparkSession, folder)
+
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        store, _ = fs.FileSystem.from_uri(folder if "://" in folder or folder.startswith("file:") else f"file://{folder}")
+        store, _ = fs.FileSystem.from_uri(folder)
         for batch in batches:
             for path, start in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 with store.open_input_file(path) as source:
@@ -293,9 +306,9 @@ def read_token_files(files: DataFrame, folder: str) -> DataFrame:
         read, "doc_id long, start long, n_tokens long, ids_crc32 long")
 
 
-def read_documents(path: str, wanted: set[int | None]) -> Iterator[tuple[int | None, np.ndarray]]:
+def read_documents(uri: str, wanted: set[int | None]) -> Iterator[tuple[int | None, np.ndarray]]:
     """The token ids of the wanted documents of one file; other frames are not read."""
-    store, place = fs.FileSystem.from_uri(path if "://" in path else f"file://{path}")
+    store, place = fs.FileSystem.from_uri(uri)
     with store.open_input_file(place) as source:
         reader = FrameReader(source)
         for k, (doc_id, _) in enumerate(reader.documents):

@@ -27,7 +27,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from .common import text_function, whole
+from .common import in_share, text_function, whole
 
 SAMPLE = 20_000
 FEATURES = 4096
@@ -114,7 +114,7 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, grade: Column, *, id_col
     marks = labels.select(F.col(f"`{id_col}`").alias("id"), grade.cast("int").alias("grade")).dropna()
     n = marks.count()
     if n > sample:
-        marks = marks.where(F.pmod(F.xxhash64("id"), F.lit(1_000_000)) < int(1_000_000 * sample / n))
+        marks = marks.where(in_share(F.xxhash64("id"), sample, n))
     marks = marks.groupBy("id").agg(F.max("grade").alias("grade"))
     texts = docs.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").cast("string").alias("text"))
     rows = texts.where(F.col("text").isNotNull()).join(marks, "id")

@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+from collections import Counter
+
 import numpy as np
 import pytest
 from conftest import SMALL
 from pyspark.sql import functions as F
 
 from paperloom.llm import langid, toxicity
+from paperloom.llm.common import sampled_texts
 from paperloom.llm.queries import QUERIES
 
 MIDDLE = SMALL.replace("0.001", "0.01")
@@ -54,6 +57,61 @@ def test_family_comes_first(spark):
     assert [x for x, _ in model.predict(["aaa ccc", "ddd ddd", "mmm nnn", "rrr sss qqq"])] == ["en", "de", "fr", "xx"]
 
 
+@pytest.mark.parametrize("more", [["es"], ["de", "es"]])
+def test_languages_of_copies_are_learned(spark, more):
+    words = {"en": "the cat sat on the mat", "zz": "qua qui quo quux", "de": "der hund und die katze", "es": "el perro y la casa"}
+    copied = ["en", "zz"] if len(more) == 1 else ["en"]
+    rows = [(words[x], x) for x in copied for _ in range(4000)] + [(f"{words[x]} {'abcdefg'[i % 7] * (i % 9)}", x) for x in more for i in range(100)]
+    docs = spark.createDataFrame(rows, "text string, lang string").repartition(3)
+    model = langid.train(docs, F.lit(True))
+    assert sorted(x for m in model.members.values() for x in m) == sorted(copied + more)
+    assert [x for x, _ in model.predict([words[x] for x in copied + more])] == copied + more
+
+
+def test_samples_count_texts_not_copies(spark):
+    rows = [("hot", "a")] * 3000 + [(f"text {i}", "a") for i in range(3000)] + [("one", "b")]
+    df = spark.createDataFrame(rows, "text string, kind string").repartition(4)
+    got = sampled_texts(df, 100).collect()
+    kinds = [r["kind"] for r in got]
+    assert len(set(got)) == len(got) and kinds.count("b") == 1 and 60 <= kinds.count("a") <= 140
+    assert len(sampled_texts(df.select("text"), 10_000).collect()) == 3002
+    assert sampled_texts(df.limit(0), 10).collect() == []
+
+
+def test_predictions_equal_plain_python(spark):
+    """The model's own rule in dictionaries: every row of a whole table."""
+    docs = spark.read.parquet(f"{SMALL}/documents.parquet")
+    model = langid.train(docs, F.lit(True))
+    for r in langid.identify(docs, model).collect():
+        text = r["row"]["text"] or ""
+        plain = "".join(c if c.isalpha() else " " for c in text)
+        plain = "".join(c.lower()[0] for c in plain)
+        plain = " ".join(plain.split(" ")).strip()
+        while "  " in plain:
+            plain = plain.replace("  ", " ")
+        if not plain:
+            assert (r["lang_pred"], r["score"]) == ("und", 0.0)
+            continue
+        padded = f" {plain} "
+        grams = [padded[k:k + n] for n in (1, 2, 3) for k in range(len(padded) - n + 1)]
+        count = {}
+        for g in grams:
+            code = 0
+            for k, c in enumerate(g):
+                code = ord(c) if k == 0 else (code * 65_599 + ord(c)) % 2**64
+            code = (code + len(g)) * 0x9E3779B97F4A7C15 % 2**64
+            number = (code >> 40) % langid.DIMENSIONS
+            count[number] = count.get(number, 0) + 1
+        score = [sum(n * langid.SCALE / len(grams) * model.weights[k, c] for k, n in count.items()) + model.bias[c] for c in range(len(model.bias))]
+        family = model.families[max(range(len(model.families)), key=lambda f: score[f])]
+        wins = Counter()
+        for column, a, b in model.pairs[family]:
+            wins[a if score[column] >= 0 else b] += 1
+        members = model.members[family]
+        best = max(wins.values(), default=0)
+        assert members.index(r["lang_pred"]) in [i for i in range(len(members)) if wins[i] == best]
+
+
 def test_toxic_labels_on_held_out_rows(spark):
     folder = SMALL.replace("0.001", "0.1")
     docs, labels = (spark.read.parquet(f"{folder}/{t}.parquet") for t in ("documents", "labels"))

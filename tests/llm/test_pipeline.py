@@ -80,7 +80,6 @@ def test_mix_meets_its_targets(stages):
 
 def test_tokens_of_the_last_stage(stages):
     library = Tokenizer.from_file(queries.vocabulary())
-    library.encode_special_tokens = True
     want = Counter()
     for r in stages["mixing"].collect():
         ids = np.array(library.encode(r["text"] or "", add_special_tokens=False).ids + [2], "<u4")

@@ -18,9 +18,7 @@ PIECES = ["a", "The", " ", "  ", "\n", "\n\n", "\t", "don't", "re:", "é", "日
 
 @pytest.fixture(scope="module")
 def library():
-    t = Tokenizer.from_file(str(public_tokenizers.path("byte_bpe_50k.json")))
-    t.encode_special_tokens = True
-    return t
+    return Tokenizer.from_file(str(public_tokenizers.path("byte_bpe_50k.json")))
 
 
 @pytest.fixture(scope="module")
@@ -46,7 +44,7 @@ def expected(library, rows):
 
 def test_odd_rows_round_trip(spark, library):
     rows = [(3, "three words here", 1, "p"), (None, "no id", 2, "q"), (1, None, 3, "r"), (2, "", 4, "s"),
-            (5, "long " * 60_000, 5, "t"), (3, "three words here", 6, "u"), (4, "a b", None, None)]
+            (5, "long " * 60_000, 5, "t"), (6, "hello <|endoftext|> world", 7, "v"), (3, "three words here", 6, "u"), (4, "a b", None, None)]
     docs = spark.createDataFrame(rows, "doc_id long, text string, start long, path string").repartition(3)
     got = sorted(token_files.token_table(spark, docs, vocabulary(), file_bytes=64).collect(), key=lambda r: r["start"])
     order = sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0))
@@ -67,13 +65,34 @@ def test_damage_is_found_and_only_wanted_frames_are_read(spark, library):
     docs = spark.createDataFrame([(i, f"text number {i}") for i in range(9)], "doc_id long, text string").coalesce(1)
     files = token_files.write_token_files(docs, vocabulary(), folder).collect()
     path = max(files, key=lambda r: r["n_docs"])["path"]
-    first, *_, last = [i for i, _ in token_files.read_documents(path, set(range(9)))]
-    (doc_id, ids), = token_files.read_documents(path, {last})
+    uri = f"file://{path}"
+    first, *_, last = [i for i, _ in token_files.read_documents(uri, set(range(9)))]
+    (doc_id, ids), = token_files.read_documents(uri, {last})
     assert doc_id == last
     assert ids.tolist() == library.encode(f"text number {last}", add_special_tokens=False).ids + [2]
     data = bytearray(open(path, "rb").read())
     data[-10] ^= 1  # the checksum of the last frame
     open(path + ".bad", "wb").write(data)
-    assert [i for i, _ in token_files.read_documents(path + ".bad", {first})] == [first]
+    assert [i for i, _ in token_files.read_documents(uri + ".bad", {first})] == [first]
     with pytest.raises(ValueError):
-        list(token_files.read_documents(path + ".bad", {last}))
+        list(token_files.read_documents(uri + ".bad", {last}))
+
+
+def test_added_tokens_are_the_librarys(library, cached):
+    text = "hello <|endoftext|> world"
+    got = np.frombuffer(cached.encode([text])[0], "<u4").tolist()
+    assert got == library.encode(text, add_special_tokens=False).ids == [31373, 220, 50256, 995]
+
+
+def test_paths_without_a_scheme_follow_the_default_file_system(spark):
+    assert token_files.shared_uri(spark, "/tmp/x") == "file:///tmp/x"
+    assert token_files.shared_uri(spark, "file:///tmp/x") == "file:///tmp/x"
+    conf = spark._jsc.hadoopConfiguration()
+    conf.set("fs.viewfs.mounttable.store.link./shared", "file:///tmp")
+    before = conf.get("fs.defaultFS")
+    conf.set("fs.defaultFS", "viewfs://store/")
+    try:
+        assert token_files.shared_uri(spark, "/shared/x") == "viewfs://store/shared/x"
+        assert token_files.shared_uri(spark, "file:/tmp/x") == "file:///tmp/x"
+    finally:
+        conf.set("fs.defaultFS", before)
