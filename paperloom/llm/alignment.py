@@ -7,9 +7,10 @@ over the words that hold the pair), and, where a document links the pair more th
 bits of that number. Their popcounts, summed over the blocks, give a pair's documents and links. The
 counts then go back along the postings: every block adds up the scores of its own documents.
 
-Neither vocabulary joins characters across a single space or line end between words (checked for B when it
-is loaded), so words are aligned once per worker and a document is a list of words. Texts for which that is
-not certain, for instance runs of blanks, are aligned in longer pieces, at the utmost whole.
+Neither vocabulary joins characters across a single space or line end between words, nor a letter and the mark
+after it (checked for B when it is loaded), so words are aligned once per worker and a document is a list of
+words. Texts for which that is not certain, for instance runs of blanks, are aligned in longer pieces, at the
+utmost whole.
 
 No task holds more than a block and one document. Pairs are counted by an aggregate, which is combined
 before the shuffle; a pair has one posting per block, however many documents hold it. Numbers of blocks
@@ -39,44 +40,40 @@ from .token_files import byte_letters
 BLOCK_DOCS = 4096
 BITMAP = BLOCK_DOCS // 8
 BLOCK_UNITS = 1_000_000
+SLICE = 64  # documents cut at a time
 CACHE_LINKS = 2_000_000
-# Between words: a single space or line end with other characters on both sides.
-SPLIT = re.compile(r"(?<=\S)(?=[ \n]\S)")
+# Letters that every splitting rule takes for letters, and marks that pieces never join to them.
+LETTER, STOP = "[a-zA-Z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f]", "[.,;:!?]"
+# A single space or line end with other characters on both sides, or a mark after a letter.
+SPLIT = re.compile(rf"(?<=\S)(?=[ \n]\S)|(?<={LETTER})(?={STOP})")
 PIECE_SPACE = "▁"
 
 
-def aligned(a: list[int], b: list[int], a_bytes: list[bytes], b_bytes: list[bytes]) -> list[tuple[list[int], list[int]]]:
-    """The groups of two token lists that spell the same bytes; within a group ends never meet."""
-    groups, i, j, a_end, b_end = [], 0, 0, 0, 0
-    while i < len(a):
-        left, right = [a[i]], [b[j]]
-        a_end, b_end = a_end + len(a_bytes[a[i]]), b_end + len(b_bytes[b[j]])
-        i, j = i + 1, j + 1
-        while a_end != b_end:
-            if a_end < b_end:
-                left.append(a[i])
-                a_end, i = a_end + len(a_bytes[a[i]]), i + 1
-            else:
-                right.append(b[j])
-                b_end, j = b_end + len(b_bytes[b[j]]), j + 1
-        groups.append((left, right))
-    return groups
-
+def aligned(a: list[int], b: list[int], a_sizes: list[int], b_sizes: list[int]) -> tuple[list[str], list[int]]:
+    """Groups and links of two token lists that spell the same bytes; within a group ends never meet.
 
-def links_of(left: list[int], right: list[int], a_bytes: list[bytes], b_bytes: list[bytes]) -> list[int]:
-    """The overlapping pairs of one group, a pair as one number."""
-    out, i, j = [], 0, 0
-    a_end, b_end = len(a_bytes[left[0]]), len(b_bytes[right[0]])
+    A link is a pair of tokens that overlap, written as one number.
+    """
+    groups, links, i, j = [], [], 0, 0
+    a_end, b_end = a_sizes[a[0]], b_sizes[b[0]]
+    left, right = str(a[0]), str(b[0])
     while True:
-        out.append(left[i] << 16 | right[j])
+        links.append(a[i] << 16 | b[j])
         if a_end == b_end:
-            return out
-        if a_end < b_end:
+            groups.append(f"{left}|{right}")
+            i, j = i + 1, j + 1
+            if i == len(a):
+                return groups, links
+            left, right = str(a[i]), str(b[j])
+            a_end, b_end = a_end + a_sizes[a[i]], b_end + b_sizes[b[j]]
+        elif a_end < b_end:
             i += 1
-            a_end += len(a_bytes[left[i]])
+            left += f",{a[i]}"
+            a_end += a_sizes[a[i]]
         else:
             j += 1
-            b_end += len(b_bytes[right[j]])
+            right += f",{b[j]}"
+            b_end += b_sizes[b[j]]
 
 
 class Aligner:
@@ -96,10 +93,13 @@ class Aligner:
         names = [self.pieces.id_to_piece(i) for i in range(self.pieces.get_piece_size())]
         self.b_bytes = [bytes([int(n[3:5], 16)]) if self.pieces.is_byte(i) else n.replace(PIECE_SPACE, " ").encode()
                         for i, n in enumerate(names)]
-        self.space = self.pieces.piece_to_id(PIECE_SPACE)
+        self.a_sizes, self.b_sizes = ([len(x) for x in side] for side in (self.a_bytes, self.b_bytes))
+        self.line_start = self.pieces.encode("\n")  # the space that the vocabulary adds, and the line end
         if len(names) >= 1 << 16:
             raise ValueError("more than 65,536 pieces")
-        self.by_words = not any(PIECE_SPACE in n.lstrip(PIECE_SPACE) or "\n" in n for n in names)
+        joined = re.compile(LETTER + STOP)
+        self.by_words = len(self.line_start) == 2 and not any(
+            PIECE_SPACE in n.lstrip(PIECE_SPACE) or "\n" in n or joined.search(n) for n in names)
         self.clear()
 
     def clear(self) -> None:
@@ -109,39 +109,46 @@ class Aligner:
         self.starts = array("q", [0])
         self.codes, self.times = array("q"), array("q")
 
-    def _piece_ids(self, unit: str) -> list[int]:
-        if unit[0] == " ":  # the vocabulary adds it
-            return self.pieces.encode(unit[1:])
-        ids = self.pieces.encode(unit)
-        return ids[1:] if ids[:1] == [self.space] else []
-
-    def _learn(self, unit: str) -> int:
-        a = self.bpe.encode(unit, add_special_tokens=False).ids
-        b = self._piece_ids(unit)
-        spelled = unit.encode("utf-8", "surrogatepass")
-        found = -1  # not spelled by both
-        if (b"".join(map(self.a_bytes.__getitem__, a)) == spelled
-                and b"".join(map(self.b_bytes.__getitem__, b)) == spelled):
-            groups = aligned(a, b, self.a_bytes, self.b_bytes)
-            links = Counter(x for g in groups for x in links_of(*g, self.a_bytes, self.b_bytes))
-            found = len(self.counts)
-            self.counts.append((len(a), len(b), len(groups), links.total()))
-            self.groups.append(";".join(f"{','.join(map(str, x))}|{','.join(map(str, y))}" for x, y in groups))
-            self.codes.extend(links.keys())
-            self.times.extend(links.values())
+    def _piece_ids(self, units: list[str]) -> list[list[int]]:
+        """Ids of units that begin with a space, which the vocabulary adds itself, or follow a line end put before them."""
+        out = []
+        encoded = self.pieces.encode([u[1:] if u[0] == " " else u if u[0] == "\n" else "\n" + u for u in units], num_threads=1)
+        for unit, ids in zip(units, encoded):
+            if unit[0] != " ":
+                begins = ids[:2] == self.line_start
+                ids = ids[1 if unit[0] == "\n" else 2:] if begins else []
+            out.append(ids)
+        return out
+
+    def learn(self, units: list[str]) -> None:
+        a_all = [e.ids for e in self.bpe.encode_batch_fast(units, add_special_tokens=False)]
+        for unit, a, b in zip(units, a_all, self._piece_ids(units)):
+            spelled = unit.encode("utf-8", "surrogatepass")
+            if (b"".join(map(self.a_bytes.__getitem__, a)) != spelled
+                    or b"".join(map(self.b_bytes.__getitem__, b)) != spelled):
+                self.number[unit] = -1
+                continue
+            groups, links = aligned(a, b, self.a_sizes, self.b_sizes)
+            self.number[unit] = len(self.counts)
+            self.counts.append((len(a), len(b), len(groups), len(links)))
+            self.groups.append(";".join(groups))
+            if len(set(links)) < len(links):
+                count = Counter(links)
+                self.codes.extend(count.keys())
+                self.times.extend(count.values())
+            else:
+                self.codes.extend(links)
+                self.times.extend([1] * len(links))
             self.starts.append(len(self.codes))
-        self.number[unit] = found
-        return found
 
-    def units(self, text: str | None) -> list[int]:
-        """The numbers of a text's words; none if the text has no tokens."""
-        if not text:
-            return []
-        units = SPLIT.split(" " + text) if self.by_words else [" " + text]
-        numbers = list(map(self.number.get, units))
-        if None in numbers:
-            numbers = [self.number[u] if u in self.number else self._learn(u) for u in units]
-        return [] if -1 in numbers else numbers
+    def units(self, texts: list[str | None]) -> list[list[int]]:
+        """For each text the numbers of its words; none if the text has no tokens."""
+        cut = [(SPLIT.split(" " + t) if self.by_words else [" " + t]) if t else [] for t in texts]
+        new = {u for units in cut for u in units if u not in self.number}
+        if new:
+            self.learn(sorted(new))
+        numbers = [list(map(self.number.__getitem__, units)) for units in cut]
+        return [[] if -1 in n else n for n in numbers]
 
 
 ALIGNERS: dict[tuple[str, str], Aligner] = {}  # one for each pair of vocabularies in a worker
@@ -227,7 +234,6 @@ def build(docs: DataFrame, bpe_path: str, piece_path: str, *, id_col: str = "doc
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known, seq = aligner(bpe_path, piece_path), 0
-        known.clear()
         ids: list[int | None] = []
         texts: list[list[int]] = []
         digests: list[str] = []
@@ -248,13 +254,14 @@ def build(docs: DataFrame, bpe_path: str, piece_path: str, *, id_col: str = "doc
                 known.clear()
 
         for batch in batches:
-            for row in range(batch.num_rows):
-                numbers = known.units(batch.column(1)[row].as_py())
-                ids.append(batch.column(0)[row].as_py())
-                texts.append(numbers)
-                digests.append(hashlib.sha256(";".join(map(known.groups.__getitem__, numbers)).encode()).hexdigest() if numbers else "")
-                size += len(numbers)
-                if len(ids) == BLOCK_DOCS or size >= block_units:
+            for at in range(0, batch.num_rows, SLICE):
+                piece = batch.slice(at, SLICE)
+                for doc_id, numbers in zip(piece.column(0).to_pylist(), known.units(piece.column(1).to_pylist())):
+                    ids.append(doc_id)
+                    texts.append(numbers)
+                    digests.append(hashlib.sha256(";".join(map(known.groups.__getitem__, numbers)).encode()).hexdigest() if numbers else "")
+                    size += len(numbers)
+                if len(ids) + SLICE > BLOCK_DOCS or size >= block_units:
                     yield from closed()
                     ids, texts, digests, size, seq = [], [], [], 0, seq + 1
         if ids:
