@@ -2,9 +2,9 @@
 
 Every round grows one tree per label from the gradients of the joint loss. Rows are cut into bins of
 each feature once and written. A level of the trees is one job: each task sums gradients, curvatures
-and rows by (label, node, feature, bin), one aggregation adds these sums up, and the best split of each node is
-chosen from running totals over the bins. Only the chosen splits, at most one per node, come to the
-driver. Growth is best first: the splits of all levels are known, and those with the highest gain are
+and rows by (label, node, feature, bin), one shuffle brings the sums of a (label, node, feature) together,
+and the best split of each node is chosen from running totals over the bins. Only splits, at most one per
+node and task, come to the driver. Growth is best first: the splits of all levels are known, and those with the highest gain are
 kept until the tree has its number of leaves.
 
 Margins are written again every ``CHECKPOINT`` rounds, so that neither the plan nor the number of trees
@@ -20,7 +20,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.ml import Estimator, Model
 from pyspark.ml.functions import array_to_vector, vector_to_array
-from pyspark.sql import DataFrame, SparkSession, Window, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..functions.vectors import argmax_label
 from ..session import materialize
@@ -99,7 +99,7 @@ def softmax(margins: np.ndarray) -> np.ndarray:
 
 def uniform(numbers: np.ndarray, seed: int) -> np.ndarray:
     """A number from 0 to 1 for each row number and seed, the same in every attempt."""
-    x = numbers.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) + np.uint64(seed * 2 + 1) * np.uint64(0xD1B54A32D192ED03)
+    x = numbers.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) + np.uint64((seed * 2 + 1) * 0xD1B54A32D192ED03 % 2**64)
     x ^= x >> np.uint64(32)
     x *= np.uint64(0xD6E8FEB86659FD93)
     x ^= x >> np.uint64(32)
@@ -177,28 +177,76 @@ def _level_sums(state: DataFrame, s: Settings, width: int, pending: list[list[Tr
     return state.mapInArrow(run, SUMS)
 
 
-def _best_splits(sums: DataFrame, s: Settings) -> list:
-    """The best split of each (label, node), and the losses."""
-    keys = ["label", "node", "feature"]
-    # Tasks have summed already, so the rows go straight to where the running totals are taken.
-    total = sums.repartition(*keys).groupBy(*keys, "bin").agg(*[F.sum(x).alias(x) for x in ("g", "h", "n")])
-    whole = Window.partitionBy(*keys)
-    left = whole.orderBy("bin").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    cols = {f"{x}{side}": F.sum(x).over(w) for x in ("g", "h", "n") for side, w in (("l", left), ("a", whole))}
-    split = total.withColumns(cols)
-
-    def gain(g, h):
-        return g * g / (h + s.penalty)
-
-    gr, hr, nr = (F.col(f"{x}a") - F.col(f"{x}l") for x in ("g", "h", "n"))
-    value = F.round(gain(F.col("gl"), F.col("hl")) + gain(gr, hr) - gain(F.col("ga"), F.col("ha")), 9)
-    fits = ((F.col("nl") >= s.least_rows) & (nr >= s.least_rows) & (F.col("hl") >= s.least_curvature)
-            & (hr >= s.least_curvature) & (value > 0))
-    split = split.withColumn("gain", value).where(fits | (F.col("label") == LOSS))
-    chosen = F.struct("gain", (-F.col("feature")).alias("f"), (-F.col("bin")).alias("b"))
-    best = split.groupBy("label", "node").agg(
-        F.max_by(F.struct("gain", "feature", "bin", "gl", "hl", "ga", "ha"), chosen).alias("s"))
-    return best.select("label", "node", "s.*").collect()
+SPLIT = pa.schema([("label", pa.int32()), ("node", pa.int32()), ("feature", pa.int32()), ("bin", pa.int32()),
+                   *[(x, pa.float64()) for x in ("gain", "gl", "hl", "ga", "ha")]])
+SPLIT_DDL = "label int, node int, feature int, bin int, gain double, gl double, hl double, ga double, ha double"
+
+
+def best_of(key: np.ndarray, bins: np.ndarray, g: np.ndarray, h: np.ndarray, n: np.ndarray, s: Settings):
+    """For each key (sorted, with its bins in order) the place of its best split, and gain, sums to the left and of all."""
+    first = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
+    size = np.diff(np.append(first, len(key)))
+
+    def running(x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        total = np.repeat(np.add.reduceat(x, first), size)
+        # By rank within the key, so that no sum runs over from one key to the next.
+        out = x.copy()
+        for rank in range(1, int(size.max())):
+            at = first[size > rank] + rank
+            out[at] += out[at - 1]
+        return out, total
+
+    (gl, ga), (hl, ha), (nl, na) = running(g), running(h), running(n)
+    gr, hr, nr = ga - gl, ha - hl, na - nl
+
+    def gain(x, y):
+        return x * x / (y + s.penalty)
+
+    value = np.round(gain(gl, hl) + gain(gr, hr) - gain(ga, ha), 9)
+    fits = (nl >= s.least_rows) & (nr >= s.least_rows) & (hl >= s.least_curvature) & (hr >= s.least_curvature) & (value > 0)
+    value = np.where(fits, value, -np.inf)
+    order = np.lexsort((bins, -value, key))
+    best = order[first]
+    return best, value[best], gl[best], hl[best], ga[best], ha[best]
+
+
+def _best_splits(sums: DataFrame, s: Settings) -> list[dict]:
+    """The best split of each (label, node), and the losses.
+
+    Tasks have summed already, so the sums go straight to where they are added up: all of one (label, node,
+    feature) meet in one task, which returns its best split of each node.
+    """
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        table = pa.Table.from_batches(list(batches), schema=SUMS_KIND)
+        if not table.num_rows:
+            return
+        label, node, feature, bins, g, h, n = (c.to_numpy() for c in table.columns)
+        order = np.lexsort((bins, feature, node, label))
+        label, node, feature, bins, g, h, n = (x[order] for x in (label, node, feature, bins, g, h, n))
+        cell = (label.astype(np.int64) + 1 << 32 | node) * (1 << 24) + feature  # in the same order
+        new = np.concatenate([[True], (cell[1:] != cell[:-1]) | (bins[1:] != bins[:-1])])
+        at = np.flatnonzero(new)
+        label, node, feature, bins, cell = (x[at] for x in (label, node, feature, bins, cell))
+        g, h, n = (np.add.reduceat(x, at) for x in (g, h, n))
+        loss = label == LOSS
+        rows = [(int(LOSS), int(k), 0, 0, 0.0, 0.0, 0.0, float(a), float(b)) for k, a, b in zip(node[loss], g[loss], h[loss])]
+        label, node, feature, bins, cell, g, h, n = (x[~loss] for x in (label, node, feature, bins, cell, g, h, n))
+        if len(cell):
+            best, *values = best_of(cell, bins, g, h, n, s)
+            found: dict[tuple, tuple] = {}
+            for row in zip(label[best].tolist(), node[best].tolist(), feature[best].tolist(), bins[best].tolist(), *[v.tolist() for v in values]):
+                if row[4] > 0 and (row[:2] not in found or row[4] > found[row[:2]][4]):
+                    found[row[:2]] = row
+            rows += found.values()
+        yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), SPLIT)] if rows
+                                         else [pa.array([], f.type) for f in SPLIT], schema=SPLIT)
+
+    chosen: dict[tuple[int, int], dict] = {}
+    for r in sums.repartition("label", "node", "feature").mapInArrow(run, SPLIT_DDL).collect():
+        key = (r["label"], r["node"])
+        if key not in chosen or (-r["gain"], r["feature"], r["bin"]) < tuple(chosen[key][x] * w for x, w in (("gain", -1), ("feature", 1), ("bin", 1))):
+            chosen[key] = r.asDict()
+    return list(chosen.values())
 
 
 def _best_first(tree: Tree, splits: dict[int, object], s: Settings) -> None:

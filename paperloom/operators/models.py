@@ -146,8 +146,11 @@ def grid_search_cv(df: DataFrame, components: Sequence[int], cs: Sequence[float]
     """Best macro-F1 over PCA size and penalty on stratified folds, and the refitted pipeline.
 
     The first k components of a larger projection are the projection to k, so each fold needs
-    one PCA, and every grid point slices it. Of equal scores the first grid point wins.
+    one PCA, and every grid point slices it. Sizes beyond the length of the vectors mean all of it. Of
+    equal scores the first grid point wins.
     """
+    width = df.select(F.max(F.size(vector_to_array("features")))).first()[0]
+    components = list(dict.fromkeys(min(k, width) for k in components))
     rows = materialize(with_folds(weighted(df), folds), "grid")
     spark = df.sparkSession
     points = [(k, c) for k in components for c in cs]
@@ -194,14 +197,21 @@ def _probabilities(model: Model, df: DataFrame) -> DataFrame:
 
 
 def cv_ensemble(df: DataFrame, make: Callable[[int], Estimator], folds: int = 5,
-                parallelism: int = 4) -> Ensemble:
-    """One model per fold, fitted on the other folds; each row is scored by the unseen model."""
+                parallelism: int = 4, held: str | None = None) -> Ensemble:
+    """One model per fold, fitted on the other folds; each row is scored by the model that was not fitted on it.
+
+    With ``held``, the rows of the fold go along, marked by a column of that name, to stop the fit.
+    """
     rows = materialize(with_folds(df, folds), "folds")
     spark = df.sparkSession
     n = rows.count()
 
     def fit(k: int) -> Model:
-        return make(n).fit(weighted(rows.where(F.col("fold") != k)))
+        seen = weighted(rows.where(F.col("fold") != k))
+        if held:
+            seen = seen.withColumn(held, F.lit(False)).unionByName(
+                rows.where(F.col("fold") == k).withColumns({"weight": F.lit(1.0), held: F.lit(True)}), allowMissingColumns=True)
+        return make(n).fit(seen)
 
     with ThreadPool(min(parallelism, folds)) as pool:
         models = pool.map(inheritable_thread_target(spark)(fit), range(folds))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions import labels as L
-from ..operators import evaluate, folds, thresholds
+from ..operators import evaluate, folds, optimum, thresholds
 from ..sources import tables
 from .registry import query
 from .sql import with_views
@@ -203,7 +203,7 @@ def _objective_sql(candidates: str) -> str:
 
 THRESHOLD_VIEWS = {
     "hist": """SELECT label, greatest(99, least(500, floor(round(score * 100, 6))::INTEGER)) AS bin, count(*) AS n
-      FROM predictions WHERE id % 7 <> 0 GROUP BY ALL""",
+      FROM predictions GROUP BY ALL""",
     "below_row": """SELECT list(b ORDER BY label) AS below FROM (
       SELECT label, list(below ORDER BY bin) AS b FROM (
         SELECT l.label, s.bin, coalesce(sum(n) OVER (PARTITION BY l.label ORDER BY s.bin
@@ -228,8 +228,30 @@ THRESHOLD_VIEWS = {
       FROM fine_scored ORDER BY objective DESC, fine_scored.t1, fine_scored.t2, fine_scored.t3, fine_scored.t4
       LIMIT 1""", "predictions", **THRESHOLD_VIEWS))
 def threshold_search(spark, sf):
-    score = F.when(F.col("id") % 7 != 0, F.col("score")).alias("score")  # some scores are missing
-    return thresholds.threshold_search(tables.predictions(spark, sf).select(score, "label"))
+    return thresholds.threshold_search(tables.predictions(spark, sf))
+
+
+OPTIMUM_VIEWS = {
+    "hist": THRESHOLD_VIEWS["hist"], "below_row": THRESHOLD_VIEWS["below_row"],
+    "grid": """SELECT 100 + 5 * a.v AS t1, 100 + 5 * b.v AS t2, 100 + 5 * c.v AS t3, 100 + 5 * d.v AS t4
+      FROM range(0, 81) a(v), range(0, 81) b(v), range(0, 81) c(v), range(0, 81) d(v)
+      WHERE a.v < b.v AND b.v < c.v AND c.v < d.v""",
+    "scored": _objective_sql("grid"),
+}
+
+
+@query("threshold_optimum", with_views(
+    """SELECT t1 / 100 AS t1, t2 / 100 AS t2, t3 / 100 AS t3, t4 / 100 AS t4, objective
+      FROM scored ORDER BY objective DESC, scored.t1, scored.t2, scored.t3, scored.t4 LIMIT 1""", "predictions", **OPTIMUM_VIEWS))
+def threshold_optimum(spark, sf):
+    """The certain best of all sets on the grid of twentieths, which SQL can still enumerate."""
+    return optimum.threshold_optimum(tables.predictions(spark, sf), step=5)
+
+
+@query("threshold_optimum_fine")
+def threshold_optimum_fine(spark, sf):
+    """The certain best of all sets of hundredths."""
+    return optimum.threshold_optimum(tables.predictions(spark, sf))
 
 
 # --- saved model replies ------------------------------------------------------------------

@@ -5,15 +5,19 @@ from __future__ import annotations
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
+from ..functions.stopwords import english_stop_words
 from ..functions.vectors import argmax_label
-from ..operators import folds, models
+from ..operators import boosting, folds, joint, kernels, models, stages
 from ..session import materialize, scratch_path
 from ..sources import tables
 from .registry import query
 
 
-# The boosting query is a shorter run than the operator's defaults (500 rounds of depth 6).
-BOOST_ROUNDS, BOOST_DEPTH = 50, 4
+# The settings of the two kinds of boosted trees, and the grid that is searched.
+DEEP = boosting.Settings(rounds=500, depth=6, rate=0.05, rows=0.8, columns=0.8, patience=50)
+LEAFY = boosting.Settings(rounds=500, depth=3, leaves=5, rate=0.01, rows=0.8, columns=0.8, least_rows=30,
+                          least_curvature=1e-3, penalty=0.0, patience=50)
+GRID_COMPONENTS, GRID_C = (30, 50, 80, 120, 200), (0.5, 1.0, 5.0, 10.0)
 
 
 def _input(spark, sf):
@@ -64,11 +68,34 @@ def naive_bayes(spark, sf):
 
 @query("boosted_trees")
 def boosted_trees(spark, sf):
-    """Boosted trees with early stop on a part that is neither fitted nor scored."""
+    """Trees under one softmax loss, with early stop on a part that is neither fitted nor scored."""
     train, held, test = _three_parts(spark, sf)
     rows = train.withColumn("held", F.lit(False)).unionByName(held.withColumn("held", F.lit(True)))
-    model = models.boosted_trees(spark, rounds=BOOST_ROUNDS, depth=BOOST_DEPTH, held="held").fit(rows)
-    return models.predict(model, test)
+    return models.predict(boosting.SoftmaxTrees(DEEP, held="held").fit(rows), test)
+
+
+@query("boosted_ensemble")
+def boosted_ensemble(spark, sf):
+    """One booster of few leaves per fold, stopped on that fold; mean of the fold models on the test split."""
+    train, test = _split(spark, sf)
+    ensemble = models.cv_ensemble(train, lambda n: boosting.SoftmaxTrees(LEAFY, held="held"), held="held")
+    return models.ensemble_predict(ensemble, test)
+
+
+@query("svm_rbf")
+def svm_rbf(spark, sf):
+    """Radial kernel machine with calibrated probabilities."""
+    train, test = _split(spark, sf)
+    scored = kernels.kernel_svm(1.0).fit(train).transform(test)
+    return scored.select("id", "label", (F.col("prediction") + 1).cast("int").alias("prediction"),
+                         vector_to_array("probability").alias("probability"))
+
+
+@query("ordinal_joint")
+def ordinal_joint(spark, sf):
+    """Both heads on one representation, fitted under one loss."""
+    train, test = _split(spark, sf)
+    return joint.joint_ordinal(train).score(test).select("id", "label", "score")
 
 
 @query("ordinal_regression")
@@ -89,7 +116,7 @@ def tune_c(spark, sf):
 @query("grid_search_cv")
 def grid_search_cv(spark, sf):
     train, test = _split(spark, sf)
-    score, chosen, model = models.grid_search_cv(train, components=(30, 50), cs=(1.0, 10.0), folds=5)
+    score, chosen, model = models.grid_search_cv(train, components=GRID_COMPONENTS, cs=GRID_C, folds=5)
     return models.predict(model, test).withColumns(
         {"cv_macro_f1": F.lit(score), "k": F.lit(chosen["k"]), "c": F.lit(chosen["C"])})
 
@@ -122,14 +149,28 @@ def ordinal_ensemble(spark, sf):
 
 @query("model_persist")
 def model_persist(spark, sf):
-    """Save a fitted model and cut points, load both, predict with the loaded ones."""
-    from pyspark.ml.classification import LogisticRegressionModel
-
+    """Save a whole ordinal ensemble with its cut points, load it, and predict with both."""
     train, test = _split(spark, sf)
     folder = scratch_path(spark, "model")
-    fitted = models.logreg(1.0, train.count()).fit(models.weighted(train))
-    models.save_models([fitted], folder)
-    models.save_cuts(spark, (1.5, 2.5, 3.5, 4.5), folder)
-    loaded = models.load_models(LogisticRegressionModel, folder, 1)[0]
-    cuts = models.load_cuts(spark, folder)
-    return models.predict(loaded, test).withColumn("cuts", F.lit(",".join(map(str, cuts))))
+    fitted = models.ordinal_ensemble(train, folds=5)
+    models.save_ordinal(fitted, folder)
+    loaded = models.load_ordinal(spark, folder, 5)
+    before = models.ordinal_predict(fitted, test).withColumnsRenamed({"score": "score_before", "prediction": "prediction_before"})
+    after = models.ordinal_predict(loaded, test)
+    cuts = F.lit(",".join(map(str, loaded.cuts)))
+    return after.join(before, "id").select("id", "score", "prediction", "score_before", "prediction_before", cuts.alias("cuts"))
+
+
+@query("features_persist")
+def features_persist(spark, sf):
+    """Save the fitted feature pipeline, load it, and compare the sums of both vectors of each record."""
+    from pyspark.ml import PipelineModel
+
+    papers = tables.papers(spark, sf)
+    folder = scratch_path(spark, "features")
+    fitted = stages.feature_union(english_stop_words()).fit(papers)
+    fitted.save(folder)
+    total = F.aggregate(vector_to_array("features"), F.lit(0.0), lambda a, x: a + x)
+    before, after = (m.transform(papers).select("id", F.round(total, 9).alias(name))
+                     for m, name in ((fitted, "total_before"), (PipelineModel.load(folder), "total")))
+    return after.join(before, "id")
