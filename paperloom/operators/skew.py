@@ -13,13 +13,14 @@ def _is_heavy(n: str) -> Column:
 
 
 def lookup_join(rows: DataFrame, table: DataFrame, key: str, n: str, spread_by: str,
-                how: str = "left", salts: int = SALTS) -> DataFrame:
+                how: str = "left", salts: int = SALTS, strategy: str | None = None) -> DataFrame:
     """Join ``rows`` to a table with one row per ``key``; heavy keys are spread over ``salts``.
 
     Column ``n`` of the table says how often the key occurs. A key with at least 1/1000 of the
     total is heavy, so there are never more than 1000 heavy keys: only these are broadcast, as
     markers, and copied in the table. All other keys take the plain shuffle with salt 0. Null
-    keys match nothing and are spread too. ``n`` only steers the spreading; a wrong count costs
+    keys match nothing and are spread too. ``strategy`` is a join hint for a table that grows with the
+    rows, however small it is in a run. ``n`` only steers the spreading; a wrong count costs
     time, not rows.
     """
     counted = table.withColumn("_total", table.agg(F.sum(n)).scalar())
@@ -33,4 +34,5 @@ def lookup_join(rows: DataFrame, table: DataFrame, key: str, n: str, spread_by:
     )
     copies = F.when(_is_heavy(n), F.sequence(F.lit(0), F.lit(salts - 1)))
     right = counted.withColumn("_salt", F.explode(F.coalesce(copies, F.array(F.lit(0)))))
-    return left.join(right.drop("_total"), [key, "_salt"], how).drop("_salt")
+    right = right.drop("_total")
+    return left.join(right.hint(strategy) if strategy else right, [key, "_salt"], how).drop("_salt")
