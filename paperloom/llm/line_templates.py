@@ -22,12 +22,13 @@ alike; an empty table gives no rows. Columns are kept, whatever their names.
 from __future__ import annotations
 
 import re
+from functools import partial
 
 import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
 
-from ..operators.skew import lookup_join
+from ..operators import skew
 from ..session import materialize
 from .common import columns_function, text_function, whole
 
@@ -72,6 +73,10 @@ def parsed(text: str | None, depth: int) -> list[tuple[int, int, list[bytes]]]:
     return list(out.values())
 
 
+# The tables of lines and texts grow with the corpus, so they are never broadcast, however small they are in a run.
+lookup_join = partial(skew.lookup_join, strategy="merge")
+
+
 def _by_text(docs: DataFrame, text_col: str, *extra: Column) -> DataFrame:
     """Rows with the hash of their text; texts without a word have none, for they match nothing."""
     text = F.col(f"`{text_col}`").cast("string")
@@ -112,7 +117,6 @@ def recurring_lines(docs: DataFrame, *, text_col: str = "text", depth: int = DEP
         F.collect_list("line").alias("wanted"), F.max("home.copies").alias("copies"))
     held = lookup_join(source, materialize(homes, "homes"), "whole", "copies", "spread", "inner")
     spelled = held.select(F.explode(spell("text", "wanted")).alias("l")).select("l.line", "l.words").dropDuplicates(["line"])
-    # The table of lines grows with the corpus, so it is never broadcast, however small it is here.
     spelled = materialize(spelled.join(open_lines.hint("merge"), "line"), "open-words")
     places = spelled.select("leaf", "line", "long", "docs", F.posexplode("words").alias("place", "word"))
     places = places.withColumn("at", F.struct("leaf", "place", "word"))
