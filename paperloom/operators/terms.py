@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark.ml.feature import CountVectorizerModel
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions import text as T
-from ..functions.core import bind
 from ..session import materialize
 from .skew import lookup_join
 
@@ -15,6 +15,15 @@ from .skew import lookup_join
 BROADCAST_TERMS = 100_000
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """``df`` dealt to as many tasks as the session has cores, where its source has fewer parts.
+
+    For work that costs far more than moving the rows. A large table has more parts and stays as it is.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def record_terms(df: DataFrame, text: Column | str, stop_words: Sequence[str] = (),
                  bigrams: bool = True, id_col: str = "id") -> DataFrame:
     """``id, term, tf``: counted inside the row, so this is a narrow step."""
@@ -68,29 +77,21 @@ def normalise(weights: DataFrame) -> DataFrame:
     return weights.select("id", "term", (F.col("raw") / norm).alias("weight"))
 
 
-def _weighted(counts: Column, vocab: Column) -> Column:
-    """``(term, weight)`` of a record's ``(term, tf)``, from the sorted ``(term, idf)`` array.
-
-    Terms are found by binary search, and the norm is taken in the row, so nothing is shuffled.
-    """
-    steps = F.array(*[F.lit(1 << k) for k in reversed(range(BROADCAST_TERMS.bit_length()))])
-
-    def look_up(v: Column) -> Column:
-        def weigh_one(c: Column) -> Column:
-            at = F.aggregate(steps, F.lit(0), lambda at, step: at + F.when(
-                F.get(v, at + step - 1)["term"] <= c["term"], step).otherwise(0))
-            entry = F.get(v, at - 1)
-            raw = F.when(entry["term"] == c["term"], c["tf"] * entry["idf"])
-            return F.struct(c["term"].alias("term"), raw.alias("raw"))
-
-        return F.filter(F.transform(counts, weigh_one), lambda w: w["raw"].isNotNull())
-
-    def scale(raws: Column) -> Column:
-        square = F.aggregate(raws, F.lit(0.0), lambda s, w: s + w["raw"] * w["raw"])
-        return bind(F.sqrt(square), lambda norm: F.transform(
-            raws, lambda w: F.struct(w["term"].alias("term"), (w["raw"] / norm).alias("weight"))))
-
-    return bind(bind(vocab, look_up), scale)
+def _weighted(source: DataFrame, terms: Column, words: list[str], idf: list[float]) -> DataFrame:
+    """``id, term, weight`` of the records of ``source``: terms are looked up by hash, and the norm is taken in the
+    row, so nothing is shuffled."""
+    found = CountVectorizerModel.from_vocabulary(words, inputCol="_terms", outputCol="_counts").transform(
+        source.select("id", terms.alias("_terms")))
+    counts = F.unwrap_udt("_counts")
+    words_, idf_ = (source.sparkSession.createDataFrame([(x,)], f"x {kind}").select("x").scalar()
+                    for x, kind in ((words, "array<string>"), (idf, "array<double>")))
+    found = found.select("id", counts["indices"].alias("at"), counts["values"].alias("tf"), words_.alias("words"), idf_.alias("idf"))
+    raw = F.zip_with("tf", "at", lambda n, k: n * F.get("idf", k))
+    found = found.select("id", "at", "words", raw.alias("raw"))
+    square = F.aggregate("raw", F.lit(0.0), lambda s, w: s + w * w)
+    found = found.withColumn("norm", F.sqrt(square))
+    entries = F.zip_with("at", "raw", lambda k, w: F.struct(F.get("words", k).alias("term"), (w / F.col("norm")).alias("weight")))
+    return found.select("id", F.inline(entries))
 
 
 def tfidf(train: DataFrame, text: Column | str, *, test: DataFrame | None = None,
@@ -98,19 +99,22 @@ def tfidf(train: DataFrame, text: Column | str, *, test: DataFrame | None = None
           max_df: float = 1.0, max_features: int | None = None) -> DataFrame:
     """``id, term, weight``: vocabulary and idf from ``train``, weights for ``test`` or itself.
 
-    With a limit of at most ``BROADCAST_TERMS`` the vocabulary is one bounded array that every task
+    With a limit of at most ``BROADCAST_TERMS`` the vocabulary is a bounded model that every task
     gets, and each record is weighted by itself. Without one the weights are joined and shuffled.
     """
+    train = spread(train)
+    test = None if test is None else spread(test)
     seen = record_terms(train, text, stop_words, bigrams)
     vocab = vocabulary(train, seen, min_df, max_df, max_features)
     source = train if test is None else test
     if max_features is None or max_features > BROADCAST_TERMS:
         rows = seen if test is None else record_terms(test, text, stop_words, bigrams)
         return normalise(weigh(rows, vocab, max_features))
-    entries = vocab.agg(F.sort_array(F.collect_list(F.struct("term", "idf")))).scalar()
-    counts = T.term_counts(T.analyze(text, stop_words, bigrams))
-    counted = source.select("id", counts.alias("counts")).withColumn("vocab", entries)
-    return counted.select("id", F.inline(_weighted(F.col("counts"), F.col("vocab"))))
+    # At most ``max_features`` rows come to the driver: they become the model that every task gets.
+    rows = vocab.select("term", "idf").orderBy("term").collect()
+    if not rows:
+        return source.select("id", F.lit("").alias("term"), F.lit(0.0).alias("weight")).limit(0)
+    return _weighted(source, T.analyze(text, stop_words, bigrams), [r["term"] for r in rows], [r["idf"] for r in rows])
 
 
 def tfidf_blocks(df: DataFrame, stop_words: Sequence[str], title_features: int = 3000,
@@ -132,7 +136,7 @@ def tfidf_blocks(df: DataFrame, stop_words: Sequence[str], title_features: int =
 
 def topk_keywords(df: DataFrame, stop_words: Sequence[str], k: int = 5) -> DataFrame:
     """``id, keywords``: the k terms of highest tf-idf per record, best first; [] for no text."""
-    texts = df.select("id", T.prompt_keyword("title", "abstract").alias("text"))
+    texts = spread(df.select("id", T.prompt_keyword("title", "abstract").alias("text")))
     terms = record_terms(texts, "text", stop_words)
     vocab = vocabulary(texts, terms)
     weights = weigh(terms, vocab, None).withColumn("raw", F.round("raw", 9))

@@ -69,7 +69,7 @@ def _weights_sql(terms_view: str, vocab: str) -> str:
     terms=_terms_sql(Q.content_tokens("abstract"), "paper_texts"),
     vocab=_vocab_sql("terms", "paper_texts", 2, 0.9, None)))
 def document_frequency(spark, sf):
-    papers = tables.paper_texts(spark, sf)
+    papers = terms.spread(tables.paper_texts(spark, sf).select("id", "abstract"))
     seen = terms.record_terms(papers, "abstract", english_stop_words())
     n_docs = tables.paper_texts(spark, sf).agg(F.count("*")).scalar()
     return terms.prune(terms.document_frequency(seen), n_docs, 2, 0.9).select("term", "df", "tf")
