@@ -129,11 +129,8 @@ class CachedTokenizer:
         # Nothing but single spaces and line ends between words.
         if len(words) != gaps + 1 or sum(map(len, words)) + gaps != len(text):
             return self._plain(text)
-        keys: list[str] = []
-        for line in text.split("\n"):
-            start = len(keys)
-            keys += line.split(" ")
-            keys[start] = "\n" + keys[start]
+        keys = text.replace("\n", " \n").split(" ")
+        keys[0] = "\n" + keys[0]
         values = list(map(self.new.get, keys))
         if None in values:
             values = [self._learn(k) if v is None else v for k, v in zip(keys, values)]
