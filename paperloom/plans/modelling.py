@@ -11,6 +11,7 @@ from ..operators import boosting, folds, joint, kernels, models, stages
 from ..session import materialize, scratch_path
 from ..sources import tables
 from .registry import query
+from .sql import with_views
 
 
 # The settings of the two kinds of boosted trees, and the grid that is searched.
@@ -60,7 +61,25 @@ def svm(spark, sf):
     return models.predict(model, test)
 
 
-@query("naive_bayes")
+# Counts with one added, on entries scaled by the range of the training rows and cut below at 0.
+BAYES_VIEWS = {
+    "entries": """SELECT id, label, split, CAST(unnest(embedding) AS DOUBLE) AS v, unnest(range(0, len(embedding))) AS i FROM vector_split""",
+    "ranges": "SELECT i, min(v) AS lo, max(v) AS hi FROM entries WHERE split = 'train' GROUP BY i",
+    "scaled": """SELECT id, label, split, e.i, greatest(CASE WHEN hi > lo THEN (v - lo) / (hi - lo) ELSE 0.5 END, 0) AS x
+      FROM entries e JOIN ranges r ON r.i = e.i""",
+    "sums": "SELECT label, i, sum(x) AS s FROM scaled WHERE split = 'train' GROUP BY label, i",
+    "thetas": "SELECT label, i, ln(s + 1) - ln(sum(s) OVER (PARTITION BY label) + count(*) OVER (PARTITION BY label)) AS theta FROM sums",
+    "priors": """SELECT label, ln(count(*) + 1) - ln(sum(count(*)) OVER () + count(*) OVER ()) AS prior
+      FROM vector_split WHERE split = 'train' GROUP BY label""",
+    "scores": """SELECT t.id, t.label, p.label AS prediction, any_value(prior) + sum(x * theta) AS score
+      FROM scaled t JOIN thetas h ON h.i = t.i JOIN priors p ON p.label = h.label WHERE t.split = 'test' GROUP BY t.id, t.label, p.label""",
+}
+
+
+@query("naive_bayes", with_views(
+    """SELECT id, label, prediction FROM (
+      SELECT *, row_number() OVER (PARTITION BY id ORDER BY score DESC, prediction) AS r FROM scores) WHERE r = 1""",
+    "vector_split", **BAYES_VIEWS))
 def naive_bayes(spark, sf):
     train, test = _split(spark, sf)
     return models.predict(models.naive_bayes().fit(train), test)

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from ..functions import text as T
 from ..functions.stopwords import english_stop_words
-from ..operators import terms
+from ..operators import embedding, stages, terms
 from ..sources import io, tables
 from . import sql as Q
 from .registry import query
@@ -152,3 +152,30 @@ def tfidf_concat(spark, sf):
 def topk_keywords(spark, sf):
     words = terms.topk_keywords(tables.paper_texts(spark, sf), english_stop_words())
     return words.withColumn("keywords", F.array_join("keywords", "|"))
+
+
+# --- learned vectors ----------------------------------------------------------------------
+
+
+def _latent(spark, sf):
+    """Vectors of the abstracts, learned from their TF-IDF weights."""
+    papers = terms.spread(tables.paper_texts(spark, sf).select("id", "abstract"))
+    block = stages.TfidfBlock(inputCol="abstract", outputCol="weights", maxFeatures=8000, stopWords=list(english_stop_words()))
+    weighted = block.fit(papers).transform(papers).select("id", "weights")
+    return embedding.LatentTerms("weights", steps=12, tolerance=1e-4).fit(weighted).transform(weighted).select("id", "embedding")
+
+
+@query("latent_embedding")
+def latent_embedding(spark, sf):
+    return _latent(spark, sf).select("id", F.transform("embedding", lambda x: F.round(x, 6)).alias("embedding"))
+
+
+@query("latent_embedding_norms", with_views(
+    """SELECT p.id, CASE WHEN k.id IS NULL THEN 0 ELSE 1 END::DOUBLE AS norm
+      FROM paper_texts p LEFT JOIN (SELECT DISTINCT id FROM terms JOIN vocab ON terms.term = vocab.term) k ON k.id = p.id""", "paper_texts",
+    terms=_terms_sql(Q.content_tokens("abstract"), "paper_texts"),
+    vocab=_vocab_sql("terms", "paper_texts", 2, 0.9, 8000)))
+def latent_embedding_norms(spark, sf):
+    """Unit length where a record has a term of the vocabulary, zero elsewhere."""
+    square = F.aggregate("embedding", F.lit(0.0), lambda a, x: a + x * x)
+    return _latent(spark, sf).select("id", F.round(F.sqrt(square), 6).alias("norm"))
