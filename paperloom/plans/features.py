@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from ..functions import text as T
 from ..functions.stopwords import english_stop_words
-from ..operators import folds, knn, metadata, models, stages
+from ..operators import folds, knn, knn_index, metadata, models, stages
 from ..session import materialize
 from ..sources import tables
 from . import sql as Q
@@ -180,3 +180,13 @@ def knn_vote(spark, sf):
 def knn_classifier(spark, sf):
     train, test = split_vectors(spark, sf)
     return test.select("id", "label").join(knn.knn_classifier(train, test), "id")
+
+
+@query("knn_index")
+def knn_index_search(spark, sf):
+    """The five nearest of all vectors for every id divisible by 20, by inverted lists over all rows."""
+    vectors = materialize(tables.vectors(spark, sf).select("id", "embedding"), "vectors")
+    index = knn_index.build(vectors)
+    queries = vectors.where(F.col("id") % 20 == 0)
+    probes = knn_index.calibrated_probes(index, queries, vectors)
+    return knn_index.search(index, queries, vectors, probes=probes).withColumn("distance", F.round("distance", 6))
