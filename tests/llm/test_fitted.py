@@ -124,6 +124,20 @@ def test_toxic_labels_on_held_out_rows(spark):
     assert np.mean([r["severity"] for r in toxic]) > 1 > np.mean([r["severity"] for r in clean])
 
 
+def test_severities_equal_plain_python(spark):
+    """Every row of a whole table, from the weights alone."""
+    docs, labels = (spark.read.parquet(f"{MIDDLE}/{t}.parquet") for t in ("documents", "labels"))
+    model = toxicity.train(docs, labels, F.col("toxic"))
+    assert model.weights and model.cuts == sorted(model.cuts)
+    for r in toxicity.severity(docs, model).collect():
+        words = set("".join(c if c.isalpha() else " " for c in (r["row"]["text"] or "").lower()).split(" ")) - {""}
+        held = words | {w[:4] + "*" for w in words if len(w) > 4} | {w[:5] + "*" for w in words if len(w) > 5}
+        score = sum(model.weights.get(x, 0.0) for x in held)
+        chances = [1 / (1 + np.exp(c - score)) for c in model.cuts]
+        assert r["severity"] == pytest.approx(sum(chances), abs=1e-9) and r["p_toxic"] == pytest.approx(chances[0], abs=1e-9)
+        assert r["grade"] == sum(p >= 0.5 for p in chances)
+
+
 def test_severity_of_odd_rows(spark, odd):
     model = toxicity.Model({"le": 2.0, "the": 5.0}, [1.0, 3.0])
     got = {r["row"]["doc_id"]: r for r in toxicity.severity(odd, model).collect()}
