@@ -22,7 +22,7 @@ import struct
 import uuid
 import zlib
 from array import array
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -72,8 +72,8 @@ class CachedTokenizer:
         from tokenizers import Tokenizer
 
         self.library = Tokenizer.from_file(path)
-        self.added = [t.content for t in self.library.get_added_tokens_decoder().values()]
         self.model = self.library.model
+        self.added = [t.content for t in self.library.get_added_tokens_decoder().values()]
         self.limit = limit
         self.new: dict[str, bytes] = {}
         self.old: dict[str, bytes] = {}
@@ -87,67 +87,76 @@ class CachedTokenizer:
         ids = self.library.encode_batch_fast([text], add_special_tokens=False)[0].ids
         return np.array(ids, dtype="<u4").tobytes()
 
-    def _word(self, word: str, spaced: bool) -> bytes:
-        stem = word.rstrip(TAIL)
-        if not stem.isalpha() or not stem.isascii() and max(stem) >= "\u0250":
-            return self._library(" " + word if spaced else word)
-        # Latin letters are one piece for the splitting rule, and the punctuation after them another.
-        known = None
-        if spaced and len(stem) < len(word):
-            known = self.new.get(stem) or self.old.get(stem)
-        if known is None:
-            piece = stem if stem.isascii() else stem.encode().decode("latin-1").translate(self.letters)
-            known = array("I", [t.id for t in self.model.tokenize(self.space + piece if spaced else piece)]).tobytes()
-            if spaced:
-                self.new[stem] = known
-        if len(stem) == len(word):
-            return known
-        tail = word[len(stem):]
-        if tail not in self.tails:
-            if len(self.tails) > 10_000:
-                self.tails.clear()
-            self.tails[tail] = self._library(tail)
-        return known + self.tails[tail]
-
-    def _learn(self, key: str) -> bytes:
-        found = self.new.get(key) or self.old.get(key)
-        if found is None:
-            found = self.line_end + self._word(key[1:], False) if key[0] == "\n" else self._word(key, True)
-        self.new[key] = found
-        return found
+    def _learn(self, keys: Iterable[str]) -> None:
+        """Look up keys, or encode them, each word once."""
+        tokenize, space, letters = self.model.tokenize, self.space, self.letters
+        for key in keys:
+            found = self.old.get(key)
+            if found is not None:
+                self.new[key] = found
+                continue
+            base = key.rstrip(TAIL)
+            stem = base[1:] if base[:1] == "\n" else base
+            if not stem.isalpha() or not stem.isascii() and max(stem) >= "\u0250":
+                self.new[key] = self._library(key if key[0] == "\n" else " " + key)
+                continue
+            # Latin letters are one piece for the splitting rule, and the punctuation after them another.
+            known = self.new.get(base) or self.old.get(base)
+            if known is None:
+                piece = stem if stem.isascii() else stem.encode().decode("latin-1").translate(letters)
+                if base is stem:
+                    known = array("I", [t.id for t in tokenize(space + piece)]).tobytes()
+                else:
+                    known = self.line_end + array("I", [t.id for t in tokenize(piece)]).tobytes()
+                self.new[base] = known
+            if len(base) < len(key):
+                tail = key[len(base):]
+                if tail not in self.tails:
+                    if len(self.tails) > 10_000:
+                        self.tails.clear()
+                    self.tails[tail] = self._library(tail)
+                self.new[key] = known + self.tails[tail]
+
+    def _known(self, key: str) -> bytes:
+        if key not in self.new:
+            self._learn([key])
+        return self.new[key]
 
     def encode(self, texts: list[str]) -> list[bytes]:
         if len(self.new) > self.limit:
             self.old, self.new = self.new, {}
-        return [self._text(t) if t else b"" for t in texts]
+        cut = [self._keys(t) if t else None for t in texts]
+        missing = set().union(*(keys for keys in cut if keys)).difference(self.new)
+        if missing:
+            self._learn(missing)
+        # The first word was given a line end that the text does not hold.
+        return [b"".join(map(self.new.__getitem__, keys))[4:] if keys else self._text(t) if t else b"" for t, keys in zip(texts, cut)]
 
-    def _text(self, text: str) -> bytes:
+    def _keys(self, text: str) -> list[str] | None:
+        """The words of a text that has nothing but single spaces and line ends between them."""
         if any(map(text.__contains__, self.added)):
-            return self._library(text)
+            return None
         words = text.split()
         gaps = text.count(" ") + text.count("\n")
-        # Nothing but single spaces and line ends between words.
         if len(words) != gaps + 1 or sum(map(len, words)) + gaps != len(text):
-            return self._plain(text)
+            return None
         keys = text.replace("\n", " \n").split(" ")
         keys[0] = "\n" + keys[0]
-        values = list(map(self.new.get, keys))
-        if None in values:
-            values = [self._learn(k) if v is None else v for k, v in zip(keys, values)]
-        # The first word was given a line end that the text does not hold.
-        return b"".join(values)[4:]
+        return keys
 
-    def _plain(self, text: str) -> bytes:
+    def _text(self, text: str) -> bytes:
         """Any text, by units of the general rule."""
+        if any(map(text.__contains__, self.added)):
+            return self._library(text)
         out = []
         for unit in UNIT.findall(text):
             word = unit[1:] if unit[0] == " " else unit
             if not word or not word.isprintable():
                 out.append(self._library(unit))
             elif len(word) < len(unit):
-                out.append(self.new.get(word) or self._learn(word))
+                out.append(self._known(word))
             else:
-                out.append(self._learn("\n" + word)[4:])
+                out.append(self._known("\n" + word)[4:])
         return b"".join(out)
 
 
