@@ -177,7 +177,8 @@ def model_persist(spark, sf):
     before = models.ordinal_predict(fitted, test).withColumnsRenamed({"score": "score_before", "prediction": "prediction_before"})
     after = models.ordinal_predict(loaded, test)
     cuts = F.lit(",".join(map(str, loaded.cuts)))
-    return after.join(before, "id").select("id", "score", "prediction", "score_before", "prediction_before", cuts.alias("cuts"))
+    both = after.join(before, "id").join(test.select("id", "label"), "id")
+    return both.select("id", "label", "score", "prediction", "score_before", "prediction_before", cuts.alias("cuts"))
 
 
 @query("features_persist")
