@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from ..functions import core, labels as L, records as R, text as T, vectors as V
 from ..operators import cleaning, evaluate, folds
 from ..session import scratch_path
-from ..sources import io, schemas, tables
+from ..sources import arrays, io, schemas, tables
 from . import sql as Q
 from .registry import query
 from .sql import with_views
@@ -75,6 +75,18 @@ def sink_features(spark, sf):
     return io.load_features(spark, path).select("id", "label", "split", _feature_sum())
 
 
+@query("scan_sink_arrays", with_views(
+    "SELECT id, CAST(label AS BIGINT) AS label, CAST(len(embedding) AS INTEGER) AS width, round(list_sum(embedding), 6) AS total "
+    "FROM vector_split", "vector_split"))
+def scan_sink_arrays(spark, sf):
+    """The vectors as .npz archives, and back by ranges of rows."""
+    path = scratch_path(spark, "arrays")
+    vectors = _split_vectors(spark, sf).select(
+        "id", F.col("label").cast("long").alias("label"), F.col("embedding").cast("array<double>").alias("embedding"))
+    arrays.save_arrays(vectors, path)
+    return arrays.load_arrays(spark, path).select("id", "label", F.size("embedding").alias("width"), _feature_sum())
+
+
 @query("sink_submission", with_views('SELECT id, prediction AS "Label" FROM predictions', "predictions"))
 def sink_submission(spark, sf):
     path = scratch_path(spark, "submission")
