@@ -28,7 +28,8 @@ def test_only_fits_lack_sql():
     assert set(FITTED) <= {
         "feature_union", "dense_embedding", "standardize_pca", "logreg", "svm", "naive_bayes",
         "boosted_trees", "ordinal_regression", "tune_C", "grid_search_cv", "oof_assemble",
-        "cv_ensemble", "ordinal_ensemble", "model_persist",
+        "cv_ensemble", "ordinal_ensemble", "model_persist", "boosted_ensemble", "knn_index",
+        "ordinal_joint", "svm_rbf", "threshold_optimum_fine", "latent_embedding", "features_persist",
     }
 
 
