@@ -26,6 +26,7 @@ from .knn import knn_join
 CELLS = 32
 SAMPLE = 20_000  # different vectors that the centroids are fitted on
 BLOCK, GROUP = 1024, 256  # rows of a list, and queries, that meet in one step
+PAIRS = 32  # blocks with their queries that a Python worker gets at a time
 REFINE = 50
 
 
@@ -123,19 +124,28 @@ def candidates(index: Index, queries: DataFrame, probes: int, refine: int) -> Da
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for cell, q, x, r, codes in zip(*[batch.column(k).to_pylist() for k in range(5)]):
-                rows = centroids[cell] + np.frombuffer(b"".join(codes), np.int8).reshape(len(r), -1) * (scale / 127)
-                x = np.array(x)
+            for at in range(batch.num_rows):
+                cell = batch.column(0)[at].as_py()
+                q, x, r, codes = (batch.column(k)[at].values for k in range(1, 5))
+                rows = centroids[cell] + np.frombuffer(b"".join(codes.to_pylist()), np.int8).reshape(len(r), -1) * (scale / 127)
+                x = x.flatten().to_numpy(zero_copy_only=False).reshape(len(q), -1)
                 length = np.sqrt((x * x).sum(axis=1, keepdims=True))
                 far = 1 - (x / np.where(length > 0, length, 1.0)) @ rows.T
                 order = np.argsort(far, axis=1, kind="stable")[:, :refine]
                 yield pa.RecordBatch.from_arrays([
-                    pa.array([q[i] for i in range(len(q)) for _ in range(order.shape[1])], id_kind),
-                    pa.array([r[j] for j in order.ravel()], other_kind),
+                    q.take(pa.array(np.repeat(np.arange(len(q)), order.shape[1]))), r.take(pa.array(order.ravel())),
                     pa.array(np.take_along_axis(far, order, axis=1).ravel(), pa.float64())], schema=kind)
 
     ids = f"id {queries.schema['id'].dataType.simpleString()}, neighbour_id {index.lists.schema['id'].dataType.simpleString()}"
-    found = both.select("cell", "q", "x", "r", "codes").mapInArrow(compare, f"{ids}, near double")
+    # A row is a block of codes with a group of queries, some 200 KB. Spark's batch of 10,000 rows is made for narrow
+    # ones; the setting is lowered for this step alone, and bounds memory only.
+    spark, setting = queries.sparkSession, "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(setting)
+    spark.conf.set(setting, str(PAIRS))
+    try:
+        found = materialize(both.select("cell", "q", "x", "r", "codes").mapInArrow(compare, f"{ids}, near double"), "index-found")
+    finally:
+        spark.conf.set(setting, before)
     best = Window.partitionBy("id").orderBy("near", "neighbour_id")
     return found.withColumn("nr", F.row_number().over(best)).where(F.col("nr") <= refine).select("id", "neighbour_id")
 

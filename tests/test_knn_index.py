@@ -47,3 +47,18 @@ def test_all_lists_give_the_exact_neighbours(spark, monkeypatch):
 def test_empty_table(spark):
     df = spark.createDataFrame([], "id long, embedding array<double>")
     assert knn_index.search(knn_index.build(df), df, df).collect() == []
+
+
+def test_blocks_reach_python_a_few_at_a_time(spark, monkeypatch):
+    """A row is a block of codes with a group of queries; their number in a batch is bounded, the result is not touched."""
+    table = tables.vectors(spark, SMALL).select("id", "embedding")
+    index = knn_index.build(table, cells=4)
+    queries = table.where("id % 20 == 0")
+    setting = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before, used = spark.conf.get(setting), []
+    real = knn_index.materialize
+    monkeypatch.setattr(knn_index, "materialize", lambda df, name: (used.append((name, spark.conf.get(setting))), real(df, name))[1])
+    want = sorted(map(tuple, knn_index.candidates(index, queries, 4, 10).collect()))
+    assert ("index-found", str(knn_index.PAIRS)) in used and spark.conf.get(setting) == before
+    monkeypatch.setattr(knn_index, "PAIRS", 1)
+    assert sorted(map(tuple, knn_index.candidates(index, queries, 4, 10).collect())) == want
