@@ -5,7 +5,7 @@ that pass a kind's fixed rule (the *base* spans) always stay, and those that fai
 further patterns are scored by gradient-boosted trees on how the span is written and what stands around it,
 and are added above a threshold for each kind.
 
-The trees are fitted by Spark on the proposals of a bounded sample of different texts. A further proposal is
+The trees are fitted by Spark on the proposals of all different texts, each counted once. A further proposal is
 right if it lies over a base span of its own kind, wrong if over one of another kind, and otherwise by a rule
 of its own (``further_rule``): brackets or spelled words and a known ending for addresses, valid groups
 with a digit for IPv6, check digit and leading digit for cards, one separator or a bracketed prefix for
@@ -38,7 +38,6 @@ from .common import sampled_texts, whole
 KINDS = ("email", "ip", "card", "phone")
 MARK, OTHER = "\ue000", "\ue001"  # private characters; the first is replaced in texts by the second
 CONTEXT = 40
-SAMPLE = 20_000  # documents that hold a proposal
 PRECISION = 0.98
 LEAST_RIGHT = 20
 TREES, DEPTH = 8, 3
@@ -257,12 +256,13 @@ def _tree(node) -> tuple | float:
     return (FEATURES[split.featureIndex()], float(split.threshold()), _tree(node.leftChild()), _tree(node.rightChild()))
 
 
-def train(docs: DataFrame, *, text_col: str = "text", sample: int = SAMPLE) -> Model:
-    """Fit trees and thresholds on about ``sample`` different texts that hold a proposal."""
+def train(docs: DataFrame, *, text_col: str = "text", sample: int | None = None) -> Model:
+    """Fit trees and thresholds on all different texts that hold a proposal, or about ``sample`` of them."""
     text = F.col(f"`{text_col}`").cast("string")
     digit = text.rlike("[0-9]")
     any_hit = reduce(lambda a, b: a | b, [h(text, digit) for h in (*HOLDS.values(), *MORE_HOLDS.values())])
-    rows = sampled_texts(docs.where(any_hit).select(text.alias("text")), sample)
+    rows = docs.where(any_hit).select(text.alias("text"))
+    rows = rows.distinct() if sample is None else sampled_texts(rows, sample)
     found = proposals(rows, F.col("text")).select("row.text", "base", "more")
     found = found.withColumns({f"right_{n}": c for n, c in enumerate(by_kind(F.filter("base", lambda s: s["ok"])))})
     rights = [F.col(f"right_{n}") for n in range(len(KINDS))]

@@ -137,3 +137,18 @@ def test_very_many_candidates_end_soon(spark, learned):
 def test_empty_table(spark, odd):
     empty = odd.limit(0)
     assert pii.find(empty, pii.train(empty)).collect() == []
+
+
+def test_training_reads_every_text_that_holds_a_proposal(spark, monkeypatch):
+    """More texts than any sample had: all are labelled, copies once."""
+    class Seen(Exception):
+        pass
+
+    def stop(df, name):
+        raise Seen(name, df.count())
+
+    monkeypatch.setattr(pii, "materialize", stop)
+    docs = spark.range(25_000).select(F.concat(F.lit("write to a"), F.col("id").cast("string"), F.lit("@b.org")).alias("text"))
+    with pytest.raises(Seen) as seen:
+        pii.train(docs.unionAll(docs))
+    assert seen.value.args == ("proposals", 25_000)
