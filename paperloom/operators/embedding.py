@@ -21,6 +21,7 @@ from .stages import _WithParts
 
 EXTRA = 16
 MOST_TERMS = 100_000
+PART = 16_384  # entries that are multiplied with the block at a time
 
 
 def sparse_parts(vector: str) -> tuple[Column, Column]:
@@ -31,15 +32,29 @@ def sparse_parts(vector: str) -> tuple[Column, Column]:
     return F.coalesce(plain["indices"], dense), values
 
 
-def _products(at: pa.Array, values: pa.Array, block: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Row numbers, indices and values of the entries of a batch, and the rows times the block."""
-    sizes = np.diff(at.offsets.to_numpy())
-    rows = np.repeat(np.arange(len(at)), sizes)
-    index = at.flatten().to_numpy(zero_copy_only=False)
-    weight = values.flatten().to_numpy(zero_copy_only=False)
-    out = np.zeros((len(at), block.shape[1]))
-    np.add.at(out, rows, weight[:, None] * block[index])
-    return rows, index, weight, out
+def _sums_by(order: np.ndarray, entries: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The different numbers of ``order``, which is sorted, and the sum of the entries of each."""
+    first = np.flatnonzero(np.concatenate([[True], order[1:] != order[:-1]]))
+    return order[first], np.add.reduceat(entries, first)
+
+
+def _products(at: pa.Array, values: pa.Array, block: np.ndarray) -> Iterator[tuple[slice, np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+    """By parts of a batch: which rows, the rows, indices and values of their entries, and the rows times the block."""
+    ends = at.offsets.to_numpy() - at.offsets[0].as_py()
+    index_all = at.flatten().to_numpy(zero_copy_only=False)
+    weight_all = values.flatten().to_numpy(zero_copy_only=False)
+    start = 0
+    while start < len(at):
+        # One long row, or as many as fit the entries of a part.
+        stop = max(start + 1, int(np.searchsorted(ends, ends[start] + PART, "right")) - 1)
+        rows = np.repeat(np.arange(stop - start), np.diff(ends[start:stop + 1]))
+        index, weight = index_all[ends[start]:ends[stop]], weight_all[ends[start]:ends[stop]]
+        out = np.zeros((stop - start, block.shape[1]))
+        if len(rows):
+            used, sums = _sums_by(rows, weight[:, None] * block[index])
+            out[used] = sums
+        yield slice(start, stop), rows, index, weight, out
+        start = stop
 
 
 class LatentTerms(Estimator, _WithParts):
@@ -95,8 +110,10 @@ class LatentTerms(Estimator, _WithParts):
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             total = np.zeros_like(shared.value)
             for batch in batches:
-                row, index, weight, out = _products(batch.column(0), batch.column(1), shared.value)
-                np.add.at(total, index, weight[:, None] * out[row])
+                for _, row, index, weight, out in _products(batch.column(0), batch.column(1), shared.value):
+                    by_term = np.argsort(index, kind="stable")
+                    terms, sums = _sums_by(index[by_term], weight[by_term, None] * out[row[by_term]])
+                    total[terms] += sums
             used = np.flatnonzero(np.abs(total).sum(axis=1))
             for start in range(0, len(used), 1000):
                 part = used[start:start + 1000]
@@ -136,9 +153,9 @@ class LatentTermsModel(Model, _WithParts):
         def run(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
             for at, values in batches:
                 out = np.zeros((len(at), size))
-                if len(shared.value) and len(at):
-                    known = _products(at, values, shared.value)[-1]
-                    out[:, :known.shape[1]] = known
+                if len(shared.value):
+                    for part, *_, known in _products(at, values, shared.value):
+                        out[part, :known.shape[1]] = known
                 length = np.sqrt((out * out).sum(axis=1, keepdims=True))
                 out /= np.where(length > 0, length, 1.0)
                 yield pa.array(out.tolist(), pa.list_(pa.float64()))

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from ..functions import text as T
 from ..functions.stopwords import english_stop_words
 from ..operators import embedding, stages, terms
+from ..session import materialize
 from ..sources import io, tables
 from . import sql as Q
 from .registry import query
@@ -161,8 +162,10 @@ def _latent(spark, sf):
     """Vectors of the abstracts, learned from their TF-IDF weights."""
     papers = terms.spread(tables.paper_texts(spark, sf).select("id", "abstract"))
     block = stages.TfidfBlock(inputCol="abstract", outputCol="weights", maxFeatures=8000, stopWords=list(english_stop_words()))
-    weighted = block.fit(papers).transform(papers).select("id", "weights")
-    return embedding.LatentTerms("weights", steps=12, tolerance=1e-4).fit(weighted).transform(weighted).select("id", "embedding")
+    # The fit and the transform both read the weights, which cost more than the steps; they are found once.
+    weighted = materialize(block.fit(papers).transform(papers).select("id", "weights"), "weights")
+    found = embedding.LatentTerms("weights", steps=12, tolerance=1e-4).fit(weighted).transform(weighted)
+    return materialize(found.select("id", "embedding"), "vectors")
 
 
 @query("latent_embedding")

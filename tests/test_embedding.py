@@ -52,3 +52,19 @@ def test_an_unbounded_vocabulary_is_refused(spark):
     df = spark.createDataFrame([(1, SparseVector(200_000, [5], [1.0]))], SCHEMA)
     with pytest.raises(ValueError, match="limit the vocabulary"):
         embedding.LatentTerms("v").fit(df)
+
+
+def test_parts_of_a_batch_add_up(spark, table, monkeypatch):
+    """Rows are multiplied in parts of bounded size; a long row is a part of its own, and empty rows are kept."""
+    import pyarrow as pa
+
+    lists = [np.flatnonzero(r) for r in table]
+    at = pa.array([[99], *[x.tolist() for x in lists]], pa.list_(pa.int32()))[1:]
+    values = pa.array([[9.0], *[r[r != 0].tolist() for r in table]], pa.list_(pa.float64()))[1:]
+    block = np.random.default_rng(1).random((30, 4))
+    for part in (1, 7, 1000):
+        monkeypatch.setattr(embedding, "PART", part)
+        found = list(embedding._products(at, values, block))
+        assert np.allclose(np.vstack([x[-1] for x in found]), table @ block)
+        assert [x[0].start for x in found[1:]] == [x[0].stop for x in found[:-1]] and found[-1][0].stop == 60
+    assert part == 1000 and len(found) == 1
