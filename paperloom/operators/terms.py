@@ -120,6 +120,8 @@ def tfidf(train: DataFrame, text: Column | str, *, test: DataFrame | None = None
 def tfidf_blocks(df: DataFrame, stop_words: Sequence[str], title_features: int = 3000,
                  abstract_features: int = 8000, author_features: int = 1500) -> DataFrame:
     """``block, id, term, weight``: the title, abstract and author blocks side by side."""
+    # Each block passes over the records twice; the joins behind them run once.
+    df = materialize(df.select("id", "title", "abstract", "authors"), "blocks")
     common = {"stop_words": stop_words, "min_df": 2, "max_df": 0.9}
     blocks = {
         "title": tfidf(df, "title", max_features=title_features, **common),

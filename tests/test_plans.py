@@ -59,6 +59,11 @@ def test_weights_of_a_limited_vocabulary_are_not_shuffled(spark):
     assert "hashpartitioning(id" not in text and "Window" not in text
 
 
+def test_the_joins_behind_the_papers_run_once(spark):
+    for name in ("tfidf_concat", "features_persist"):
+        assert "l_suppkey" not in plan_of(REGISTRY[name].run(spark, SMALL)), name
+
+
 def test_duplicates_are_counted_in_one_scan(spark):
     text = plan_of(REGISTRY["dup_count"].run(spark, SMALL)).split("== Initial Plan ==")[-1]
     assert text.count("FileScan") == 1
