@@ -2,31 +2,35 @@
 
 Every round grows one tree per label from the gradients of the joint loss. Rows are cut into bins of
 each feature once and written. A level of the trees is one job: each task sums gradients, curvatures
-and rows by (label, node, feature, bin), one shuffle brings the sums of a (label, node, feature) together,
+and rows by (label, node, feature, bin), one shuffle brings the sums of a (label, node, feature), one row for all bins, together,
 and the best split of each node is chosen from running totals over the bins. Only splits, at most one per
 node and task, come to the driver. Growth is best first: the splits of all levels are known, and those with the highest gain are
 kept until the tree has its number of leaves.
 
 Margins are written again every ``CHECKPOINT`` rounds, so that neither the plan nor the number of trees
-that a task applies grows, and a lost executor costs one level.
+that a task applies grows, and a lost executor costs one level. The margins before are then deleted.
+
+Several boosters, such as those of the folds, grow side by side: a level of all their trees is one job.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from multiprocessing.pool import ThreadPool
 
 import numpy as np
 import pyarrow as pa
+from pyspark import inheritable_thread_target
 from pyspark.ml import Estimator, Model
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..functions.vectors import argmax_label
-from ..session import materialize
+from ..session import remove, scratch_path
 from .stages import _WithParts
 
-CHECKPOINT = 25
+CHECKPOINT = 5
 BINS = 64
 ACCURACY = 10_000
 
@@ -106,13 +110,22 @@ def uniform(numbers: np.ndarray, seed: int) -> np.ndarray:
     return (x >> np.uint64(11)).astype(np.float64) / 2.0 ** 53
 
 
-STATE = "nr long, bins binary, target int, weight double, held boolean, margins array<double>"
+STATE = "nr long, bins binary, target int, weight double, held boolean, margins array<double>, model int"
 STATE_KIND = pa.schema([("nr", pa.int64()), ("bins", pa.binary()), ("target", pa.int32()), ("weight", pa.float64()),
-                        ("held", pa.bool_()), ("margins", pa.list_(pa.float64()))])
-SUMS = "label int, node int, feature int, bin int, g double, h double, n long"
-SUMS_KIND = pa.schema([("label", pa.int32()), ("node", pa.int32()), ("feature", pa.int32()), ("bin", pa.int32()),
-                       ("g", pa.float64()), ("h", pa.float64()), ("n", pa.int64())])
-LOSS = -1  # the label under which the losses travel; node 0 has the fitted rows, 1 the held ones
+                        ("held", pa.bool_()), ("margins", pa.list_(pa.float64())), ("model", pa.int32())])
+SUMS = "label int, node int, feature int, sums binary"  # gradients, curvatures and rows by bin
+SUMS_KIND = pa.schema([("label", pa.int32()), ("node", pa.int32()), ("feature", pa.int32()), ("sums", pa.binary())])
+LOSS = -1  # the label under which the losses travel; node 2 m has the fitted rows of model m, 2 m + 1 the held ones
+
+
+@dataclass
+class Growth:
+    """A booster in the making: trees that its margins do not hold yet, and those that grow now."""
+
+    fit: Fit
+    pending: list[list[Tree]] = field(default_factory=list)
+    trees: list[Tree] = field(default_factory=list)
+    splits: list[dict] = field(default_factory=list)
 
 
 def _columns(batch: pa.RecordBatch, width: int, labels: int):
@@ -129,50 +142,68 @@ def _applied(bins: np.ndarray, margins: np.ndarray, rounds: list[list[Tree]], de
     return margins
 
 
-def _level_sums(state: DataFrame, s: Settings, width: int, pending: list[list[Tree]], trees: list[Tree], level: int,
+def _by_model(batch: pa.RecordBatch) -> Iterator[tuple[int, pa.RecordBatch]]:
+    models = batch.column(6).to_numpy()
+    for m in np.unique(models).tolist():
+        yield m, batch.filter(pa.array(models == m))
+
+
+def _level_sums(state: DataFrame, s: Settings, width: int, growing: dict[int, Growth], level: int,
                 number: int, allowed: list[np.ndarray]) -> DataFrame:
-    """Sums by (label, node, feature, bin) over the nodes of one level of the trees in growth."""
+    """Sums by (label, node, feature) and bin over the nodes of one level of the trees in growth.
+
+    Label k of model m is number ``m * labels + k``.
+    """
     first = 2 ** level - 1
+    shared = {m: (g.pending, g.trees) for m, g in growing.items()}
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        size = 2 ** level * width * s.bins
-        sums = np.zeros((s.labels, 3, size))
-        losses = np.zeros((2, 2))
-        seen = False
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            seen = True
+        sums: dict[int, list[np.ndarray]] = {}
+        losses: dict[int, np.ndarray] = {}
+
+        def add(m: int, batch: pa.RecordBatch) -> None:
+            pending, trees = shared[m]
+            if m not in sums:
+                sums[m] = [np.zeros((3, 2 ** level * len(a) * s.bins)) for a in allowed]
+                losses[m] = np.zeros((2, 2))
+            held = batch.column(4).to_numpy(zero_copy_only=False).astype(bool)
+            fitted = ~held & (uniform(batch.column(0).to_numpy(), s.seed * 1000 + number) < s.rows)
+            if level:  # the losses need all rows, the sums those that are drawn
+                batch, held, fitted = batch.filter(pa.array(fitted)), held[fitted], fitted[fitted]
             bins, margins = _columns(batch, width, s.labels)
             chance = softmax(_applied(bins, margins, pending, s.depth))
             target = batch.column(2).to_numpy(zero_copy_only=False)
             weight = batch.column(3).to_numpy(zero_copy_only=False)
-            held = batch.column(4).to_numpy(zero_copy_only=False).astype(bool)
             if level == 0:
                 loss = -np.log(np.maximum(chance[np.arange(len(target)), target], 1e-300)) * weight
                 for side, chosen in enumerate((~held, held)):
-                    losses[side] += loss[chosen].sum(), weight[chosen].sum()
-            fitted = ~held & (uniform(batch.column(0).to_numpy(), s.seed * 1000 + number) < s.rows)
+                    losses[m][side] += loss[chosen].sum(), weight[chosen].sum()
             bins, chance, target, weight = bins[fitted], chance[fitted], target[fitted], weight[fitted]
             for k in range(s.labels):
                 node = trees[k].leaves(bins, trees[k].cut, level) - first
                 used = node >= 0
-                p = chance[used, k]
-                at = (node[used, None] * width + np.arange(width)) * s.bins + bins[used]
+                p, n = chance[used, k], len(allowed[k])
+                at = ((node[used, None] * n + np.arange(n)) * s.bins + bins[used][:, allowed[k]]).ravel()
+                size = sums[m][k].shape[1]
                 for j, value in enumerate((weight[used] * (p - (target[used] == k)), weight[used] * p * (1 - p), None)):
-                    spread = None if value is None else np.repeat(value, width)
-                    sums[k, j] += np.bincount(at.ravel(), spread, size)
-        if seen:
+                    sums[m][k][j] += np.bincount(at, None if value is None else np.repeat(value, n), size)
+
+        for batch in batches:
+            for m, part in _by_model(batch):
+                if m in shared:
+                    add(m, part)
+        for m in sums:
             if level == 0:
+                sides = np.zeros((2, 3, s.bins))
+                sides[:, :2, 0] = losses[m]
                 yield pa.RecordBatch.from_arrays([pa.array(x, f.type) for x, f in zip(
-                    ([LOSS] * 2, [0, 1], [0, 0], [0, 0], losses[:, 0], losses[:, 1], [1, 1]), SUMS_KIND)], schema=SUMS_KIND)
+                    ([LOSS] * 2, [2 * m, 2 * m + 1], [0, 0], [x.tobytes() for x in sides]), SUMS_KIND)], schema=SUMS_KIND)
             for k in range(s.labels):
-                at = np.flatnonzero(sums[k, 2])
-                feature = at // s.bins % width
-                at = at[np.isin(feature, allowed[k])]
-                parts = ([k] * len(at), at // s.bins // width + first, at // s.bins % width, at % s.bins, sums[k, 0][at], sums[k, 1][at],
-                         sums[k, 2][at].astype(np.int64))
-                yield pa.RecordBatch.from_arrays([pa.array(np.asarray(x), f.type) for x, f in zip(parts, SUMS_KIND)], schema=SUMS_KIND)
+                cells = sums[m][k].reshape(3, -1, s.bins)
+                at = np.flatnonzero(cells[2].any(axis=1))
+                parts = (np.full(len(at), m * s.labels + k), at // len(allowed[k]) + first, allowed[k][at % len(allowed[k])],
+                         [cells[:, c].tobytes() for c in at])
+                yield pa.RecordBatch.from_arrays([pa.array(x, f.type) for x, f in zip(parts, SUMS_KIND)], schema=SUMS_KIND)
 
     return state.mapInArrow(run, SUMS)
 
@@ -182,32 +213,21 @@ SPLIT = pa.schema([("label", pa.int32()), ("node", pa.int32()), ("feature", pa.i
 SPLIT_DDL = "label int, node int, feature int, bin int, gain double, gl double, hl double, ga double, ha double"
 
 
-def best_of(key: np.ndarray, bins: np.ndarray, g: np.ndarray, h: np.ndarray, n: np.ndarray, s: Settings):
-    """For each key (sorted, with its bins in order) the place of its best split, and gain, sums to the left and of all."""
-    first = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
-    size = np.diff(np.append(first, len(key)))
-
-    def running(x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        total = np.repeat(np.add.reduceat(x, first), size)
-        # By rank within the key, so that no sum runs over from one key to the next.
-        out = x.copy()
-        for rank in range(1, int(size.max())):
-            at = first[size > rank] + rank
-            out[at] += out[at - 1]
-        return out, total
-
-    (gl, ga), (hl, ha), (nl, na) = running(g), running(h), running(n)
+def best_of(sums: np.ndarray, s: Settings):
+    """For each cell of ``sums`` (cell, kind, bin) the last bin to the left of its best split, and gain, sums to the left and of all."""
+    gl, hl, nl = (sums[:, j].cumsum(axis=1) for j in range(3))
+    ga, ha, na = (x[:, -1:] for x in (gl, hl, nl))
     gr, hr, nr = ga - gl, ha - hl, na - nl
 
     def gain(x, y):
-        return x * x / (y + s.penalty)
+        return x * x / np.where(y + s.penalty == 0, np.inf, y + s.penalty)
 
     value = np.round(gain(gl, hl) + gain(gr, hr) - gain(ga, ha), 9)
     fits = (nl >= s.least_rows) & (nr >= s.least_rows) & (hl >= s.least_curvature) & (hr >= s.least_curvature) & (value > 0)
     value = np.where(fits, value, -np.inf)
-    order = np.lexsort((bins, -value, key))
-    best = order[first]
-    return best, value[best], gl[best], hl[best], ga[best], ha[best]
+    best = value.argmax(axis=1)  # of equal ones the first
+    at = np.arange(len(sums)), best
+    return best, value[at], gl[at], hl[at], ga[:, 0], ha[:, 0]
 
 
 def _best_splits(sums: DataFrame, s: Settings) -> list[dict]:
@@ -217,26 +237,22 @@ def _best_splits(sums: DataFrame, s: Settings) -> list[dict]:
     feature) meet in one task, which returns its best split of each node.
     """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = pa.Table.from_batches(list(batches), schema=SUMS_KIND)
-        if not table.num_rows:
+        added: dict[tuple[int, int, int], np.ndarray] = {}
+        for batch in batches:
+            label, node, feature = (c.to_pylist() for c in batch.columns[:3])
+            for key, packed in zip(zip(label, node, feature), batch.column(3)):
+                part = np.frombuffer(packed.as_buffer(), np.float64).reshape(3, s.bins)
+                added[key] = added[key] + part if key in added else part
+        if not added:
             return
-        label, node, feature, bins, g, h, n = (c.to_numpy() for c in table.columns)
-        order = np.lexsort((bins, feature, node, label))
-        label, node, feature, bins, g, h, n = (x[order] for x in (label, node, feature, bins, g, h, n))
-        cell = (label.astype(np.int64) + 1 << 32 | node) * (1 << 24) + feature  # in the same order
-        new = np.concatenate([[True], (cell[1:] != cell[:-1]) | (bins[1:] != bins[:-1])])
-        at = np.flatnonzero(new)
-        label, node, feature, bins, cell = (x[at] for x in (label, node, feature, bins, cell))
-        g, h, n = (np.add.reduceat(x, at) for x in (g, h, n))
-        loss = label == LOSS
-        rows = [(int(LOSS), int(k), 0, 0, 0.0, 0.0, 0.0, float(a), float(b)) for k, a, b in zip(node[loss], g[loss], h[loss])]
-        label, node, feature, bins, cell, g, h, n = (x[~loss] for x in (label, node, feature, bins, cell, g, h, n))
-        if len(cell):
-            best, *values = best_of(cell, bins, g, h, n, s)
+        rows = [(*key, 0, 0.0, 0.0, 0.0, x[0, 0], x[1, 0]) for key, x in added.items() if key[0] == LOSS]
+        keys = sorted(key for key in added if key[0] != LOSS)
+        if keys:
+            best = best_of(np.stack([added[key] for key in keys]), s)
             found: dict[tuple, tuple] = {}
-            for row in zip(label[best].tolist(), node[best].tolist(), feature[best].tolist(), bins[best].tolist(), *[v.tolist() for v in values]):
-                if row[4] > 0 and (row[:2] not in found or row[4] > found[row[:2]][4]):
-                    found[row[:2]] = row
+            for (label, node, feature), row in zip(keys, zip(*[v.tolist() for v in best])):
+                if row[1] > 0 and ((label, node) not in found or row[1] > found[label, node][4]):
+                    found[label, node] = (label, node, feature, *row)
             rows += found.values()
         yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), SPLIT)] if rows
                                          else [pa.array([], f.type) for f in SPLIT], schema=SPLIT)
@@ -266,11 +282,9 @@ def _best_first(tree: Tree, splits: dict[int, object], s: Settings) -> None:
             tree.value[child] = -s.rate * g / (h + s.penalty)
 
 
-def fit_trees(df: DataFrame, s: Settings, *, features: str = "features", target: str = "target",
-              weight: str | None = None, held: str | None = None) -> Fit:
-    """Boost until the rounds are used up or the loss of the held rows has not fallen for ``patience`` rounds."""
-    if s.bins > 256:
-        raise ValueError("at most 256 bins")
+def _start(df: DataFrame, s: Settings, model: int, features: str, target: str, weight: str | None,
+           held: str | None) -> tuple[Fit, str]:
+    """Bins and first margins of one booster, and where its rows are written."""
     rows = df.select(
         F.monotonically_increasing_id().alias("nr"), F.col(features).alias("v"), F.col(target).cast("int").alias("target"),
         (F.col(weight) if weight else F.lit(1.0)).cast("double").alias("weight"),
@@ -281,7 +295,6 @@ def fit_trees(df: DataFrame, s: Settings, *, features: str = "features", target:
         raise ValueError("no rows to fit")
     share = np.array([counts.get(k, 0.0) for k in range(s.labels)]) / sum(counts.values())
     result = Fit(borders, np.log(np.maximum(share, 1e-6)))
-    width = len(borders)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -289,53 +302,103 @@ def fit_trees(df: DataFrame, s: Settings, *, features: str = "features", target:
             values = batch.column(1).flatten().to_numpy(zero_copy_only=False).reshape(n, -1)
             bins = np.column_stack([np.searchsorted(b, values[:, k]) for k, b in enumerate(borders)]).astype(np.uint8)
             margins = [result.base.tolist()] * n
-            arrays = [batch.column(0), [b.tobytes() for b in bins], *[batch.column(i) for i in (2, 3, 4)], margins]
+            arrays = [batch.column(0), [b.tobytes() for b in bins], *[batch.column(i) for i in (2, 3, 4)], margins, [model] * n]
             yield pa.RecordBatch.from_arrays([pa.array(x, f.type) if isinstance(x, list) else x.cast(f.type)
                                               for x, f in zip(arrays, STATE_KIND)], schema=STATE_KIND)
 
-    def forward(rounds: list[list[Tree]]):
-        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for batch in batches:
-                if batch.num_rows:
-                    bins, margins = _columns(batch, width, s.labels)
-                    margins = _applied(bins, margins, rounds, s.depth)
-                    yield batch.set_column(5, STATE_KIND.field(5), pa.array(margins.tolist(), STATE_KIND.field(5).type))
-        return run
-
-    state = materialize(rows.withColumn("v", vector_to_array("v")).mapInArrow(cut, STATE), "boosting-0")
-    pending: list[list[Tree]] = []
-    best_loss = np.inf
+    path = scratch_path(df.sparkSession, f"boosting-0-{model}")
+    rows.withColumn("v", vector_to_array("v")).mapInArrow(cut, STATE).write.parquet(path)
+    return result, path
+
+
+def _forward(state: DataFrame, s: Settings, width: int, growing: dict[int, Growth]) -> DataFrame:
+    """The rows of the boosters that still grow, their margins with the pending trees."""
+    shared = {m: g.pending for m, g in growing.items()}
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for m, part in _by_model(batch):
+                if m in shared:
+                    bins, margins = _columns(part, width, s.labels)
+                    margins = _applied(bins, margins, shared[m], s.depth)
+                    yield part.set_column(5, STATE_KIND.field(5), pa.array(margins.tolist(), STATE_KIND.field(5).type))
+
+    return state.mapInArrow(run, STATE)
+
+
+def fit_side_by_side(frames: list[DataFrame], s: Settings, *, features: str = "features", target: str = "target",
+                     weight: str | None = None, held: str | None = None) -> list[Fit]:
+    """A booster for each frame, all by the same settings and each stopped by its own losses.
+
+    Boosts until the rounds are used up or the loss of the held rows has not fallen for ``patience`` rounds.
+    """
+    if s.bins > 256:
+        raise ValueError("at most 256 bins")
+    spark = frames[0].sparkSession
+
+    def start(m: int) -> tuple[Fit, str]:
+        return _start(frames[m], s, m, features, target, weight, held)
+
+    with ThreadPool(len(frames)) as pool:
+        started = pool.map(inheritable_thread_target(spark)(start), range(len(frames)))
+    fits = [fit for fit, _ in started]
+    paths = [path for _, path in started]
+    width = len(fits[0].borders)
+    state = spark.read.schema(STATE).parquet(*paths)
+    growing = {m: Growth(fit) for m, fit in enumerate(fits)}
+    best_loss = [np.inf] * len(fits)
     for number in range(s.rounds + 1):
-        if len(pending) == CHECKPOINT:
-            state, pending = materialize(state.mapInArrow(forward(pending), STATE), f"boosting-{number}"), []
+        if number and number % CHECKPOINT == 0:
+            path = scratch_path(spark, f"boosting-{number}")
+            _forward(state, s, width, growing).write.parquet(path)
+            state = spark.read.schema(STATE).parquet(path)
+            for old in paths:
+                remove(spark, old)
+            paths = [path]
+            for growth in growing.values():
+                growth.pending = []
         rng = np.random.default_rng([s.seed, number])
         kept = max(1, round(s.columns * width))
         allowed = [np.sort(rng.choice(width, kept, replace=False)) for _ in range(s.labels)]
-        trees = [Tree.of_depth(s.depth) for _ in range(s.labels)]
-        splits: list[dict] = [{} for _ in range(s.labels)]
+        for growth in growing.values():
+            growth.trees = [Tree.of_depth(s.depth) for _ in range(s.labels)]
+            growth.splits = [{} for _ in range(s.labels)]
         for level in range(s.depth):
-            found = _best_splits(_level_sums(state, s, width, pending, trees, level, number, allowed), s)
-            for r in found:
-                if r["label"] == LOSS:
-                    continue
-                splits[r["label"]][r["node"]] = r
-                trees[r["label"]].feature[r["node"]], trees[r["label"]].cut[r["node"]] = r["feature"], r["bin"]
+            found = _best_splits(_level_sums(state, s, width, growing, level, number, allowed), s)
             if level == 0:
                 sides = {r["node"]: r["ga"] / r["ha"] if r["ha"] else np.nan for r in found if r["label"] == LOSS}
-                result.losses.append((sides.get(0, np.nan), sides.get(1, np.nan)))
-                watched = result.losses[-1][1 if held else 0]
-                if not watched >= best_loss:
-                    best_loss, result.best = watched, number
-                if number == s.rounds or number - result.best >= s.patience:
-                    result.rounds = result.rounds[:result.best]
-                    return result
-            if len(found) == (2 if level == 0 else 0):
+                for m, growth in list(growing.items()):
+                    fit = growth.fit
+                    fit.losses.append((sides.get(2 * m, np.nan), sides.get(2 * m + 1, np.nan)))
+                    watched = fit.losses[-1][1 if held else 0]
+                    if not watched >= best_loss[m]:
+                        best_loss[m], fit.best = watched, number
+                    if number == s.rounds or number - fit.best >= s.patience:
+                        fit.rounds = fit.rounds[:fit.best]
+                        del growing[m]
+                if not growing:
+                    for path in paths:
+                        remove(spark, path)
+                    return fits
+            split = False
+            for r in found:
+                m, k = divmod(r["label"], s.labels)
+                if m in growing:
+                    split = True
+                    growing[m].splits[k][r["node"]] = r
+                    growing[m].trees[k].feature[r["node"]], growing[m].trees[k].cut[r["node"]] = r["feature"], r["bin"]
+            if not split:
                 break  # no node can be split
-        for tree, known in zip(trees, splits):
-            _best_first(tree, known, s)
-        result.rounds.append(trees)
-        pending.append(trees)
-    return result
+        for growth in growing.values():
+            for tree, known in zip(growth.trees, growth.splits):
+                _best_first(tree, known, s)
+            growth.fit.rounds.append(growth.trees)
+            growth.pending.append(growth.trees)
+    return fits
+
+
+def fit_trees(df: DataFrame, s: Settings, **options) -> Fit:
+    return fit_side_by_side([df], s, **options)[0]
 
 
 class SoftmaxTrees(Estimator, _WithParts):
@@ -356,7 +419,13 @@ class SoftmaxTrees(Estimator, _WithParts):
         return cls(Settings(**settings["chosen"]), settings["held"], settings["weight"])
 
     def _fit(self, df: DataFrame) -> SoftmaxTreesModel:
-        fit = fit_trees(df, self.chosen, held=self.held, weight=self.weight)
+        return self._model(fit_trees(df, self.chosen, held=self.held, weight=self.weight))
+
+    def fit_side_by_side(self, frames: list[DataFrame]) -> list[SoftmaxTreesModel]:
+        """One model for each frame, grown together: as many jobs as the longest of them needs alone."""
+        return [self._model(f) for f in fit_side_by_side(frames, self.chosen, held=self.held, weight=self.weight)]
+
+    def _model(self, fit: Fit) -> SoftmaxTreesModel:
         cuts = [[np.array([fit.borders[f][c] if f >= 0 and c < len(fit.borders[f]) else np.inf for f, c in zip(t.feature, t.cut)])
                  for t in trees] for trees in fit.rounds]
         model = SoftmaxTreesModel(fit.rounds, cuts, fit.base, self.chosen.depth)

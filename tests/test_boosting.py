@@ -125,3 +125,29 @@ def test_margins_are_carried_over_checkpoints(spark, data, monkeypatch):
 def test_no_rows(spark, data):
     with pytest.raises(ValueError, match="no rows"):
         boosting.SoftmaxTrees(boosting.Settings(rounds=1)).fit(frame(spark, *data).where("id < 0"))
+
+
+def test_folds_grow_side_by_side(spark, data, monkeypatch):
+    """The trees of all models share the jobs, and each model is what it is alone."""
+    x, y = data
+    frames = [frame(spark, x, y, held=np.arange(len(y)) % 3 == k) for k in range(2)]
+    settings = boosting.Settings(rounds=6, depth=2, rate=0.3, patience=2, **PLAIN)
+    estimator = boosting.SoftmaxTrees(settings, held="held")
+    jobs, plain = [], boosting._best_splits
+    monkeypatch.setattr(boosting, "_best_splits", lambda *a: jobs.append(1) or plain(*a))
+    both = estimator.fit_side_by_side(frames)
+    together = len(jobs)
+    alone = [estimator.fit(f) for f in frames]
+    assert together <= 2 * 6 + 1 and together < len(jobs) - together
+    for one, other in zip(both, alone):
+        assert np.allclose(one.losses, other.losses) and len(one.rounds) == len(other.rounds)
+
+
+def test_sums_of_a_level_are_one_row_a_cell(spark, data):
+    """What is shuffled does not grow with the number of bins."""
+    x, y = data
+    s = boosting.Settings(rounds=1, depth=1, **PLAIN)
+    _, path = boosting._start(frame(spark, x, y), s, 0, "features", "target", None, None)
+    growth = boosting.Growth(boosting.Fit([[]] * 4, np.zeros(5)), [], [boosting.Tree.of_depth(1) for _ in range(5)])
+    sums = boosting._level_sums(spark.read.schema(boosting.STATE).parquet(path).coalesce(1), s, 4, {0: growth}, 0, 0, [np.arange(4)] * 5)
+    assert sums.count() == 2 + 5 * 4
