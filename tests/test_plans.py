@@ -64,6 +64,22 @@ def test_the_joins_behind_the_papers_run_once(spark):
         assert "l_suppkey" not in plan_of(REGISTRY[name].run(spark, SMALL)), name
 
 
+def test_only_orders_of_documents_are_grouped(spark):
+    for name in ("parse_openalex", "priority_fallback", "batch_enrich", "title_recovery", "clean_records"):
+        assert "LeftSemi" in plan_of(REGISTRY[name].run(spark, SMALL)), name
+
+
+def test_authors_of_wanted_orders(spark, tmp_path):
+    lines = [(1, 7), (1, 5), (1, 7), (2, 5), (3, 9), (None, 5), (4, None)]
+    names = [(5, "E"), (7, "G"), (9, "I")]
+    for table, rows in (("lineitem", [(*r, None) for r in lines]), ("supplier", [(*r, None, None) for r in names])):
+        spark.createDataFrame(rows, io.TABLES[table]).write.parquet(str(tmp_path / f"{table}.parquet"))
+    wanted = spark.createDataFrame([(1,), (1,), (3,), (4,), (None,)], "id long")
+    every, some = (tables.authors_by_order(spark, str(tmp_path), w).collect() for w in (None, wanted))
+    assert sorted(r for r in some) == sorted(r for r in every if r["id"] in (1, 3, 4))
+    assert sorted((r["id"], r["authors"]) for r in some) == [(1, "E, G"), (3, "I")]
+
+
 def test_duplicates_are_counted_in_one_scan(spark):
     text = plan_of(REGISTRY["dup_count"].run(spark, SMALL)).split("== Initial Plan ==")[-1]
     assert text.count("FileScan") == 1
