@@ -42,7 +42,7 @@ CHECKSUM_FLAG = 0x80
 
 END_ID = 2
 FILE_BYTES = 64 << 20  # of token ids before compression; a longer document fills one file
-CACHE_UNITS = 200_000
+CACHE_UNITS = 500_000
 
 # What counts as white space for the tokenizer.
 BLANK = ("\t\n\x0b\x0c\r \x85\xa0\u1680" + "".join(map(chr, range(0x2000, 0x200B)))

@@ -96,3 +96,11 @@ def test_paths_without_a_scheme_follow_the_default_file_system(spark):
         assert token_files.shared_uri(spark, "file:/tmp/x") == "file:///tmp/x"
     finally:
         conf.set("fs.defaultFS", before)
+
+
+def test_many_different_words_are_kept():
+    """A vocabulary of 400,000 different words is learned once, not again in every slice."""
+    many = token_files.CachedTokenizer(vocabulary())
+    many.new = {f"word{k}": b"" for k in range(400_000)}
+    many.encode(["another text"])
+    assert len(many.new) > 400_000 and not many.old
