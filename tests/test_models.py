@@ -2,14 +2,17 @@
 
 from __future__ import annotations
 
+import numpy as np
 import pytest
 from conftest import SMALL
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.functions import vector_to_array
+from pyspark.ml.classification import LinearSVC
+from pyspark.ml.feature import VectorSlicer
+from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import functions as F
 
 from paperloom.functions.stopwords import english_stop_words
-from paperloom.operators import evaluate, metadata, models, stages, terms
+from paperloom.operators import evaluate, margins, metadata, models, stages, terms
 from paperloom.plans import REGISTRY
 from paperloom.session import scratch_path
 from paperloom.sources import io, tables
@@ -82,6 +85,32 @@ def test_grid_search(spark):
     assert models.predict(model, clustered(spark)).count() == 250
 
 
+def test_classifiers_fitted_side_by_side_equal_single_fits(spark):
+    """The same weights as one fit each, to nine digits, in two groups, with a label that one of them lacks."""
+    rows = models.weighted(clustered(spark)).withColumn("pca", F.col("features"))
+    groups = {0: rows.cache(), 1: rows.where((F.col("target") != 1) & (F.col("id") % 3 > 0)).cache()}
+    points = [margins.Point(0, 2, 0.01), margins.Point(1, 3, 0.1)]
+    found = margins.fit_side_by_side(groups, points, 12)
+    for point, weights in zip(points, found):
+        cut = VectorSlicer(inputCol="pca", outputCol="used", indices=list(range(point.size))).transform(groups[point.group].coalesce(1))
+        assert len(weights) == 5 and not weights[:, point.size:-1].any()
+        for label, w in enumerate(weights):
+            if label not in (0, 3):
+                continue
+            one = LinearSVC(regParam=point.penalty, maxIter=12, standardization=False, featuresCol="used", labelCol="y", weightCol="weight")
+            single = one.fit(cut.withColumn("y", (F.col("target") == label).cast("double")))
+            assert list(w[:point.size]) == pytest.approx(list(single.coefficients.toArray()), rel=1e-6, abs=1e-8)
+            assert w[-1] == pytest.approx(single.intercept, rel=1e-6, abs=1e-8)
+
+
+def test_predictions_of_all_points_are_those_of_the_first_largest_margin(spark):
+    rows = spark.createDataFrame([(1, [1.0, 0.0]), (2, [0.0, 1.0]), (3, [0.0, 0.0])], "label int, x array<double>")
+    rows = rows.select("label", array_to_vector("x").alias("pca"))
+    weights = [np.array([[1.0, 0.0, 0.0], [0.0, 1.0, 0.0]]), np.array([[0.0, 0.0, 0.0], [0.0, 0.0, 1.0]])]
+    got = {(r["label"], r["point"]): r["prediction"] for r in margins.predictions(rows, weights).collect()}
+    assert got == {(1, 0): 1, (2, 0): 2, (3, 0): 1, (1, 1): 2, (2, 1): 2, (3, 1): 2}
+
+
 def test_tfidf_stage_equals_the_table_form(spark):
     papers = tables.paper_texts(spark, SMALL)
     stop = english_stop_words()
