@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.ml.feature import CountVectorizerModel
+from pyspark.ml.feature import CountVectorizerModel, ElementwiseProduct, Normalizer
+from pyspark.ml.linalg import Vectors
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions import text as T
@@ -77,21 +78,73 @@ def normalise(weights: DataFrame) -> DataFrame:
     return weights.select("id", "term", (F.col("raw") / norm).alias("weight"))
 
 
+def _idf(n_docs: int, df: Column) -> Column:
+    return F.log((1 + F.lit(n_docs)) / (1 + df)) + 1
+
+
+def _marks(term: Column | str) -> list[Column]:
+    """A term in 128 bits: two hashes with different seeds."""
+    return [F.xxhash64(term).alias("m1"), F.xxhash64(F.lit(1), term).alias("m2")]
+
+
+def counted_marks(train: DataFrame, text: Column | str, terms: Column, with_tf: bool = True) -> DataFrame:
+    """``m1, m2, df, tf, at``: records and occurrences per term, and the hash of a text that holds it.
+
+    Keys and sums have a fixed width, which is several times faster to group than texts, and nothing is sorted within
+    the record: each term is listed once for every occurrence and once more for the record.
+    """
+    rows = train.select(terms.alias("_terms"), F.xxhash64(text).alias("at"))
+    once = F.array_distinct("_terms")
+    if not with_tf:
+        listed = rows.select("at", F.explode(once).alias("term"))
+        return listed.groupBy(*_marks("term")).agg(F.count("*").alias("df"), F.max("at").alias("at"))
+    listed = rows.select("at", F.size("_terms").alias("n"), F.posexplode(F.concat("_terms", once)).alias("k", "term"))
+    occurs = (F.col("k") < F.col("n")).cast("long")
+    return listed.groupBy(*_marks("term")).agg(
+        F.sum(1 - occurs).alias("df"), F.sum(occurs).alias("tf"), F.max("at").alias("at"))
+
+
+def _spelled(train: DataFrame, text: Column | str, terms: Column, chosen: DataFrame) -> DataFrame:
+    """``chosen`` (a bounded number of marks) with ``term``, read from the texts that hold them."""
+    # Only the texts that are looked for are cut into terms.
+    holds = train.withColumn("at", F.xxhash64(text)).join(F.broadcast(chosen.select("at").distinct()), "at", "left_semi")
+    found = holds.select(F.explode(terms).alias("term")).select("term", *_marks("term"))
+    return found.join(F.broadcast(chosen), ["m1", "m2"]).dropDuplicates(["m1", "m2"])
+
+
+def limited_vocabulary(train: DataFrame, text: Column | str, terms: Column, min_df: int, max_df: float,
+                       max_features: int) -> list[tuple[str, float]]:
+    """``term, idf`` of the ``max_features`` terms with most occurrences, in term order; equal ones in term order."""
+    n_docs = train.count()
+    kept = prune(counted_marks(train, text, terms), F.lit(n_docs), min_df, max_df)
+    # Marks know no term order, so the terms that tie with the last one come too.
+    room = 4 * max_features
+    first = materialize(kept.orderBy(F.desc("tf"), "m1", "m2").limit(room), "terms")
+    rows = _spelled(train, text, terms, first).select("term", "tf", _idf(n_docs, F.col("df")).alias("idf")).collect()
+    best = sorted(rows, key=lambda r: (-r["tf"], r["term"]))
+    if len(best) == room and best[-1]["tf"] == best[max_features - 1]["tf"]:
+        # More ties than room: all terms as texts.
+        seen = train.select(F.inline(T.term_counts(terms)))
+        best = vocabulary(train, seen, min_df, max_df, max_features).select("term", "idf").collect()
+    return sorted((r["term"], r["idf"]) for r in best[:max_features])
+
+
+def _word(source: DataFrame, words: list[str], at: str) -> Column:
+    """The word with number ``at``."""
+    listed = source.sparkSession.createDataFrame([(words,)], "x array<string>").select("x").scalar()
+    return F.get(listed, F.col(at))
+
+
 def _weighted(source: DataFrame, terms: Column, words: list[str], idf: list[float]) -> DataFrame:
     """``id, term, weight`` of the records of ``source``: terms are looked up by hash, and the norm is taken in the
     row, so nothing is shuffled."""
     found = CountVectorizerModel.from_vocabulary(words, inputCol="_terms", outputCol="_counts").transform(
         source.select("id", terms.alias("_terms")))
-    counts = F.unwrap_udt("_counts")
-    words_, idf_ = (source.sparkSession.createDataFrame([(x,)], f"x {kind}").select("x").scalar()
-                    for x, kind in ((words, "array<string>"), (idf, "array<double>")))
-    found = found.select("id", counts["indices"].alias("at"), counts["values"].alias("tf"), words_.alias("words"), idf_.alias("idf"))
-    raw = F.zip_with("tf", "at", lambda n, k: n * F.get("idf", k))
-    found = found.select("id", "at", "words", raw.alias("raw"))
-    square = F.aggregate("raw", F.lit(0.0), lambda s, w: s + w * w)
-    found = found.withColumn("norm", F.sqrt(square))
-    entries = F.zip_with("at", "raw", lambda k, w: F.struct(F.get("words", k).alias("term"), (w / F.col("norm")).alias("weight")))
-    return found.select("id", F.inline(entries))
+    raw = ElementwiseProduct(scalingVec=Vectors.dense(idf), inputCol="_counts", outputCol="_raw").transform(found)
+    unit = Normalizer(p=2.0, inputCol="_raw", outputCol="_unit").transform(raw).select("id", F.unwrap_udt("_unit").alias("u"))
+    # The words are looked up after the rows are dealt out: a list of all words in each row would be copied with it.
+    entries = unit.select("id", F.inline(F.arrays_zip("u.indices", "u.values"))).toDF("id", "at", "weight")
+    return entries.select("id", _word(source, words, "at").alias("term"), "weight")
 
 
 def tfidf(train: DataFrame, text: Column | str, *, test: DataFrame | None = None,
@@ -110,11 +163,15 @@ def tfidf(train: DataFrame, text: Column | str, *, test: DataFrame | None = None
     if max_features is None or max_features > BROADCAST_TERMS:
         rows = seen if test is None else record_terms(test, text, stop_words, bigrams)
         return normalise(weigh(rows, vocab, max_features))
-    # At most ``max_features`` rows come to the driver: they become the model that every task gets.
-    rows = vocab.select("term", "idf").orderBy("term").collect()
+    terms = T.analyze(text, stop_words, bigrams)
+    if bigrams:
+        rows = limited_vocabulary(train, text, terms, min_df, max_df, max_features)
+    else:
+        # Words are few. At most ``max_features`` rows come to the driver: they become the model that every task gets.
+        rows = [(r["term"], r["idf"]) for r in vocab.select("term", "idf").orderBy("term").collect()]
     if not rows:
         return source.select("id", F.lit("").alias("term"), F.lit(0.0).alias("weight")).limit(0)
-    return _weighted(source, T.analyze(text, stop_words, bigrams), [r["term"] for r in rows], [r["idf"] for r in rows])
+    return _weighted(source, terms, [w for w, _ in rows], [x for _, x in rows])
 
 
 def tfidf_blocks(df: DataFrame, stop_words: Sequence[str], title_features: int = 3000,
