@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.ml.feature import CountVectorizerModel, ElementwiseProduct, Normalizer
+from pyspark.ml.feature import CountVectorizerModel, ElementwiseProduct, Normalizer, StopWordsRemover
 from pyspark.ml.linalg import Vectors
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
@@ -15,6 +15,9 @@ from .skew import lookup_join
 # A vocabulary up to this many terms is small enough to send to every task.
 BROADCAST_TERMS = 100_000
 
+# Terms whose weights are known within the row when keywords are chosen.
+FREQUENT_TERMS = 20_000
+
 
 def spread(df: DataFrame) -> DataFrame:
     """``df`` dealt to as many tasks as the session has cores, where its source has fewer parts.
@@ -193,12 +196,53 @@ def tfidf_blocks(df: DataFrame, stop_words: Sequence[str], title_features: int =
     return out
 
 
+def _likely(texts: DataFrame, terms: Column, k: int) -> DataFrame:
+    """``id, term, raw`` of the terms that can be among the k best of their record.
+
+    The weights of the most frequent terms are known in the row. The idf of any other term lies between that of the last
+    of them and that of a term of one record; it leaves where even the higher weight is below the k-th best lower one.
+    Only what is left is joined with the counts.
+    """
+    n_docs = texts.count()
+    # Written once: the most frequent terms and the join read them.
+    counts = materialize(counted_marks(texts, "text", terms, with_tf=False), "terms")
+    top = materialize(counts.orderBy(F.desc("df"), "m1", "m2").limit(FREQUENT_TERMS), "frequent")
+    # At most FREQUENT_TERMS rows come to the driver.
+    frequent = _spelled(texts, "text", terms, top).select("term", "df", _idf(n_docs, F.col("df")).alias("idf"))
+    frequent = frequent.orderBy("term").collect()
+    words, idf = [r["term"] for r in frequent] or [""], [r["idf"] for r in frequent] or [1.0]
+    counted = CountVectorizerModel.from_vocabulary(words, inputCol="_terms", outputCol="_counts").transform(
+        texts.where("id IS NOT NULL").select("id", terms.alias("_terms")))
+    raw = ElementwiseProduct(scalingVec=Vectors.dense(idf), inputCol="_counts", outputCol="_raw").transform(counted)
+    others = StopWordsRemover(inputCol="_terms", outputCol="_rest", stopWords=words, caseSensitive=True).transform(raw)
+    raws = F.unwrap_udt("_raw")
+    rows = others.select("id", raws["indices"].alias("at"), raws["values"].alias("raw"), T.term_counts("_rest").alias("rest"))
+    low, high = _idf(n_docs, F.lit(min((r["df"] for r in frequent), default=0))), _idf(n_docs, F.lit(1))
+    sure = F.concat("raw", F.transform("rest", lambda x: x["tf"] * low))
+    # The margin is wider than the rounding of weights.
+    floor = F.coalesce(F.get(F.sort_array(sure, False), F.lit(k - 1)), F.lit(0.0)) - 1e-6
+    rows = rows.withColumn("floor", floor)
+    none = {t: F.lit(None).cast(t) for t in ("int", "string", "double")}
+    known = F.zip_with("at", "raw", lambda a, w: F.struct(
+        a.alias("at"), none["string"].alias("term"), none["int"].alias("tf"), w.alias("raw")))
+    unknown = F.transform("rest", lambda x: F.struct(
+        none["int"].alias("at"), x["term"].alias("term"), x["tf"].alias("tf"), none["double"].alias("raw")))
+    likely = F.concat(F.filter(known, lambda x: x["raw"] >= F.col("floor")),
+                      F.filter(unknown, lambda x: x["tf"] * high >= F.col("floor")))
+    found = rows.select("id", F.inline(likely))
+    m1, m2 = _marks("term")
+    # A known weight looks up nothing; its keys are spread by the record.
+    found = found.select(
+        "id", F.coalesce("term", _word(texts, words, "at")).alias("term"), "tf", "raw",
+        F.when(F.col("raw").isNull(), m1).otherwise(F.xxhash64("id")).alias("m1"), F.when(F.col("raw").isNull(), m2).alias("m2"))
+    joined = found.join(counts.select("m1", "m2", "df"), ["m1", "m2"], "left")
+    return joined.select("id", "term", F.coalesce("raw", F.col("tf") * _idf(n_docs, F.col("df"))).alias("raw"))
+
+
 def topk_keywords(df: DataFrame, stop_words: Sequence[str], k: int = 5) -> DataFrame:
     """``id, keywords``: the k terms of highest tf-idf per record, best first; [] for no text."""
     texts = spread(df.select("id", T.prompt_keyword("title", "abstract").alias("text")))
-    terms = record_terms(texts, "text", stop_words)
-    vocab = vocabulary(texts, terms)
-    weights = weigh(terms, vocab, None).withColumn("raw", F.round("raw", 9))
+    weights = _likely(texts, T.analyze("text", stop_words), k).withColumn("raw", F.round("raw", 9))
     order = Window.partitionBy("id").orderBy(F.desc("raw"), "term")
     top = weights.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
     ranked = F.sort_array(F.collect_list(F.struct("rank", "term")))

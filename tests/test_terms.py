@@ -1,4 +1,4 @@
-"""Terms counted by fixed-width marks."""
+"""Terms counted by fixed-width marks and keywords from the terms that can be among the best."""
 
 from __future__ import annotations
 
@@ -6,6 +6,8 @@ import math
 import random
 
 import pytest
+from pyspark.sql import functions as F
+
 from paperloom.functions import text as T
 from paperloom.operators import terms
 
@@ -64,7 +66,35 @@ def test_limited_vocabulary_with_ties(frame, records, limit, min_df, max_df):
     assert [x for _, x in got] == pytest.approx([math.log((1 + n) / (1 + df[t])) + 1 for t in sorted(best)])
 
 
+@pytest.mark.parametrize("frequent", [1, 25, 20_000])
+def test_keywords_from_the_likely_terms(spark, frame, records, monkeypatch, frequent):
+    monkeypatch.setattr(terms, "FREQUENT_TERMS", frequent)
+    df, _ = counted(records)
+    weights: dict = {}
+    for i, text in records:
+        found = listed(text)
+        weights.setdefault(i, []).extend(
+            (-round(found.count(t) * (math.log((1 + len(records)) / (1 + df[t])) + 1), 9), t) for t in set(found))
+    rows = frame.select("id", F.col("text").alias("title"), F.lit(None).cast("string").alias("abstract"))
+    got = terms.topk_keywords(rows, STOP).collect()
+    assert len(got) == len(records)
+    for r in got:
+        best = [] if r["id"] is None else [t for _, t in sorted(weights[r["id"]])[:5]]
+        assert r["keywords"] == best, r["id"]
+
+
+def test_only_likely_terms_are_joined(spark, monkeypatch):
+    monkeypatch.setattr(terms, "FREQUENT_TERMS", 20)
+    texts = [" ".join([f"k{i}x{j}" for j in range(6)] * 5 + [f"s{i}x{j}" for j in range(100)]) for i in range(30)]
+    df = spark.createDataFrame(list(enumerate(texts)), "id long, text string")
+    every = terms.record_terms(df, "text", STOP).count()
+    likely = terms._likely(df, T.analyze("text", STOP), 5)
+    assert every > 200 * 30 and likely.count() <= 12 * 30 and likely.where("raw IS NULL").isEmpty()
+
+
 def test_no_terms(spark):
     none = spark.createDataFrame([(1, None), (2, "the")], "id long, text string")
     assert terms.limited_vocabulary(none, "text", T.analyze("text", STOP), 1, 1.0, 5) == []
     assert terms.tfidf(none, "text", stop_words=STOP, max_features=5).count() == 0
+    rows = none.select("id", F.col("text").alias("title"), F.lit(None).cast("string").alias("abstract"))
+    assert [r["keywords"] for r in terms.topk_keywords(rows, STOP).collect()] == [[], []]
