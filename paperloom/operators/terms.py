@@ -86,17 +86,22 @@ def _idf(n_docs: int, df: Column) -> Column:
 
 
 def _marks(term: Column | str) -> list[Column]:
-    """A term in 128 bits: two hashes with different seeds."""
-    return [F.xxhash64(term).alias("m1"), F.xxhash64(F.lit(1), term).alias("m2")]
+    """A term in 96 bits: two different hashes."""
+    return [F.xxhash64(term).alias("m1"), F.hash(term).alias("m2")]
+
+
+def _place(text: Column | str) -> Column:
+    """One of 65,536 numbers for a text: enough to find it again, and short in a shuffle."""
+    return F.pmod(F.hash(text), F.lit(1 << 16))
 
 
 def counted_marks(train: DataFrame, text: Column | str, terms: Column, with_tf: bool = True) -> DataFrame:
-    """``m1, m2, df, tf, at``: records and occurrences per term, and the hash of a text that holds it.
+    """``m1, m2, df, tf, at``: records and occurrences per term, and the place of a text that holds it.
 
     Keys and sums have a fixed width, which is several times faster to group than texts, and nothing is sorted within
     the record: each term is listed once for every occurrence and once more for the record.
     """
-    rows = train.select(terms.alias("_terms"), F.xxhash64(text).alias("at"))
+    rows = train.select(terms.alias("_terms"), _place(text).alias("at"))
     once = F.array_distinct("_terms")
     if not with_tf:
         listed = rows.select("at", F.explode(once).alias("term"))
@@ -110,7 +115,7 @@ def counted_marks(train: DataFrame, text: Column | str, terms: Column, with_tf:
 def _spelled(train: DataFrame, text: Column | str, terms: Column, chosen: DataFrame) -> DataFrame:
     """``chosen`` (a bounded number of marks) with ``term``, read from the texts that hold them."""
     # Only the texts that are looked for are cut into terms.
-    holds = train.withColumn("at", F.xxhash64(text)).join(F.broadcast(chosen.select("at").distinct()), "at", "left_semi")
+    holds = train.withColumn("at", _place(text)).join(F.broadcast(chosen.select("at").distinct()), "at", "left_semi")
     found = holds.select(F.explode(terms).alias("term")).select("term", *_marks("term"))
     return found.join(F.broadcast(chosen), ["m1", "m2"]).dropDuplicates(["m1", "m2"])
 
@@ -204,8 +209,8 @@ def _likely(texts: DataFrame, terms: Column, k: int) -> DataFrame:
     Only what is left is joined with the counts.
     """
     n_docs = texts.count()
-    # Written once: the most frequent terms and the join read them.
-    counts = materialize(counted_marks(texts, "text", terms, with_tf=False), "terms")
+    # Written once: the most frequent terms and the join read them. A term that is not there has one record.
+    counts = materialize(counted_marks(texts, "text", terms, with_tf=False).where("df > 1"), "terms")
     top = materialize(counts.orderBy(F.desc("df"), "m1", "m2").limit(FREQUENT_TERMS), "frequent")
     # At most FREQUENT_TERMS rows come to the driver.
     frequent = _spelled(texts, "text", terms, top).select("term", "df", _idf(n_docs, F.col("df")).alias("idf"))
@@ -217,7 +222,7 @@ def _likely(texts: DataFrame, terms: Column, k: int) -> DataFrame:
     others = StopWordsRemover(inputCol="_terms", outputCol="_rest", stopWords=words, caseSensitive=True).transform(raw)
     raws = F.unwrap_udt("_raw")
     rows = others.select("id", raws["indices"].alias("at"), raws["values"].alias("raw"), T.term_counts("_rest").alias("rest"))
-    low, high = _idf(n_docs, F.lit(min((r["df"] for r in frequent), default=0))), _idf(n_docs, F.lit(1))
+    low, high = _idf(n_docs, F.lit(min((r["df"] for r in frequent), default=1))), _idf(n_docs, F.lit(1))
     sure = F.concat("raw", F.transform("rest", lambda x: x["tf"] * low))
     # The margin is wider than the rounding of weights.
     floor = F.coalesce(F.get(F.sort_array(sure, False), F.lit(k - 1)), F.lit(0.0)) - 1e-6
@@ -236,7 +241,7 @@ def _likely(texts: DataFrame, terms: Column, k: int) -> DataFrame:
         "id", F.coalesce("term", _word(texts, words, "at")).alias("term"), "tf", "raw",
         F.when(F.col("raw").isNull(), m1).otherwise(F.xxhash64("id")).alias("m1"), F.when(F.col("raw").isNull(), m2).alias("m2"))
     joined = found.join(counts.select("m1", "m2", "df"), ["m1", "m2"], "left")
-    return joined.select("id", "term", F.coalesce("raw", F.col("tf") * _idf(n_docs, F.col("df"))).alias("raw"))
+    return joined.select("id", "term", F.coalesce("raw", F.col("tf") * _idf(n_docs, F.coalesce("df", F.lit(1)))).alias("raw"))
 
 
 def topk_keywords(df: DataFrame, stop_words: Sequence[str], k: int = 5) -> DataFrame:

@@ -98,3 +98,18 @@ def test_no_terms(spark):
     assert terms.tfidf(none, "text", stop_words=STOP, max_features=5).count() == 0
     rows = none.select("id", F.col("text").alias("title"), F.lit(None).cast("string").alias("abstract"))
     assert [r["keywords"] for r in terms.topk_keywords(rows, STOP).collect()] == [[], []]
+
+
+def test_keywords_of_terms_that_all_differ(spark):
+    texts = [" ".join(f"s{i}x{j}" for j in range(9)) for i in range(4)]
+    rows = spark.createDataFrame([(i, t, None) for i, t in enumerate(texts)], "id long, title string, abstract string")
+    got = {r["id"]: r["keywords"] for r in terms.topk_keywords(rows, STOP).collect()}
+    assert got == {i: sorted(listed(t))[:5] for i, t in enumerate(texts)}
+
+
+def test_terms_of_one_record_are_not_written(spark, monkeypatch):
+    written = []
+    monkeypatch.setattr(terms, "materialize", lambda df, name: written.append((name, df.count())) or df)
+    df = spark.createDataFrame([(1, "a1 b1 c1 d1"), (2, "a1 b1 e1")], "id long, text string")
+    terms._likely(df, T.analyze("text", STOP), 5)
+    assert written[0] == ("terms", 3)
