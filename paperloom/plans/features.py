@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from ..functions import text as T
 from ..functions.stopwords import english_stop_words
-from ..operators import folds, knn, knn_index, metadata, models, stages
+from ..operators import embedding, folds, knn, knn_index, metadata, models, stages
 from ..session import materialize
 from ..sources import tables
 from . import sql as Q
@@ -120,12 +120,15 @@ def feature_concat(spark, sf):
 
 @query("feature_union")
 def feature_union(spark, sf):
-    """Text and metadata stages fitted on the training split and applied to the test split."""
+    """Text and metadata stages fitted on the training split: the vectors of both splits, which the fitted stages give each by itself."""
     papers = tables.papers(spark, sf)
     split = materialize(folds.with_split(papers), "split")
     model = stages.feature_union(english_stop_words()).fit(split.where("split = 'train'").drop("split"))
-    out = model.transform(split.where("split = 'test'").drop("split"))
-    return out.select("id", "label", F.size(vector_to_array("features")).alias("width"))
+    train, test = (model.transform(split.where(F.col("split") == s)) for s in ("train", "test"))
+    indices, values = embedding.sparse_parts("features")
+    width = F.coalesce(F.unwrap_udt("features")["size"], F.size(values))
+    return train.unionByName(test).select(
+        "id", "label", "split", width.alias("width"), indices.alias("indices"), values.alias("values"))
 
 
 @query("dense_embedding")

@@ -12,7 +12,7 @@ from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import functions as F
 
 from paperloom.functions.stopwords import english_stop_words
-from paperloom.operators import evaluate, margins, metadata, models, stages, terms
+from paperloom.operators import evaluate, folds, margins, metadata, models, stages, terms
 from paperloom.plans import REGISTRY
 from paperloom.session import scratch_path
 from paperloom.sources import io, tables
@@ -132,6 +132,33 @@ def test_feature_union(spark):
     assert len({r["width"] for r in rows}) == 1 and rows[0]["width"] > 8
 
 
+def test_feature_union_gives_the_vectors_of_both_splits(spark, tmp_path):
+    """Every paper comes with its split and its whole vector, found by what the training papers hold."""
+    words = ["river", "forest", "copper", "meadow"]
+    texts = [f"{words[i % 4]} {words[i % 3]}. {words[i // 2 % 4]} stone {words[i % 2]} {i % 7}x" for i in range(30)]
+    documents = [(i, None if i == 4 else t, "en", None if i == 5 else f"src{i % 9}", 100 + 700 * (i % 6)) for i, t in enumerate(texts)]
+    lines = [(i, 1 + (i + k) % 3, None) for i in range(25) for k in range(i % 3)]
+    names = [(k, f"Supplier#{k}", None, None) for k in (1, 2, 3)]
+    for table, rows in (("documents", documents), ("lineitem", lines), ("supplier", names)):
+        spark.createDataFrame(rows, io.TABLES[table]).write.parquet(str(tmp_path / f"{table}.parquet"))
+    rows = REGISTRY["feature_union"].run(spark, str(tmp_path)).collect()
+    papers = folds.with_split(tables.papers(spark, str(tmp_path)))
+    expected = {r["id"]: (r["label"], r["split"]) for r in papers.collect()}
+    assert {s for _, s in expected.values()} == {"train", "test"} and len(expected) == 30
+    assert sorted((r["id"], r["label"], r["split"]) for r in rows) == sorted((k, *v) for k, v in expected.items())
+    fitted = stages.feature_union(english_stop_words()).fit(papers.where("split = 'train'"))
+    for part in ("train", "test"):
+        vectors = fitted.transform(papers.where(F.col("split") == part)).select("id", vector_to_array("features").alias("v"))
+        wanted = {r["id"]: r["v"] for r in vectors.collect()}
+        for r in rows:
+            if r["split"] == part:
+                got = np.zeros(r["width"])
+                got[r["indices"]] = r["values"]
+                assert got.tolist() == pytest.approx(wanted[r["id"]])
+    text = [np.square([v for i, v in zip(r["indices"], r["values"]) if i < r["width"] - 8]).sum() for r in rows if r["split"] == "train"]
+    assert all(x == pytest.approx(round(x)) for x in text) and max(text) == pytest.approx(3.0)  # a unit vector for each block
+
+
 def test_metadata_model_is_saved(spark, tmp_path):
     papers = tables.papers(spark, SMALL)
     model = stages.MetadataFeatures().fit(papers)
