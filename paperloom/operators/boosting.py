@@ -1,7 +1,7 @@
 """Gradient-boosted trees for several labels under one softmax loss.
 
 Every round grows one tree per label from the gradients of the joint loss. Rows are cut into bins of
-each feature once and written. A level of the trees is one job: each task sums gradients, curvatures
+each feature once and written in blocks. A level of the trees is one job: each task sums gradients, curvatures
 and rows by (label, node, feature, bin), one shuffle brings the sums of a (label, node, feature), one row for all bins, together,
 and the best split of each node is chosen from running totals over the bins. Only splits, at most one per
 node and task, come to the driver. Growth is best first: the splits of all levels are known, and those with the highest gain are
@@ -15,7 +15,7 @@ Several boosters, such as those of the folds, grow side by side: a level of all
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Container, Iterator, Sequence
 from dataclasses import dataclass, field
 from multiprocessing.pool import ThreadPool
 
@@ -32,6 +32,9 @@ from .stages import _WithParts
 
 CHECKPOINT = 5
 BINS = 64
+ROWS = 2048  # rows in a block at most
+BLOCK = 1 << 15  # rows of a booster that a task sums at a time
+TASK_BLOCKS = 128  # blocks that a task reads, where they are more than the cores
 ACCURACY = 10_000
 
 
@@ -49,14 +52,20 @@ class Tree:
         return cls(np.full(size, -1, np.int32), np.zeros(size, np.int32), np.zeros(size))
 
     def leaves(self, columns: np.ndarray, cuts: np.ndarray, levels: int) -> np.ndarray:
-        """The node of each row after ``levels`` steps; ``columns`` are compared with ``cuts`` of the nodes."""
-        node = np.zeros(len(columns), np.int64)
-        rows = np.arange(len(columns))
-        for _ in range(levels):
+        """The node of each row after ``levels`` steps; ``columns`` are compared with ``cuts`` of the nodes.
+
+        From the last nodes up, one comparison of a whole column a node: fastest where a column lies in one piece.
+        """
+        number = np.uint8 if len(self.feature) <= 256 else np.int64
+
+        def below(node: int, steps: int):
             feature = self.feature[node]
-            right = columns[rows, np.maximum(feature, 0)] > cuts[node]
-            node = np.where(feature >= 0, 2 * node + 1 + right, node)
-        return node
+            if steps == 0 or feature < 0:
+                return number(node)
+            left, right = below(2 * node + 1, steps - 1), below(2 * node + 2, steps - 1)
+            return np.where(columns[:, feature] > cuts[node], right, left)
+
+        return np.broadcast_to(below(0, levels), len(columns))
 
 
 @dataclass(frozen=True)
@@ -110,9 +119,12 @@ def uniform(numbers: np.ndarray, seed: int) -> np.ndarray:
     return (x >> np.uint64(11)).astype(np.float64) / 2.0 ** 53
 
 
-STATE = "nr long, bins binary, target int, weight double, held boolean, margins array<double>, model int"
-STATE_KIND = pa.schema([("nr", pa.int64()), ("bins", pa.binary()), ("target", pa.int32()), ("weight", pa.float64()),
-                        ("held", pa.bool_()), ("margins", pa.list_(pa.float64())), ("model", pa.int32())])
+# Rows travel in blocks: one row of the table has the numbers of up to ``ROWS`` rows of a booster, each kind in one piece,
+# so neither reading nor handing them to Python costs anything for each row. ``at`` is the first row number.
+STATE = "model int, at long, nr binary, bins binary, target binary, weight binary, held binary, margins binary"
+STATE_KIND = pa.schema([("model", pa.int32()), ("at", pa.int64()),
+                        *[(x, pa.binary()) for x in ("nr", "bins", "target", "weight", "held", "margins")]])
+NUMBERS = (np.int64, np.uint8, np.int32, np.float64, np.bool_, np.float64)
 SUMS = "label int, node int, feature int, sums binary"  # gradients, curvatures and rows by bin
 SUMS_KIND = pa.schema([("label", pa.int32()), ("node", pa.int32()), ("feature", pa.int32()), ("sums", pa.binary())])
 LOSS = -1  # the label under which the losses travel; node 2 m has the fitted rows of model m, 2 m + 1 the held ones
@@ -128,11 +140,45 @@ class Growth:
     splits: list[dict] = field(default_factory=list)
 
 
-def _columns(batch: pa.RecordBatch, width: int, labels: int):
-    n = batch.num_rows
-    bins = np.frombuffer(b"".join(batch.column(1).to_pylist()), np.uint8).reshape(n, width)
-    margins = batch.column(5).flatten().to_numpy(zero_copy_only=False).reshape(n, labels)
-    return bins, margins.copy()
+def _packed(column: pa.BinaryArray, kind: type, size: int) -> np.ndarray:
+    """The values of a binary column, each ``size`` numbers of a kind, as rows of one array."""
+    column = column.cast(pa.binary())
+    first = int(np.frombuffer(column.buffers()[1], np.int32, 1, 4 * column.offset)[0])
+    return np.frombuffer(column.buffers()[2], kind, len(column) * size, first).reshape(len(column), size)
+
+
+def _binary(rows: np.ndarray) -> pa.BinaryArray:
+    """A binary column of the rows of an array."""
+    offsets = np.arange(len(rows) + 1, dtype=np.int32) * (rows[0].nbytes if len(rows) else 0)
+    return pa.BinaryArray.from_buffers(pa.binary(), len(rows), [None, pa.py_buffer(offsets), pa.py_buffer(np.ascontiguousarray(rows))])
+
+
+def _block(model: int, rows: Sequence[np.ndarray]) -> pa.RecordBatch:
+    values = [np.ascontiguousarray(x, kind).tobytes() for x, kind in zip(rows, NUMBERS)]
+    return pa.RecordBatch.from_arrays([pa.array([x], f.type) for x, f in zip((model, int(rows[0][0]), *values), STATE_KIND)], schema=STATE_KIND)
+
+
+def _rows(batches: Iterator[pa.RecordBatch], models: Container[int], least: int = 0) -> Iterator[tuple[int, list[np.ndarray]]]:
+    """Blocks of the wanted models: row numbers, bins, targets, weights, held and margins.
+
+    With ``least``, blocks of a model are joined until they have so many rows; what is left comes at the end.
+    """
+    waiting: dict[int, list[list[np.ndarray]]] = {}
+
+    def joined(m: int) -> tuple[int, list[np.ndarray]]:
+        rows = [np.concatenate(x) for x in zip(*waiting.pop(m))]
+        n = len(rows[0])
+        return m, [x.reshape(n, -1) if i in (1, 5) else x for i, x in enumerate(rows)]
+
+    for batch in batches:
+        for i, m in enumerate(batch.column(0).to_pylist()):
+            if m in models:
+                waiting.setdefault(m, []).append(
+                    [np.frombuffer(c[i].as_buffer(), kind) for c, kind in zip(batch.columns[2:], NUMBERS)])
+                if sum(len(x[0]) for x in waiting[m]) >= least:
+                    yield joined(m)
+    for m in list(waiting):
+        yield joined(m)
 
 
 def _applied(bins: np.ndarray, margins: np.ndarray, rounds: list[list[Tree]], depth: int) -> np.ndarray:
@@ -142,12 +188,6 @@ def _applied(bins: np.ndarray, margins: np.ndarray, rounds: list[list[Tree]], de
     return margins
 
 
-def _by_model(batch: pa.RecordBatch) -> Iterator[tuple[int, pa.RecordBatch]]:
-    models = batch.column(6).to_numpy()
-    for m in np.unique(models).tolist():
-        yield m, batch.filter(pa.array(models == m))
-
-
 def _level_sums(state: DataFrame, s: Settings, width: int, growing: dict[int, Growth], level: int,
                 number: int, allowed: list[np.ndarray]) -> DataFrame:
     """Sums by (label, node, feature) and bin over the nodes of one level of the trees in growth.
@@ -160,50 +200,46 @@ def _level_sums(state: DataFrame, s: Settings, width: int, growing: dict[int, Gr
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums: dict[int, list[np.ndarray]] = {}
         losses: dict[int, np.ndarray] = {}
-
-        def add(m: int, batch: pa.RecordBatch) -> None:
+        for m, (nr, bins, target, weight, held, margins) in _rows(batches, shared, BLOCK):
             pending, trees = shared[m]
             if m not in sums:
-                sums[m] = [np.zeros((3, 2 ** level * len(a) * s.bins)) for a in allowed]
+                sums[m] = [np.zeros((3, 2 ** level, len(a), s.bins)) for a in allowed]
                 losses[m] = np.zeros((2, 2))
-            held = batch.column(4).to_numpy(zero_copy_only=False).astype(bool)
-            fitted = ~held & (uniform(batch.column(0).to_numpy(), s.seed * 1000 + number) < s.rows)
+            fitted = ~held & (uniform(nr, s.seed * 1000 + number) < s.rows)
             if level:  # the losses need all rows, the sums those that are drawn
-                batch, held, fitted = batch.filter(pa.array(fitted)), held[fitted], fitted[fitted]
-            bins, margins = _columns(batch, width, s.labels)
+                bins, margins = bins[fitted], margins[fitted]
+            bins, margins = np.asfortranarray(bins), np.array(margins, order="F")  # each feature in one piece
             chance = softmax(_applied(bins, margins, pending, s.depth))
-            target = batch.column(2).to_numpy(zero_copy_only=False)
-            weight = batch.column(3).to_numpy(zero_copy_only=False)
             if level == 0:
                 loss = -np.log(np.maximum(chance[np.arange(len(target)), target], 1e-300)) * weight
                 for side, chosen in enumerate((~held, held)):
                     losses[m][side] += loss[chosen].sum(), weight[chosen].sum()
-            bins, chance, target, weight = bins[fitted], chance[fitted], target[fitted], weight[fitted]
+                bins, chance = bins.T[:, fitted].T, chance[fitted]
+            target, weight = target[fitted], weight[fitted]
             for k in range(s.labels):
-                node = trees[k].leaves(bins, trees[k].cut, level) - first
+                node = trees[k].leaves(bins, trees[k].cut, level).astype(np.int64) - first
                 used = node >= 0
-                p, n = chance[used, k], len(allowed[k])
-                at = ((node[used, None] * n + np.arange(n)) * s.bins + bins[used][:, allowed[k]]).ravel()
-                size = sums[m][k].shape[1]
-                for j, value in enumerate((weight[used] * (p - (target[used] == k)), weight[used] * p * (1 - p), None)):
-                    sums[m][k][j] += np.bincount(at, None if value is None else np.repeat(value, n), size)
-
-        for batch in batches:
-            for m, part in _by_model(batch):
-                if m in shared:
-                    add(m, part)
+                p, w, hit, by_feature = chance[:, k], weight, target == k, bins.T
+                if not used.all():
+                    p, w, hit, node, by_feature = p[used], w[used], hit[used], node[used], by_feature[:, used]
+                start, values = node * s.bins, (w * (p - hit), w * p * (1 - p), None)
+                for j, f in enumerate(allowed[k]):
+                    at = start + by_feature[f]
+                    for kind, value in enumerate(values):
+                        sums[m][k][kind, :, j] += np.bincount(at, value, 2 ** level * s.bins).reshape(-1, s.bins)
         for m in sums:
             if level == 0:
                 sides = np.zeros((2, 3, s.bins))
                 sides[:, :2, 0] = losses[m]
-                yield pa.RecordBatch.from_arrays([pa.array(x, f.type) for x, f in zip(
-                    ([LOSS] * 2, [2 * m, 2 * m + 1], [0, 0], [x.tobytes() for x in sides]), SUMS_KIND)], schema=SUMS_KIND)
+                yield pa.RecordBatch.from_arrays([*[pa.array(x, pa.int32()) for x in ([LOSS] * 2, [2 * m, 2 * m + 1], [0, 0])], _binary(sides)],
+                                                 schema=SUMS_KIND)
+            parts = []
             for k in range(s.labels):
-                cells = sums[m][k].reshape(3, -1, s.bins)
-                at = np.flatnonzero(cells[2].any(axis=1))
-                parts = (np.full(len(at), m * s.labels + k), at // len(allowed[k]) + first, allowed[k][at % len(allowed[k])],
-                         [cells[:, c].tobytes() for c in at])
-                yield pa.RecordBatch.from_arrays([pa.array(x, f.type) for x, f in zip(parts, SUMS_KIND)], schema=SUMS_KIND)
+                cells = sums[m][k].reshape(3, -1, s.bins).transpose(1, 0, 2)
+                at = np.flatnonzero(cells[:, 2].any(axis=1))
+                parts.append((np.full(len(at), m * s.labels + k), at // len(allowed[k]) + first, allowed[k][at % len(allowed[k])], cells[at]))
+            *keys, cells = (np.concatenate(x) for x in zip(*parts))
+            yield pa.RecordBatch.from_arrays([*[pa.array(x, pa.int32()) for x in keys], _binary(cells)], schema=SUMS_KIND)
 
     return state.mapInArrow(run, SUMS)
 
@@ -237,20 +273,25 @@ def _best_splits(sums: DataFrame, s: Settings) -> list[dict]:
     feature) meet in one task, which returns its best split of each node.
     """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        added: dict[tuple[int, int, int], np.ndarray] = {}
+        keys, added = np.zeros((0, 3), np.int32), np.zeros((0, 3 * s.bins))
         for batch in batches:
-            label, node, feature = (c.to_pylist() for c in batch.columns[:3])
-            for key, packed in zip(zip(label, node, feature), batch.column(3)):
-                part = np.frombuffer(packed.as_buffer(), np.float64).reshape(3, s.bins)
-                added[key] = added[key] + part if key in added else part
-        if not added:
+            if not batch.num_rows:
+                continue
+            keys = np.concatenate([keys, np.stack([c.to_numpy() for c in batch.columns[:3]], axis=1)])
+            added = np.concatenate([added, _packed(batch.column(3), np.float64, 3 * s.bins)])
+            order = np.lexsort(keys.T[::-1])
+            keys = keys[order]
+            first = np.flatnonzero(np.concatenate([[True], (keys[1:] != keys[:-1]).any(axis=1)]))
+            keys, added = keys[first], np.add.reduceat(added[order], first, axis=0)
+        if not len(keys):
             return
-        rows = [(*key, 0, 0.0, 0.0, 0.0, x[0, 0], x[1, 0]) for key, x in added.items() if key[0] == LOSS]
-        keys = sorted(key for key in added if key[0] != LOSS)
-        if keys:
-            best = best_of(np.stack([added[key] for key in keys]), s)
+        added = added.reshape(-1, 3, s.bins)
+        lost = keys[:, 0] == LOSS
+        rows = [(*key, 0, 0.0, 0.0, 0.0, x[0, 0], x[1, 0]) for key, x in zip(keys[lost].tolist(), added[lost])]
+        if not lost.all():
+            best = best_of(added[~lost], s)
             found: dict[tuple, tuple] = {}
-            for (label, node, feature), row in zip(keys, zip(*[v.tolist() for v in best])):
+            for (label, node, feature), row in zip(keys[~lost].tolist(), zip(*[v.tolist() for v in best])):
                 if row[1] > 0 and ((label, node) not in found or row[1] > found[label, node][4]):
                     found[label, node] = (label, node, feature, *row)
             rows += found.values()
@@ -301,27 +342,23 @@ def _start(df: DataFrame, s: Settings, model: int, features: str, target: str, w
             n = batch.num_rows
             values = batch.column(1).flatten().to_numpy(zero_copy_only=False).reshape(n, -1)
             bins = np.column_stack([np.searchsorted(b, values[:, k]) for k, b in enumerate(borders)]).astype(np.uint8)
-            margins = [result.base.tolist()] * n
-            arrays = [batch.column(0), [b.tobytes() for b in bins], *[batch.column(i) for i in (2, 3, 4)], margins, [model] * n]
-            yield pa.RecordBatch.from_arrays([pa.array(x, f.type) if isinstance(x, list) else x.cast(f.type)
-                                              for x, f in zip(arrays, STATE_KIND)], schema=STATE_KIND)
+            nr, target, weight, held = (batch.column(i).to_numpy(zero_copy_only=False) for i in (0, 2, 3, 4))
+            rows = (nr, bins, target, weight, held, np.tile(result.base, (n, 1)))
+            for first in range(0, n, ROWS):
+                yield _block(model, [x[first:first + ROWS] for x in rows])
 
     path = scratch_path(df.sparkSession, f"boosting-0-{model}")
     rows.withColumn("v", vector_to_array("v")).mapInArrow(cut, STATE).write.parquet(path)
     return result, path
 
 
-def _forward(state: DataFrame, s: Settings, width: int, growing: dict[int, Growth]) -> DataFrame:
+def _forward(state: DataFrame, s: Settings, growing: dict[int, Growth]) -> DataFrame:
     """The rows of the boosters that still grow, their margins with the pending trees."""
     shared = {m: g.pending for m, g in growing.items()}
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for m, part in _by_model(batch):
-                if m in shared:
-                    bins, margins = _columns(part, width, s.labels)
-                    margins = _applied(bins, margins, shared[m], s.depth)
-                    yield part.set_column(5, STATE_KIND.field(5), pa.array(margins.tolist(), STATE_KIND.field(5).type))
+        for m, (*rows, margins) in _rows(batches, shared):
+            yield _block(m, (*rows, _applied(np.asfortranarray(rows[1]), margins.copy(), shared[m], s.depth)))
 
     return state.mapInArrow(run, STATE)
 
@@ -345,12 +382,17 @@ def fit_side_by_side(frames: list[DataFrame], s: Settings, *, features: str = "f
     paths = [path for _, path in started]
     width = len(fits[0].borders)
     state = spark.read.schema(STATE).parquet(*paths)
+    parts = max(spark.sparkContext.defaultParallelism, state.count() // TASK_BLOCKS)
+    dealt: set[int] = set()
     growing = {m: Growth(fit) for m, fit in enumerate(fits)}
     best_loss = [np.inf] * len(fits)
     for number in range(s.rounds + 1):
-        if number and number % CHECKPOINT == 0:
+        if number % CHECKPOINT == 0:
             path = scratch_path(spark, f"boosting-{number}")
-            _forward(state, s, width, growing).write.parquet(path)
+            rows = _forward(state, s, growing)
+            if dealt != set(growing):  # each task has as many rows as the others, of few boosters, so that it sends few sums
+                rows, dealt = rows.repartitionByRange(parts, "model", "at"), set(growing)
+            rows.write.parquet(path)
             state = spark.read.schema(STATE).parquet(path)
             for old in paths:
                 remove(spark, old)
@@ -471,7 +513,7 @@ class SoftmaxTreesModel(Model, _WithParts):
             rounds, cuts, base, depth = shared.value
             for batch in batches:
                 n = len(batch)
-                values = batch.flatten().to_numpy(zero_copy_only=False).reshape(n, -1) if n else np.zeros((0, 1))
+                values = np.asfortranarray(batch.flatten().to_numpy(zero_copy_only=False).reshape(n, -1)) if n else np.zeros((0, 1))
                 out = np.tile(base, (n, 1))
                 for trees, borders in zip(rounds, cuts):
                     for k, (tree, cut) in enumerate(zip(trees, borders)):

@@ -151,3 +151,39 @@ def test_sums_of_a_level_are_one_row_a_cell(spark, data):
     growth = boosting.Growth(boosting.Fit([[]] * 4, np.zeros(5)), [], [boosting.Tree.of_depth(1) for _ in range(5)])
     sums = boosting._level_sums(spark.read.schema(boosting.STATE).parquet(path).coalesce(1), s, 4, {0: growth}, 0, 0, [np.arange(4)] * 5)
     assert sums.count() == 2 + 5 * 4
+
+
+def test_rows_travel_in_blocks(spark, data, monkeypatch):
+    """The table of the rows has a row for each block, and the blocks of a model are joined again."""
+    x, y = data
+    s = boosting.Settings(rounds=1, depth=1, **PLAIN)
+    monkeypatch.setattr(boosting, "ROWS", 50)
+    fit, path = boosting._start(frame(spark, x, y, held=np.arange(len(y)) % 4 == 0).coalesce(1), s, 3, "features", "target", None, "held")
+    state = spark.read.schema(boosting.STATE).parquet(path)
+    assert state.count() == 8
+    batches = state.toArrow().to_batches()
+    assert not list(boosting._rows(batches, {0}))
+    for least, parts in ((0, 8), (120, 3), (10_000, 1)):
+        found = list(boosting._rows(batches, {3}, least))
+        nr, bins, target, weight, held, margins = (np.concatenate(c) for c in zip(*[rows for _, rows in found]))
+        assert len(found) == parts and {m for m, _ in found} == {3} and len(set(nr.tolist())) == 400
+        assert np.bincount(target).tolist() == np.bincount(y).tolist() and held.sum() == 100 and (weight == 1).all()
+        assert bins.shape == (400, 4) and sorted(bins[:, 0]) == sorted(np.searchsorted(fit.borders[0], x[:, 0]))
+        assert np.allclose(margins, np.tile(fit.base, (400, 1)))
+
+
+def test_leaves_are_those_of_a_walk_down():
+    rng = np.random.default_rng(8)
+    columns = rng.integers(0, 9, (200, 3)).astype(np.uint8)
+    tree = boosting.Tree.of_depth(4)
+    tree.feature[:15], tree.cut[:15] = rng.integers(-1, 3, 15), rng.integers(0, 9, 15)
+    tree.feature[0] = 1
+    for levels in range(5):
+        want = []
+        for row in columns:
+            node = 0
+            for _ in range(levels):
+                if tree.feature[node] >= 0:
+                    node = 2 * node + 1 + (row[tree.feature[node]] > tree.cut[node])
+            want.append(node)
+        assert tree.leaves(columns, tree.cut, levels).tolist() == want
