@@ -21,7 +21,7 @@ from .stages import _WithParts
 
 EXTRA = 16
 MOST_TERMS = 100_000
-PART = 16_384  # entries that are multiplied with the block at a time
+PART = 1 << 15  # entries that are multiplied with the block at a time
 
 
 def sparse_parts(vector: str) -> tuple[Column, Column]:
@@ -32,14 +32,17 @@ def sparse_parts(vector: str) -> tuple[Column, Column]:
     return F.coalesce(plain["indices"], dense), values
 
 
-def _sums_by(order: np.ndarray, entries: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The different numbers of ``order``, which is sorted, and the sum of the entries of each."""
-    first = np.flatnonzero(np.concatenate([[True], order[1:] != order[:-1]]))
-    return order[first], np.add.reduceat(entries, first)
+def _lists(rows: np.ndarray) -> pa.ListArray:
+    offsets = np.arange(len(rows) + 1, dtype=np.int32) * rows.shape[1]
+    return pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.ascontiguousarray(rows).ravel()))
 
 
 def _products(at: pa.Array, values: pa.Array, block: np.ndarray) -> Iterator[tuple[slice, np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
-    """By parts of a batch: which rows, the rows, indices and values of their entries, and the rows times the block."""
+    """By parts of a batch: which rows, the rows, indices and values of their entries, and the rows times the block.
+
+    One direction after the other, so that what is read for the entries is one column of the block, which stays in the cache;
+    the block should be in column order.
+    """
     ends = at.offsets.to_numpy() - at.offsets[0].as_py()
     index_all = at.flatten().to_numpy(zero_copy_only=False)
     weight_all = values.flatten().to_numpy(zero_copy_only=False)
@@ -48,11 +51,12 @@ def _products(at: pa.Array, values: pa.Array, block: np.ndarray) -> Iterator[tup
         # One long row, or as many as fit the entries of a part.
         stop = max(start + 1, int(np.searchsorted(ends, ends[start] + PART, "right")) - 1)
         rows = np.repeat(np.arange(stop - start), np.diff(ends[start:stop + 1]))
-        index, weight = index_all[ends[start]:ends[stop]], weight_all[ends[start]:ends[stop]]
-        out = np.zeros((stop - start, block.shape[1]))
-        if len(rows):
-            used, sums = _sums_by(rows, weight[:, None] * block[index])
-            out[used] = sums
+        index, weight = index_all[ends[start]:ends[stop]].astype(np.intp), weight_all[ends[start]:ends[stop]]
+        out = np.zeros((stop - start, block.shape[1]), order="F")
+        used = np.flatnonzero(np.diff(ends[start:stop + 1]))
+        first = ends[start:stop][used] - ends[start]
+        for k, direction in enumerate(block.T if len(used) else ()):
+            out[used, k] = np.add.reduceat(direction.take(index) * weight, first)
         yield slice(start, stop), rows, index, weight, out
         start = stop
 
@@ -108,22 +112,24 @@ class LatentTerms(Estimator, _WithParts):
         kind = pa.schema([("term", pa.int32()), ("sums", pa.list_(pa.float64()))])
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            total = np.zeros_like(shared.value)
+            block_ = np.asfortranarray(shared.value)
+            total = np.zeros(block_.T.shape)
             for batch in batches:
-                for _, row, index, weight, out in _products(batch.column(0), batch.column(1), shared.value):
-                    by_term = np.argsort(index, kind="stable")
-                    terms, sums = _sums_by(index[by_term], weight[by_term, None] * out[row[by_term]])
-                    total[terms] += sums
-            used = np.flatnonzero(np.abs(total).sum(axis=1))
+                for _, row, index, weight, out in _products(batch.column(0), batch.column(1), block_):
+                    # Of a wide block only the terms that are there.
+                    terms, at = (slice(None), index) if width <= PART else np.unique(index, return_inverse=True)
+                    for k, said in enumerate(out.T):
+                        total[k, terms] += np.bincount(at, said.take(row) * weight, width if width <= PART else len(terms))
+            used = np.flatnonzero(np.abs(total).sum(axis=0))
             for start in range(0, len(used), 1000):
                 part = used[start:start + 1000]
-                yield pa.RecordBatch.from_arrays([pa.array(part, pa.int32()), pa.array(total[part].tolist(), kind.field(1).type)], schema=kind)
+                yield pa.RecordBatch.from_arrays([pa.array(part, pa.int32()), _lists(total[:, part].T).cast(kind.field(1).type)], schema=kind)
 
         sums = rows.mapInArrow(run, "term int, sums array<double>").groupBy("term").agg(
             F.array(*[F.sum(F.col("sums")[k]) for k in range(block.shape[1])]).alias("sums"))
         product = np.zeros((width, block.shape[1]))
-        for r in sums.collect():  # one row for each term of the bounded vocabulary
-            product[r["term"]] = r["sums"]
+        for part in sums.toArrow().to_batches():  # one row for each term of the bounded vocabulary
+            product[part.column(0).to_numpy()] = part.column(1).flatten().to_numpy().reshape(part.num_rows, -1)
         shared.unpersist()
         return product
 
@@ -151,14 +157,15 @@ class LatentTermsModel(Model, _WithParts):
         size = len(self.singular)
 
         def run(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
+            directions = np.asfortranarray(shared.value)
             for at, values in batches:
                 out = np.zeros((len(at), size))
-                if len(shared.value):
-                    for part, *_, known in _products(at, values, shared.value):
+                if len(directions):
+                    for part, *_, known in _products(at, values, directions):
                         out[part, :known.shape[1]] = known
                 length = np.sqrt((out * out).sum(axis=1, keepdims=True))
                 out /= np.where(length > 0, length, 1.0)
-                yield pa.array(out.tolist(), pa.list_(pa.float64()))
+                yield _lists(out)
 
         embed = F.arrow_udf(run, "array<double>", F.ArrowUDFType.SCALAR_ITER)
         return df.withColumn(self.outputCol, embed(*sparse_parts(self.inputCol)))

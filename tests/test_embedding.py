@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import tracemalloc
+
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.ml.linalg import SparseVector, Vectors, VectorUDT
 from pyspark.sql.types import LongType, StructField, StructType
@@ -68,3 +71,22 @@ def test_parts_of_a_batch_add_up(spark, table, monkeypatch):
         assert np.allclose(np.vstack([x[-1] for x in found]), table @ block)
         assert [x[0].start for x in found[1:]] == [x[0].stop for x in found[:-1]] and found[-1][0].stop == 60
     assert part == 1000 and len(found) == 1
+
+
+def test_a_step_reads_one_direction_at_a_time(spark, table, monkeypatch):
+    """No array of entries times directions is built, and a block wider than a part gives the same sums."""
+    at, values = embedding.sparse_parts("v")
+    rows = frame(spark, table).select(at.alias("at"), values.alias("values"))
+    block = np.random.default_rng(4).random((30, 5))
+    for part in (1, 29, 1 << 15):
+        monkeypatch.setattr(embedding, "PART", part)
+        assert np.allclose(embedding.LatentTerms("v")._step(rows, block, 30), table.T @ (table @ block))
+    rng = np.random.default_rng(6)
+    index = pa.array(list(rng.integers(0, 500, (50, 200)).astype(np.int32)), pa.list_(pa.int32()))
+    weight = pa.array(list(rng.random((50, 200))), pa.list_(pa.float64()))
+    wide = np.asfortranarray(rng.random((500, 80)))
+    tracemalloc.start()
+    (_, _, _, _, out), = embedding._products(index, weight, wide)
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert out.shape == (50, 80) and most < 10_000 * 80 * 8 / 4
